@@ -1,0 +1 @@
+"""No job in scope reads a stream; the package holds batch work only."""
