@@ -56,6 +56,10 @@ class ForecastConfig:
     include_history: bool = True
     strict_keys: bool = False
     series_partitions: int | None = None
+    # The source holds about one row per series and step. One shuffle by series is
+    # then enough. Results do not depend on it; leave it off when a series may
+    # hold very many rows of one step.
+    few_rows_per_step: bool = False
 
     def __post_init__(self):
         put = lambda name, value: object.__setattr__(self, name, value)

@@ -155,7 +155,7 @@ class Decomposable(SeriesModel):
         for name, (period, order) in FOURIER.items():
             wanted = getattr(self.p, f"{name}_seasonality")
             if wanted == "auto":
-                wanted = automatic[name]
+                wanted = bool(automatic[name])
             if wanted is True:
                 terms.append((period, order))
             elif wanted:
@@ -296,7 +296,8 @@ def _fit_jointly(design: _Design, sums: _Sums, penalties: _Penalties, mode: str)
         noise = 0.5 * total * np.log(max(squares / total, _TINY))
         return noise + 0.5 * flat @ theta**2 + np.abs(theta[changes]).sum() / penalties.change_scale
 
-    gram, rhs, squares = _normal_equations(design, sums, theta, n_trend, additive)
+    equations = _normal_equations(design, sums, theta, n_trend, additive)
+    gram, rhs, squares = equations
     best = objective(theta, squares)
     if not additive:
         # Start from the trend alone: effects only have a scale once it is known.
@@ -313,7 +314,10 @@ def _fit_jointly(design: _Design, sums: _Sums, penalties: _Penalties, mode: str)
         step = _solve(gram / variance + np.diag(weights), rhs / variance) - theta
         for _ in range(12):
             candidate = theta + step
-            equations = _normal_equations(design, sums, candidate, n_trend, additive)
+            if additive:  # the matrix does not depend on the coefficients
+                equations = gram, rhs, _squares(design, sums, candidate, n_trend)
+            else:
+                equations = _normal_equations(design, sums, candidate, n_trend, False)
             value = objective(candidate, equations[2])
             if value <= best:
                 break
@@ -350,7 +354,6 @@ def _normal_equations(design, sums, theta, n_trend, additive):
         qr = m.rr @ slopes
         q2 = qr @ slopes
         if additive:
-            f = g + s
             gram[a, a] += A.T @ (A * m.n[:, None])
             gram[a, e] += A.T @ (E * m.n[:, None])
             gram[a, r] += A.T @ m.r
@@ -360,7 +363,6 @@ def _normal_equations(design, sums, theta, n_trend, additive):
             rhs[a] += A.T @ m.y
             rhs[e] += E.T @ m.y
             rhs[r] += m.ry.sum(axis=0)
-            squares += (m.yy - 2 * (f * m.y + qy) + m.n * f**2 + 2 * f * q1 + q2).sum()
         else:
             h = 1 + s
             first = m.n * h + q1
@@ -378,9 +380,22 @@ def _normal_equations(design, sums, theta, n_trend, additive):
             squares += (m.yy - 2 * g * (h * m.y + qy) + g**2 * second).sum()
     for left, right in ((a, e), (a, r), (e, r)):
         gram[right, left] = gram[left, right].T
+    if additive:
+        squares = _squares(design, sums, theta, n_trend)
     return gram, rhs, max(squares, 0.0)
 
 
+def _squares(design, sums, theta, n_trend):
+    """Residual square sum of the additive form."""
+    trend, fixed, slopes = np.split(theta, [n_trend, n_trend + design.fixed_width])
+    squares = 0.0
+    for rows, A, E in design.blocks():
+        m, f = sums.part(rows), A @ trend + E @ fixed
+        q, qy, q2 = m.r @ slopes, m.ry @ slopes, (m.rr @ slopes) @ slopes
+        squares += (m.yy - 2 * (f * m.y + qy) + m.n * f**2 + 2 * f * q + q2).sum()
+    return max(squares, 0.0)
+
+
 def _fit_effects(design, sums, penalties, mode, level, floor):
     """Effect coefficients with the trend held at ``floor + level``."""
     size = design.width

@@ -12,14 +12,8 @@ from loomcast.config import ForecastConfig
 from loomcast.functions.steps import elapsed
 from loomcast.models.base import NativeModel
 from loomcast.operators.quality import missing_ratio
-from loomcast.operators.steps import (
-    explode_horizon,
-    fold_steps,
-    error_row,
-    with_horizon,
-    with_series_facts,
-)
-from loomcast.operators.windows import running_windows, scored_dates
+from loomcast.operators.steps import error_row, explode_horizon, series_steps, with_horizon
+from loomcast.operators.windows import prediction_columns, running_windows, scored_dates
 
 TOO_FEW = "fewer than two usable dates"
 BAD_DATE = "missing date"
@@ -64,7 +58,7 @@ class LinearTrend(NativeModel):
         )
 
     def _with_history(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
-        steps = with_series_facts(fold_steps(rows, cfg.keys), cfg)
+        steps = series_steps(rows, cfg)
         t = elapsed(F.col("ds"), F.col("last_ds"), cfg.freq)
         series = Window.partitionBy(*cfg.keys)
         totals = {name: F.sum(value).over(series) for name, value in _sums(t).items()}
@@ -82,19 +76,15 @@ class LinearTrend(NativeModel):
         )
 
     def backtest(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
-        steps = with_series_facts(fold_steps(rows, cfg.keys), cfg)
+        steps = series_steps(rows, cfg, keep_targets=True)
         t = elapsed(F.col("ds"), F.col("first_cutoff"), cfg.freq)
         windows = running_windows(steps, cfg, _sums(t))
         slope, intercept = _line(**{name: F.col(name) for name in _sums(t)})
         fitted = windows.withColumns({"slope": slope, "intercept": intercept})
         fitted = fitted.withColumn("error", _error(F.lit(False), F.col("slope")))
-        return scored_dates(fitted, cfg).select(
-            *cfg.keys,
-            "cutoff",
-            "ds",
-            (F.col("intercept") + F.col("slope") * t).alias("y_pred"),
-            "error",
-        )
+        dates = scored_dates(fitted, cfg)
+        y_pred = F.col("intercept") + F.col("slope") * t
+        return dates.withColumn("y_pred", y_pred).select(*prediction_columns(dates, cfg))
 
 
 def _epoch(cfg: ForecastConfig) -> Column:

@@ -13,16 +13,11 @@ from loomcast.functions.steps import step_number
 from loomcast.models.base import NativeModel
 from loomcast.models.linear import BAD_DATE
 from loomcast.operators.keys import null_safe_join
-from loomcast.operators.steps import (
-    error_row,
-    fold_steps,
-    mean_target,
-    with_horizon,
-    with_series_facts,
-)
+from loomcast.operators.steps import error_row, mean_target, series_steps, with_horizon
 from loomcast.operators.windows import (
     fill_forward,
     first_training_window,
+    prediction_columns,
     running_windows,
     scored_dates,
     with_window_index,
@@ -54,7 +49,7 @@ class _PhaseModel(NativeModel):
 
     def forecast(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
         keys = cfg.keys
-        steps = with_series_facts(fold_steps(rows, keys), cfg)
+        steps = series_steps(rows, cfg)
         steps = steps.withColumn("_usable", F.sum("n_obs").over(Window.partitionBy(*keys)))
         grid = with_horizon(steps, cfg, ("n_obs", "sum_y"))
         grid = grid.withColumn("phase", self._phase(F.col("ds"), cfg))
@@ -76,7 +71,7 @@ class _PhaseModel(NativeModel):
 
     def backtest(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
         keys = cfg.keys
-        steps = with_series_facts(fold_steps(rows, keys), cfg).where(F.col("ds").isNotNull())
+        steps = series_steps(rows, cfg, keep_targets=True).where(F.col("ds").isNotNull())
         windows = running_windows(steps, cfg).withColumn(
             "error", F.when(F.col("train_obs") == 0, F.lit(NO_TARGET))
         )
@@ -92,7 +87,7 @@ class _PhaseModel(NativeModel):
         )
         dates = scored_dates(windows, cfg).withColumn("phase", self._phase(F.col("ds"), cfg))
         return null_safe_join(dates, values, keys, ["phase", "k"], "left").select(
-            *keys, "cutoff", "ds", "y_pred", "error"
+            *prediction_columns(dates, cfg)
         )
 
 

@@ -15,7 +15,7 @@ from loomcast.functions.missing import nan_to_null
 from loomcast.functions.steps import clock, from_clock, to_step
 from loomcast.models.base import SeriesModel
 from loomcast.operators.keys import require_columns, with_series_key
-from loomcast.operators.steps import fold_steps, mean_target, with_horizon, with_series_facts
+from loomcast.operators.steps import mean_target, series_steps, with_horizon
 from loomcast.operators.windows import cutoff_at, first_cutoff, with_window_index
 from loomcast.sources.tables import read_source
 
@@ -87,8 +87,8 @@ def series_design(
     else:
         n_rows = F.count("*")
         means = [F.avg(r).alias(f"rm_{r}") for r in names]
-    steps = fold_steps(rows, keys, [*sums, *means], n_rows)
-    facts = with_series_facts(steps, cfg, series_partitions(rows.sparkSession, cfg))
+    partitions = series_partitions(rows.sparkSession, cfg)
+    facts = series_steps(rows, cfg, [*sums, *means], n_rows, partitions, keep_targets=not horizon)
     if not horizon:
         return facts.withColumn("h", F.lit(0))
     carried = {*keys, "ds", "last_ds", "bad_date", "h"}
@@ -201,10 +201,12 @@ def backtest_series(
         _unit(cfg),
         cfg.freq,
         (cfg.prediction_length, cfg.stride, cfg.window_count),
+        "targets" in frame.columns,
     )
+    with_targets = "targets" in frame.columns
     schema = (
         f"{_key_schema(frame, cfg.keys)}, model_name string, k int, last_x bigint, "
-        "x bigint, y_pred double, error string"
+        f"x bigint, y_pred double, error string{', targets array<double>' * with_targets}"
     )
     out = frame.groupBy(*cfg.keys).applyInPandas(run, schema)
     first = first_cutoff(from_clock(F.col("last_x"), cfg.freq), cfg)
@@ -215,6 +217,7 @@ def backtest_series(
         from_clock(F.col("x"), cfg.freq).alias("ds"),
         nan_to_null(F.col("y_pred")).alias("y_pred"),
         "error",
+        *([F.explode("targets").alias("y")] if with_targets else []),
     )
 
 
@@ -258,9 +261,11 @@ def make_backtester(
     unit: str,
     freq: str,
     shape: tuple[int, int, int],
+    with_targets: bool,
 ) -> Callable[[pd.DataFrame], pd.DataFrame]:
     length, stride, windows = shape
-    columns = [*keys, "model_name", "k", "last_x", "x", "y_pred", "error"]
+    kept = ["targets"] if with_targets else []
+    columns = [*keys, "model_name", "k", "last_x", "x", "y_pred", "error", *kept]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = _in_order(pdf, unit)
@@ -274,12 +279,12 @@ def make_backtester(
                 continue
             ahead = steps_ahead(actual, train.iloc[-1], freq)
             dates = actual[(ahead >= 1) & (ahead <= length)]
-            if dates.empty:
-                continue
             for label, model in models.items():
                 result, error = attempt(model, train, dates, unit)
                 if error is not None:
                     result = pd.DataFrame({"x": [actual["x"].iloc[0]], "y_pred": [np.nan]})
+                if with_targets:
+                    result = result.merge(actual[["x", "targets"]], on="x")
                 parts.append(result.assign(model_name=label, k=k, error=error))
         if not parts:
             return pd.DataFrame(columns=columns)
@@ -307,6 +312,8 @@ def attempt(
     try:
         fresh = type(model)(model.params)
         fresh.fit(fresh.prepare_data(history))
+        if dates.empty:
+            return pd.DataFrame({"x": [], "y_pred": []}), None
         result = fresh.forecast(dates)
         absent = {"ds", "y_pred"} - set(result.columns)
         if absent:

@@ -19,12 +19,14 @@ def score_windows(predictions: DataFrame, rows: DataFrame, cfg: ForecastConfig)
     many rows spreads over its dates, and the metric is summed per task before
     it travels; adaptive execution splits a date that is still too large. A
     window with an error carries it on a date that has rows, so failed windows
-    need no second pass over the predictions.
+    need no second pass over the predictions. Predictions that already hold the
+    target as ``y`` need no join.
     """
     keys = cfg.keys
-    joined = null_safe_join(
-        rows.where(F.col("ds").isNotNull()).select(*keys, "ds", "y"), predictions, keys, ["ds"]
-    )
+    joined = predictions
+    if "y" not in predictions.columns:
+        actual = rows.where(F.col("ds").isNotNull()).select(*keys, "ds", "y")
+        joined = null_safe_join(actual, predictions, keys, ["ds"])
     metric = METRICS.get(cfg.metric)
     y, p = zero_filled(F.col("y")), zero_filled(F.col("y_pred"))
     value = metric(y, p) if metric else F.lit(float("nan"))

@@ -5,6 +5,10 @@ travel by series key, with map-side partial sums. After that a series has at
 most as many rows as its calendar has steps, however many source rows it holds,
 so everything partitioned by series is bounded. Least squares over the folded
 rows equals least squares over the source rows.
+
+Where the source is known to hold few rows per step, that bound is there from
+the start: rows travel by series at once and are folded where they arrive, which
+saves a shuffle of the whole table.
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomcast.config import ForecastConfig
+from loomcast.functions.missing import zero_filled
 from loomcast.functions.steps import add_steps, ds_type, step_number
 
 
@@ -29,18 +34,37 @@ def fold_steps(
     )
 
 
-def with_series_facts(
-    steps: DataFrame, cfg: ForecastConfig, partitions: int | None = None
+def series_steps(
+    rows: DataFrame,
+    cfg: ForecastConfig,
+    sums: Iterable[Column] = (),
+    n_rows: Column | None = None,
+    partitions: int | None = None,
+    keep_targets: bool = False,
 ) -> DataFrame:
-    """Add ``last_ds`` and ``bad_date``; apply the quality filter when it is on.
+    """Folded steps partitioned by series, with ``last_ds`` and ``bad_date``.
 
-    One exchange by series key serves these windows and whatever the caller
+    One exchange by series key serves the windows here and whatever the caller
     groups by series next. ``partitions`` fixes its width for grouped maps,
-    whose cost follows the number of series and not the bytes.
+    whose cost follows the number of series and not the bytes. ``keep_targets``
+    adds the targets of a step as a list, where a step has few rows. The quality
+    filter applies when it is on.
     """
     keys = cfg.keys
-    if partitions:
-        steps = steps.repartition(partitions, *keys)
+    spread = [partitions, *keys] if partitions else keys
+    if cfg.few_rows_per_step:
+        rows = rows.repartition(*spread)
+        if keep_targets:
+            sums = [*sums, F.collect_list(zero_filled(F.col("y"))).alias("targets")]
+        steps = fold_steps(rows, keys, sums, n_rows)
+    else:
+        steps = fold_steps(rows, keys, sums, n_rows)
+        steps = steps.repartition(*spread) if partitions else steps
+    return _with_series_facts(steps, cfg)
+
+
+def _with_series_facts(steps: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    keys = cfg.keys
     series = Window.partitionBy(*keys)
     facts = {
         "last_ds": F.max(F.when(F.col("n_rows") > 0, F.col("ds"))).over(series),
@@ -94,8 +118,7 @@ def future_grid(rows: DataFrame, cfg: ForecastConfig, include_history: bool = Fa
     """Forecast dates per series: the horizon, and the history dates on request."""
     keys = cfg.keys
     if include_history:
-        steps = with_series_facts(fold_steps(rows, keys), cfg)
-        return with_horizon(steps, cfg, ()).select(*keys, "h", "ds")
+        return with_horizon(series_steps(rows, cfg), cfg, ()).select(*keys, "h", "ds")
     last = rows.groupBy(*keys).agg(F.max("ds").alias("last_ds"))
     return explode_horizon(last, cfg).select(*keys, "h", "ds")
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomcast.config import ForecastConfig
-from loomcast.functions.steps import add_steps, step_index
+from loomcast.functions.steps import add_steps, elapsed, step_index
 from loomcast.operators.keys import null_safe_join
 
 
@@ -92,6 +92,10 @@ def running_windows(
         ),
     )
     train = F.col("train")
+    kept = []
+    if "targets" in steps.columns:
+        actual = F.when(~train, F.struct("ds", "targets"))
+        kept = [F.collect_list(actual).alias("actuals")]
     sums = {"train_rows": F.col("n_rows"), "train_obs": F.col("n_obs"), **sums}
     per_window = (
         steps.withColumns({f"_sum_{name}": value for name, value in sums.items()})
@@ -103,6 +107,7 @@ def running_windows(
             F.max(F.when(train, F.col("ds"))).alias("last_train"),
             F.min(F.when(~train, F.col("ds"))).alias("first_actual"),
             F.sum(F.when(~train, F.col("n_rows"))).alias("n_actual"),
+            *kept,
         )
     )
     so_far = Window.partitionBy(*keys).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
@@ -125,8 +130,20 @@ def scored_dates(windows: DataFrame, cfg: ForecastConfig) -> DataFrame:
     The grid follows the last training step; with a gap before the cutoff it
     covers only part of the test range. A window with an ``error`` gets one row,
     on its first test date, so that scoring meets it there.
+
+    Windows that carry their ``actuals`` give those dates that lie on the grid,
+    one row per target in column ``y``; a failed window keeps all of them.
     """
     failed = F.col("error").isNotNull()
+    if "actuals" in windows.columns:
+        dates = windows.withColumn("_actual", F.explode("actuals")).withColumn(
+            "ds", F.col("_actual.ds")
+        )
+        on_grid = steps_ahead(F.col("ds"), F.col("last_train"), cfg).between(
+            1, cfg.prediction_length
+        )
+        dates = dates.where(failed | on_grid)
+        return dates.withColumn("y", F.explode("_actual.targets")).drop("_actual", "actuals")
     offsets = F.when(failed, F.array(F.lit(0))).otherwise(
         F.sequence(F.lit(1), F.lit(cfg.prediction_length))
     )
@@ -137,6 +154,19 @@ def scored_dates(windows: DataFrame, cfg: ForecastConfig) -> DataFrame:
     return grid.where(F.col("ds") >= F.col("cutoff"))
 
 
+def steps_ahead(ds: Column, last: Column, cfg: ForecastConfig) -> Column:
+    """Steps of the grid after ``last`` at ``ds``; 0 for a date off the grid."""
+    ahead = step_index(ds, last, cfg.freq)
+    if cfg.freq == "W":
+        return F.when(elapsed(ds, last, "D") % 7 == 0, ahead).otherwise(0)
+    return ahead
+
+
+def prediction_columns(dates: DataFrame, cfg: ForecastConfig) -> list[str]:
+    actual = ["y"] if "y" in dates.columns else []
+    return [*cfg.keys, "cutoff", "ds", "y_pred", "error", *actual]
+
+
 def fill_forward(stats: DataFrame, by: Iterable[str], cfg: ForecastConfig) -> DataFrame:
     """Repeat each window's running values in the windows up to the next one present."""
     following = F.lead("k").over(Window.partitionBy(*by).orderBy("k"))

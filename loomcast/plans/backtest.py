@@ -43,10 +43,9 @@ def backtest(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
         design = series_design(rows, cfg, inputs, horizon=False)
         design = with_holidays(design, df.sparkSession, inputs.holidays)
         parts.append(backtest_series(design, cfg, per_series))
-    columns = [*cfg.keys, "model_name", "cutoff", "ds", "y_pred", "error"]
-    predictions = parts[0].select(*columns)
+    predictions = parts[0]
     for part in parts[1:]:
-        predictions = predictions.unionByName(part.select(*columns))
+        predictions = predictions.unionByName(part)
     return score_windows(predictions, plain, cfg)
 
 

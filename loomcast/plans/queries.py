@@ -124,6 +124,7 @@ def config(**changes) -> ForecastConfig:
         backtest_length=30,
         stride=7,
         include_history=False,
+        few_rows_per_step=True,
         active_models=("LinearTrend",),
         models={"LinearTrend": {}, "SeasonalNaive": {}, "WeekdayProfile": {}},
     )
@@ -212,7 +213,7 @@ def quality_removed_series(spark, sf_dir):
 
 
 def quality_filtered_forecast(spark, sf_dir):
-    cfg = config(data_quality_check=True)
+    cfg = config(data_quality_check=True, few_rows_per_step=False)
     return _forecast_rows(event_rows_with_gaps(spark, sf_dir), cfg)
 
 
@@ -275,7 +276,7 @@ def forecast_linear_with_history(spark, sf_dir):
 
 
 def forecast_linear_monthly(spark, sf_dir):
-    return _forecast_rows(order_rows(spark, sf_dir), config(freq="M"), 2)
+    return _forecast_rows(order_rows(spark, sf_dir), config(freq="M", few_rows_per_step=False), 2)
 
 
 def forecast_resampled(spark, sf_dir):
@@ -441,7 +442,7 @@ def backtest_per_series(spark, sf_dir):
 
 
 def backtest_duplicate_dates(spark, sf_dir):
-    return _evaluations(event_rows(spark, sf_dir), config())
+    return _evaluations(event_rows(spark, sf_dir), config(few_rows_per_step=False))
 
 
 def backtest_other_metrics(spark, sf_dir):
@@ -451,7 +452,8 @@ def backtest_other_metrics(spark, sf_dir):
 
 
 def backtest_monthly(spark, sf_dir):
-    cfg = config(freq="M", prediction_length=3, backtest_length=12, stride=2)
+    shape = dict(prediction_length=3, backtest_length=12, stride=2)
+    cfg = config(freq="M", few_rows_per_step=False, **shape)
     return _evaluations(order_rows(spark, sf_dir), cfg)
 
 
