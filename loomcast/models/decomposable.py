@@ -83,6 +83,8 @@ class Decomposable(SeriesModel):
         n = rows["n_obs"].to_numpy(float)
         if n.sum() < 2:
             raise FitError("fewer than two usable rows")
+        if not np.isfinite(rows["max_abs"]).all():
+            raise FitError("infinite target")
         days = _days(rows["ds"])
         self.start, self.span = days[0], (days[-1] - days[0]) or 1.0
         self.fourier = self._seasonal_terms(days)

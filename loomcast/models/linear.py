@@ -17,6 +17,7 @@ from loomcast.operators.windows import prediction_columns, running_windows, scor
 
 TOO_FEW = "fewer than two usable dates"
 BAD_DATE = "missing date"
+INFINITE = "infinite target"
 
 
 class LinearTrend(NativeModel):
@@ -111,4 +112,8 @@ def _line(n: Column, st: Column, stt: Column, sy: Column, sty: Column) -> tuple[
 
 
 def _error(bad_date: Column, slope: Column) -> Column:
-    return F.when(bad_date, F.lit(BAD_DATE)).when(slope.isNull(), F.lit(TOO_FEW))
+    return (
+        F.when(bad_date, F.lit(BAD_DATE))
+        .when(slope.isNull(), F.lit(TOO_FEW))
+        .when(F.isnan(slope - slope), F.lit(INFINITE))
+    )

@@ -183,8 +183,7 @@ def forecast_series(
     schema = f"{_key_schema(frame, cfg.keys)}, model_name string, x bigint, y_pred double, error string"
     out = frame.groupBy(*cfg.keys).applyInPandas(run, schema)
     return out.select(
-        *cfg.keys, "model_name", from_clock(F.col("x"), cfg.freq).alias("ds"),
-        nan_to_null(F.col("y_pred")).alias("y_pred"), "error",
+        *cfg.keys, "model_name", from_clock(F.col("x"), cfg.freq).alias("ds"), "y_pred", "error"
     )
 
 
@@ -215,7 +214,7 @@ def backtest_series(
         "model_name",
         cutoff_at(first, F.col("k"), cfg).alias("cutoff"),
         from_clock(F.col("x"), cfg.freq).alias("ds"),
-        nan_to_null(F.col("y_pred")).alias("y_pred"),
+        "y_pred",
         "error",
         *([F.explode("targets").alias("y")] if with_targets else []),
     )
@@ -241,7 +240,7 @@ def make_forecaster(
             error = "missing date" if bad_date else None
             result = None
             if error is None:
-                result, error = _attempt(model, history, dates)
+                result, error = attempt(model, history, dates, dates["h"] > 0, unit)
             if error is not None:
                 result = pd.DataFrame({"x": [pd.NA], "y_pred": [np.nan]})
             parts.append(
@@ -249,9 +248,6 @@ def make_forecaster(
             )
         return _typed(pd.concat(parts, ignore_index=True))[[*keys, "model_name", "x", "y_pred", "error"]]
 
-    def _attempt(model, history, dates):
-        return attempt(model, history, dates, unit)
-
     return run
 
 
@@ -280,7 +276,7 @@ def make_backtester(
             ahead = steps_ahead(actual, train.iloc[-1], freq)
             dates = actual[(ahead >= 1) & (ahead <= length)]
             for label, model in models.items():
-                result, error = attempt(model, train, dates, unit)
+                result, error = attempt(model, train, dates, dates["h"] == 0, unit)
                 if error is not None:
                     result = pd.DataFrame({"x": [actual["x"].iloc[0]], "y_pred": [np.nan]})
                 if with_targets:
@@ -306,9 +302,13 @@ def steps_ahead(rows: pd.DataFrame, last: pd.Series, freq: str) -> np.ndarray:
 
 
 def attempt(
-    model: SeriesModel, history: pd.DataFrame, dates: pd.DataFrame, unit: str
+    model: SeriesModel, history: pd.DataFrame, dates: pd.DataFrame, wanted: pd.Series, unit: str
 ) -> tuple[pd.DataFrame | None, str | None]:
-    """Fit a fresh copy and forecast; a failure stays with this series and model."""
+    """Fit a fresh copy and forecast; a failure stays with this series and model.
+
+    A regressor may be unknown on a date of the past, which then has no
+    prediction, but not on a ``wanted`` date.
+    """
     try:
         fresh = type(model)(model.params)
         fresh.fit(fresh.prepare_data(history))
@@ -321,7 +321,8 @@ def attempt(
         ds = pd.to_datetime(result["ds"]).to_numpy("datetime64[us]")
         x = (ds - np.datetime64(0, "us")) // np.timedelta64(1, unit)
         y_pred = pd.to_numeric(result["y_pred"], errors="coerce").to_numpy(float)
-        if model.inputs().get("regressors") and np.isnan(y_pred).any():
+        lost = np.isin(dates.loc[wanted, "x"], x[np.isnan(y_pred)])
+        if model.inputs().get("regressors") and lost.any():
             return None, "missing regressor value on a forecast date"
         return pd.DataFrame({"x": x, "y_pred": y_pred}), None
     except Exception as problem:  # noqa: BLE001 - any model error is data, not a job failure

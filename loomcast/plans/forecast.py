@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomcast.config import ForecastConfig
+from loomcast.functions.missing import coerce_number
 from loomcast.models.base import SeriesModel
 from loomcast.models.registry import resolve_models
 from loomcast.operators.grouped import (
@@ -59,7 +60,8 @@ def forecast(
     fitted = parts[0]
     for part in parts[1:]:
         fitted = fitted.unionByName(part)
-    return fitted.select(*cfg.keys, "model_name", "ds", "y_pred", "error")
+    y_pred = coerce_number(F.col("y_pred")).alias("y_pred")
+    return fitted.select(*cfg.keys, "model_name", "ds", y_pred, "error")
 
 
 def split_failures(fitted: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -172,6 +172,33 @@ def test_missing_future_regressor_is_a_failure(spark):
         forecast(df, cfg)
 
 
+def test_unknown_past_regressor_leaves_one_date_out(spark):
+    rows = [(*row, 1.0) for row in daily(1, 1, [1.0, 2.0, 4.0, 3.0] * 5)]
+    rows[3] = (*rows[3][:3], None, None)
+    future = [(1, 1, EPOCH + dt.timedelta(days=20 + i), 0.5) for i in range(7)]
+    scoring = spark.createDataFrame(future, "store_nbr int, item_nbr int, date date, promo double")
+    cfg = config(active_models=("Decomposable",), models={"Decomposable": {"regressors": ["promo"]}})
+    got = forecast(sales(spark, rows, "promo double"), cfg, scoring).orderBy("ds").collect()
+    assert len(got) == 27 and [i for i, r in enumerate(got) if r.y_pred is None] == [3]
+
+
+def test_holidays_move_their_dates_only(spark):
+    values = [10.0] * 60
+    for i in (10, 25, 40):
+        values[i] = 20.0
+    days = [EPOCH + dt.timedelta(days=i) for i in (10, 25, 40, 63)]
+    holidays = spark.createDataFrame(
+        [(d, "promo_day") for d in days] + [(days[0], "promo_day"), (EPOCH - dt.timedelta(9), "old")],
+        "ds date, holiday string",
+    )
+    cfg = config(
+        include_history=False, active_models=("Decomposable",),
+        models={"Decomposable": {"holidays": holidays, "weekly_seasonality": False}},
+    )
+    got = forecast(sales(spark, daily(1, 1, values)), cfg).orderBy("ds").collect()
+    assert [round(r.y_pred) for r in got] == [10, 10, 10, 20, 10, 10, 10]
+
+
 def test_errors_stay_with_their_series_and_model(spark):
     for model in (Failing, Shapeless, MeanOf):
         register_model(model.__name__, model)
@@ -199,6 +226,16 @@ def test_errors_stay_with_their_series_and_model(spark):
     assert {r.y_pred for r in forecasts.where("model_name = 'MeanOf' and group_id = '1_1'").collect()} == {2.0}
 
 
+def test_infinite_target_is_a_failure(spark):
+    names = ("LinearTrend", "Decomposable")
+    df = sales(spark, daily(1, 1, [1.0, 2.0, float("inf"), 4.0]))
+    for history in (False, True):
+        cfg = config(include_history=history, active_models=names)
+        forecasts, failures = split_failures(forecast(df, cfg))
+        assert forecasts.isEmpty()
+        assert {r.error for r in failures.collect()} == {"infinite target"}
+
+
 def test_missing_date_is_a_failure(spark):
     rows = daily(1, 1, [1.0, 2.0, 3.0]) + [(1, 1, None, 4.0), (2, 1, None, 1.0)]
     for history in (False, True):
