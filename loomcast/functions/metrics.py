@@ -1,4 +1,7 @@
-"""Accuracy metrics as aggregate expressions over joined actuals and forecasts."""
+"""Accuracy metrics as aggregate expressions over joined actuals and forecasts.
+
+``w`` counts the source rows behind one joined row.
+"""
 
 from __future__ import annotations
 
@@ -9,18 +12,22 @@ from pyspark.sql import functions as F
 _EPSILON = 2.220446049250313e-16
 
 
-def smape(y: Column, p: Column) -> Column:
+def _mean(term: Column, w: Column) -> Column:
+    return F.sum(term * w) / F.sum(w)
+
+
+def smape(y: Column, p: Column, w: Column) -> Column:
     """Mean of ``2|y-p| / (|y|+|p|)``, from 0 to 2; 0/0 counts as 0."""
     size = F.abs(y) + F.abs(p)
-    return F.avg(F.when(size == 0, F.lit(0.0)).otherwise(2 * F.abs(y - p) / size))
+    return _mean(F.when(size == 0, F.lit(0.0)).otherwise(2 * F.abs(y - p) / size), w)
 
 
-def mape(y: Column, p: Column) -> Column:
-    return F.avg(F.abs(y - p) / F.greatest(F.abs(y), F.lit(_EPSILON)))
+def mape(y: Column, p: Column, w: Column) -> Column:
+    return _mean(F.abs(y - p) / F.greatest(F.abs(y), F.lit(_EPSILON)), w)
 
 
-def rmse(y: Column, p: Column) -> Column:
-    return F.sqrt(F.avg((y - p) * (y - p)))
+def rmse(y: Column, p: Column, w: Column) -> Column:
+    return F.sqrt(_mean((y - p) * (y - p), w))
 
 
 METRICS = {"smape": smape, "mape": mape, "rmse": rmse}

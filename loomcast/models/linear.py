@@ -12,7 +12,13 @@ from loomcast.config import ForecastConfig
 from loomcast.functions.steps import elapsed
 from loomcast.models.base import NativeModel
 from loomcast.operators.quality import missing_ratio
-from loomcast.operators.steps import error_row, explode_horizon, series_steps, with_horizon
+from loomcast.operators.steps import (
+    error_row,
+    explode_horizon,
+    series_steps,
+    tested_steps,
+    with_horizon,
+)
 from loomcast.operators.windows import prediction_columns, running_windows, scored_dates
 
 TOO_FEW = "fewer than two usable dates"
@@ -77,7 +83,7 @@ class LinearTrend(NativeModel):
         )
 
     def backtest(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
-        steps = series_steps(rows, cfg, keep_targets=True)
+        steps = tested_steps(rows, cfg)
         t = elapsed(F.col("ds"), F.col("first_cutoff"), cfg.freq)
         windows = running_windows(steps, cfg, _sums(t))
         slope, intercept = _line(**{name: F.col(name) for name in _sums(t)})

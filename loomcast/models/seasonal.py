@@ -13,7 +13,13 @@ from loomcast.functions.steps import step_number
 from loomcast.models.base import NativeModel
 from loomcast.models.linear import BAD_DATE
 from loomcast.operators.keys import null_safe_join
-from loomcast.operators.steps import error_row, mean_target, series_steps, with_horizon
+from loomcast.operators.steps import (
+    error_row,
+    mean_target,
+    series_steps,
+    tested_steps,
+    with_horizon,
+)
 from loomcast.operators.windows import (
     fill_forward,
     first_training_window,
@@ -71,8 +77,8 @@ class _PhaseModel(NativeModel):
 
     def backtest(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
         keys = cfg.keys
-        steps = series_steps(rows, cfg, keep_targets=True).where(F.col("ds").isNotNull())
-        windows = running_windows(steps, cfg).withColumn(
+        steps = series_steps(rows, cfg).where(F.col("ds").isNotNull())
+        windows = running_windows(tested_steps(rows, cfg), cfg).withColumn(
             "error", F.when(F.col("train_obs") == 0, F.lit(NO_TARGET))
         )
         by = [*keys, "phase"]

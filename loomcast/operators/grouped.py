@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomcast.config import ForecastConfig
-from loomcast.functions.missing import nan_to_null
+from loomcast.functions.missing import nan_to_null, zero_filled
 from loomcast.functions.steps import clock, from_clock, to_step
 from loomcast.models.base import SeriesModel
 from loomcast.operators.keys import require_columns, with_series_key
@@ -88,7 +88,10 @@ def series_design(
         n_rows = F.count("*")
         means = [F.avg(r).alias(f"rm_{r}") for r in names]
     partitions = series_partitions(rows.sparkSession, cfg)
-    facts = series_steps(rows, cfg, [*sums, *means], n_rows, partitions, keep_targets=not horizon)
+    if cfg.few_rows_per_step and not horizon:
+        # A backtest scores the rows of a step one by one.
+        sums.append(F.collect_list(zero_filled(F.col("y"))).alias("targets"))
+    facts = series_steps(rows, cfg, [*sums, *means], n_rows, partitions)
     if not horizon:
         return facts.withColumn("h", F.lit(0))
     carried = {*keys, "ds", "last_ds", "bad_date", "h"}
@@ -216,7 +219,7 @@ def backtest_series(
         from_clock(F.col("x"), cfg.freq).alias("ds"),
         "y_pred",
         "error",
-        *([F.explode("targets").alias("y")] if with_targets else []),
+        *([F.explode("targets").alias("y"), F.lit(1).alias("weight")] if with_targets else []),
     )
 
 

@@ -20,20 +20,20 @@ def score_windows(predictions: DataFrame, rows: DataFrame, cfg: ForecastConfig)
     it travels; adaptive execution splits a date that is still too large. A
     window with an error carries it on a date that has rows, so failed windows
     need no second pass over the predictions. Predictions that already hold the
-    target as ``y`` need no join.
+    target as ``y``, for ``weight`` rows each, need no join.
     """
     keys = cfg.keys
     joined = predictions
     if "y" not in predictions.columns:
         actual = rows.where(F.col("ds").isNotNull()).select(*keys, "ds", "y")
-        joined = null_safe_join(actual, predictions, keys, ["ds"])
+        joined = null_safe_join(actual, predictions, keys, ["ds"]).withColumn("weight", F.lit(1))
     metric = METRICS.get(cfg.metric)
     y, p = zero_filled(F.col("y")), zero_filled(F.col("y_pred"))
-    value = metric(y, p) if metric else F.lit(float("nan"))
+    value = metric(y, p, F.col("weight")) if metric else F.lit(float("nan"))
     scored = joined.groupBy(*keys, "model_name", "cutoff").agg(
-        value.alias("value"), F.max("error").alias("error")
+        value.alias("value"), F.count("error").alias("errors")
     )
-    failed = F.col("error").isNotNull()
+    failed = F.col("errors") > 0
     status = F.when(failed, "error").otherwise("ok" if metric else "unsupported_metric")
     return scored.select(
         F.col(keys[0]).alias("unique_id"),

@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomcast.config import ForecastConfig
-from loomcast.functions.missing import zero_filled
 from loomcast.functions.steps import add_steps, ds_type, step_number
 
 
@@ -40,29 +39,44 @@ def series_steps(
     sums: Iterable[Column] = (),
     n_rows: Column | None = None,
     partitions: int | None = None,
-    keep_targets: bool = False,
 ) -> DataFrame:
     """Folded steps partitioned by series, with ``last_ds`` and ``bad_date``.
 
     One exchange by series key serves the windows here and whatever the caller
     groups by series next. ``partitions`` fixes its width for grouped maps,
-    whose cost follows the number of series and not the bytes. ``keep_targets``
-    adds the targets of a step as a list, where a step has few rows. The quality
-    filter applies when it is on.
+    whose cost follows the number of series and not the bytes. The quality filter
+    applies when it is on.
     """
     keys = cfg.keys
     spread = [partitions, *keys] if partitions else keys
     if cfg.few_rows_per_step:
-        rows = rows.repartition(*spread)
-        if keep_targets:
-            sums = [*sums, F.collect_list(zero_filled(F.col("y"))).alias("targets")]
-        steps = fold_steps(rows, keys, sums, n_rows)
+        steps = fold_steps(rows.repartition(*spread), keys, sums, n_rows)
     else:
         steps = fold_steps(rows, keys, sums, n_rows)
         steps = steps.repartition(*spread) if partitions else steps
     return _with_series_facts(steps, cfg)
 
 
+def tested_steps(rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    """Steps for a backtest whose training sums add up over source rows.
+
+    With few rows per step the rows themselves serve, each as a step of its own
+    that keeps its target ``y``; scoring then needs no second look at the source.
+    """
+    if not cfg.few_rows_per_step:
+        return series_steps(rows, cfg)
+    y = F.col("y")
+    single = rows.repartition(*cfg.keys).select(
+        *cfg.keys,
+        "ds",
+        "y",
+        F.lit(1).cast("bigint").alias("n_rows"),
+        y.isNotNull().cast("bigint").alias("n_obs"),
+        y.alias("sum_y"),
+    )
+    return _with_series_facts(single, cfg)
+
+
 def _with_series_facts(steps: DataFrame, cfg: ForecastConfig) -> DataFrame:
     keys = cfg.keys
     series = Window.partitionBy(*keys)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomcast.config import ForecastConfig
+from loomcast.functions.missing import zero_filled
 from loomcast.functions.steps import add_steps, elapsed, step_index
 from loomcast.operators.keys import null_safe_join
 
@@ -70,18 +71,61 @@ def running_windows(
 
     Windows without training rows, or with fewer test rows than the horizon, are
     left out. Result: keys, ``k``, ``cutoff``, ``first_cutoff``, ``last_train``,
-    ``first_actual``, ``train_obs`` and the running ``sums``.
+    ``train_obs`` and the running ``sums``. From folded steps there is one row per
+    window, with ``first_actual``. From steps that still hold their target there is
+    one row per window and distinct test row, with ``ds``, ``y`` and the number of
+    such rows as ``weight``.
     """
     keys = cfg.keys
-    sums = dict(sums or {})
     steps = with_window_index(steps.where(F.col("ds").isNotNull()), cfg)
-    i, last_k = F.col("i"), cfg.window_count - 1
+    sums = {"train_rows": F.col("n_rows"), "train_obs": F.col("n_obs"), **(sums or {})}
+    entries = (
+        steps.withColumns({f"_sum_{name}": value for name, value in sums.items()})
+        .withColumn("_entry", F.explode(_entries(F.col("i"), cfg)))
+        .withColumns({"k": F.col("_entry.k"), "train": F.col("_entry.train")})
+    )
+    train = F.col("train")
+    with_target = "y" in steps.columns
+    by = [*keys, "first_cutoff", "k"]
+    if with_target:
+        tested = {"ds": F.col("ds"), "y": zero_filled(F.col("y"))}
+        by += ["train", *[F.when(~train, v).alias(f"_test_{name}") for name, v in tested.items()]]
+    per_window = entries.groupBy(*by).agg(
+        *[F.sum(F.when(train, F.col(f"_sum_{name}"))).alias(name) for name in sums],
+        F.max(F.when(train, F.col("ds"))).alias("last_train"),
+        F.min(F.when(~train, F.col("ds"))).alias("first_actual"),
+        F.sum(F.when(~train, F.col("n_rows"))).alias("weight"),
+    )
+    window = Window.partitionBy(*keys, "k").orderBy("k")
+    whole = window.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    so_far = Window.partitionBy(*keys).orderBy("k").rangeBetween(Window.unboundedPreceding, 0)
+    running = per_window.withColumns(
+        {
+            **{name: F.sum(name).over(so_far) for name in sums},
+            "last_train": F.max("last_train").over(so_far),
+            "_n_actual": F.sum("weight").over(whole),
+        }
+    )
+    running = running.where(
+        (F.col("train_rows") > 0) & (F.col("_n_actual") >= cfg.prediction_length)
+    ).withColumn("cutoff", cutoff_at(F.col("first_cutoff"), F.col("k"), cfg))
+    if not with_target:
+        return running.drop("_n_actual", "train_rows", "weight")
+    return (
+        running.where(~train)
+        .withColumnsRenamed({"_test_ds": "ds", "_test_y": "y"})
+        .drop("_n_actual", "train_rows", "train", "first_actual")
+    )
 
+
+def _entries(i: Column, cfg: ForecastConfig) -> Column:
+    """The windows a step at index ``i`` enters: ``k``, and whether to train on it."""
+    last_k = cfg.window_count - 1
     start = first_training_window(i, cfg)
     low = F.greatest(F.lit(0), F.ceil((i - cfg.prediction_length + 1) / cfg.stride)).cast("int")
     high = F.least(F.lit(last_k), F.floor(i / cfg.stride)).cast("int")
     no_windows = F.array().cast("array<int>")
-    entries = F.concat(
+    return F.concat(
         F.transform(
             F.when(start <= last_k, F.array(start)).otherwise(no_windows),
             lambda k: F.struct(k.alias("k"), F.lit(True).alias("train")),
@@ -91,37 +135,6 @@ def running_windows(
             lambda k: F.struct(k.alias("k"), F.lit(False).alias("train")),
         ),
     )
-    train = F.col("train")
-    kept = []
-    if "targets" in steps.columns:
-        actual = F.when(~train, F.struct("ds", "targets"))
-        kept = [F.collect_list(actual).alias("actuals")]
-    sums = {"train_rows": F.col("n_rows"), "train_obs": F.col("n_obs"), **sums}
-    per_window = (
-        steps.withColumns({f"_sum_{name}": value for name, value in sums.items()})
-        .withColumn("_entry", F.explode(entries))
-        .withColumns({"k": F.col("_entry.k"), "train": F.col("_entry.train")})
-        .groupBy(*keys, "first_cutoff", "k")
-        .agg(
-            *[F.sum(F.when(train, F.col(f"_sum_{name}"))).alias(name) for name in sums],
-            F.max(F.when(train, F.col("ds"))).alias("last_train"),
-            F.min(F.when(~train, F.col("ds"))).alias("first_actual"),
-            F.sum(F.when(~train, F.col("n_rows"))).alias("n_actual"),
-            *kept,
-        )
-    )
-    so_far = Window.partitionBy(*keys).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    running = per_window.withColumns(
-        {
-            **{name: F.sum(name).over(so_far) for name in sums},
-            "last_train": F.max("last_train").over(so_far),
-        }
-    )
-    return (
-        running.where((F.col("train_rows") > 0) & (F.col("n_actual") >= cfg.prediction_length))
-        .withColumn("cutoff", cutoff_at(F.col("first_cutoff"), F.col("k"), cfg))
-        .drop("n_actual", "train_rows")
-    )
 
 
 def scored_dates(windows: DataFrame, cfg: ForecastConfig) -> DataFrame:
@@ -131,19 +144,13 @@ def scored_dates(windows: DataFrame, cfg: ForecastConfig) -> DataFrame:
     covers only part of the test range. A window with an ``error`` gets one row,
     on its first test date, so that scoring meets it there.
 
-    Windows that carry their ``actuals`` give those dates that lie on the grid,
-    one row per target in column ``y``; a failed window keeps all of them.
+    Windows that come with their test rows keep those that lie on the grid, or
+    all of them in a failed window.
     """
     failed = F.col("error").isNotNull()
-    if "actuals" in windows.columns:
-        dates = windows.withColumn("_actual", F.explode("actuals")).withColumn(
-            "ds", F.col("_actual.ds")
-        )
-        on_grid = steps_ahead(F.col("ds"), F.col("last_train"), cfg).between(
-            1, cfg.prediction_length
-        )
-        dates = dates.where(failed | on_grid)
-        return dates.withColumn("y", F.explode("_actual.targets")).drop("_actual", "actuals")
+    if "y" in windows.columns:
+        ahead = steps_ahead(F.col("ds"), F.col("last_train"), cfg)
+        return windows.where(failed | ahead.between(1, cfg.prediction_length))
     offsets = F.when(failed, F.array(F.lit(0))).otherwise(
         F.sequence(F.lit(1), F.lit(cfg.prediction_length))
     )
@@ -163,7 +170,7 @@ def steps_ahead(ds: Column, last: Column, cfg: ForecastConfig) -> Column:
 
 
 def prediction_columns(dates: DataFrame, cfg: ForecastConfig) -> list[str]:
-    actual = ["y"] if "y" in dates.columns else []
+    actual = [c for c in ("y", "weight") if c in dates.columns]
     return [*cfg.keys, "cutoff", "ds", "y_pred", "error", *actual]
 
 

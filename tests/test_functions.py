@@ -59,7 +59,9 @@ def test_missing_values(spark):
 
 def test_metrics(spark):
     df = spark.createDataFrame([(0.0, 0.0), (1.0, 0.0), (2.0, 1.0)], "y double, p double")
-    y, p = F.col("y"), F.col("p")
-    assert df.agg(smape(y, p)).first()[0] == pytest.approx(0.8888888888888888)
-    assert df.agg(rmse(y, p)).first()[0] == pytest.approx((2 / 3) ** 0.5)
-    assert df.agg(mape(y, p)).first()[0] == pytest.approx(0.5)
+    args = F.col("y"), F.col("p"), F.lit(1)
+    assert df.agg(smape(*args)).first()[0] == pytest.approx(0.8888888888888888)
+    assert df.agg(rmse(*args)).first()[0] == pytest.approx((2 / 3) ** 0.5)
+    assert df.agg(mape(*args)).first()[0] == pytest.approx(0.5)
+    weighted = F.col("y"), F.col("p"), F.col("y") + 1
+    assert df.agg(smape(*weighted)).first()[0] == pytest.approx((2 * 2 + 3 * 2 / 3) / 6)
