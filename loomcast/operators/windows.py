@@ -82,7 +82,7 @@ def running_windows(
     entries = (
         steps.withColumns({f"_sum_{name}": value for name, value in sums.items()})
         .withColumn("_entry", F.explode(_entries(F.col("i"), cfg)))
-        .withColumns({"k": F.col("_entry.k"), "train": F.col("_entry.train")})
+        .withColumns({"k": F.shiftright("_entry", 1), "train": F.col("_entry") % 2 == 1})
     )
     train = F.col("train")
     with_target = "y" in steps.columns
@@ -119,21 +119,19 @@ def running_windows(
 
 
 def _entries(i: Column, cfg: ForecastConfig) -> Column:
-    """The windows a step at index ``i`` enters: ``k``, and whether to train on it."""
+    """Codes of the windows a step at index ``i`` enters.
+
+    ``2 * k`` is a test of window ``k`` and ``2 * k + 1`` the start of training in
+    it. Plain numbers keep the expansion in generated code.
+    """
     last_k = cfg.window_count - 1
     start = first_training_window(i, cfg)
     low = F.greatest(F.lit(0), F.ceil((i - cfg.prediction_length + 1) / cfg.stride)).cast("int")
     high = F.least(F.lit(last_k), F.floor(i / cfg.stride)).cast("int")
-    no_windows = F.array().cast("array<int>")
+    none = F.array().cast("array<int>")
     return F.concat(
-        F.transform(
-            F.when(start <= last_k, F.array(start)).otherwise(no_windows),
-            lambda k: F.struct(k.alias("k"), F.lit(True).alias("train")),
-        ),
-        F.transform(
-            F.when(low <= high, F.sequence(low, high)).otherwise(no_windows),
-            lambda k: F.struct(k.alias("k"), F.lit(False).alias("train")),
-        ),
+        F.when(start <= last_k, F.array(2 * start + 1)).otherwise(none),
+        F.when(low <= high, F.sequence(2 * low, 2 * high, F.lit(2))).otherwise(none),
     )
 
 
