@@ -37,7 +37,10 @@ def prepared_rows(
         return rows, cfg
     if cfg.data_quality_check:
         rows = kept_rows(rows, cfg.keys, cfg.missing_threshold)
-    return resample_spine(rows, cfg), replace(cfg, resample=False, data_quality_check=False)
+    # The spine has one row per step and is already partitioned by series, so
+    # folding it moves nothing.
+    done = dict(resample=False, data_quality_check=False, few_rows_per_step=False)
+    return resample_spine(rows, cfg), replace(cfg, **done)
 
 
 def check_quality(df: DataFrame, cfg: ForecastConfig) -> None:

@@ -48,6 +48,21 @@ def test_forecast_exchanges(table, capsys, models, history, few, expected):
     assert "unused" not in text and "other" not in text
 
 
+def test_native_models_share_one_shuffle(table, spark):
+    names = ("LinearTrend", "SeasonalNaive", "WeekdayProfile")
+    for few, moved in ((False, 2), (True, 1)):
+        df = forecast(table, config(active_models=names, few_rows_per_step=few))
+        df.collect()
+        text = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        made = [m for m in re.findall(r"(Reused)?Exchange.*hashpartitioning", text)]
+        assert made.count("") == moved and text.count("FileScan") == 1
+
+
+def test_resampling_folds_where_the_spine_lies(table, capsys):
+    text = plan(forecast(table, config(resample=True, few_rows_per_step=True)), capsys)
+    assert len(exchanges(text)) == 2
+
+
 def test_backtest_needs_one_exchange_of_rows(table, capsys):
     text = plan(backtest(table, config(few_rows_per_step=True)), capsys)
     assert len(exchanges(text)) == 1 and text.count("FileScan") == 1
