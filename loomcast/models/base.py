@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame
 from loomcast.config import ForecastConfig
 
 
+def holiday_column(label: str) -> str:
+    return f"holidays {label}"
+
+
 class NativeModel(ABC):
     """A model written as DataFrame operations over all series at once.
 
@@ -43,8 +47,11 @@ class SeriesModel(ABC):
         """What to bring besides the target: ``logistic``, ``regressors``, ``holidays``."""
         return {}
 
-    def worker_copy(self) -> SeriesModel:
-        """The instance sent to workers; it must hold plain data only."""
+    def worker_copy(self, label: str) -> SeriesModel:
+        """The instance sent to workers; it must hold plain data only.
+
+        Its holiday names, if it asked for any, are in ``holiday_column(label)``.
+        """
         return self
 
     def prepare_data(self, history: pd.DataFrame) -> pd.DataFrame:

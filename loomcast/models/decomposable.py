@@ -19,7 +19,7 @@ from typing import Any
 import numpy as np
 import pandas as pd
 
-from loomcast.models.base import SeriesModel
+from loomcast.models.base import SeriesModel, holiday_column
 
 # Published defaults of the model: Fourier orders and periods in days.
 FOURIER = {"yearly": (365.25, 10), "weekly": (7.0, 3), "daily": (1.0, 4)}
@@ -75,8 +75,10 @@ class Decomposable(SeriesModel):
             "holidays": self.p.holidays,
         }
 
-    def worker_copy(self) -> Decomposable:
-        return Decomposable({**self.params, "holidays": None})
+    def worker_copy(self, label: str) -> Decomposable:
+        """Where the calendar was, the copy has the name of the joined column."""
+        column = None if self.p.holidays is None else holiday_column(label)
+        return Decomposable({**self.params, "holidays": column})
 
     def fit(self, history: pd.DataFrame) -> Decomposable:
         rows = history[history["n_obs"] > 0]
@@ -88,7 +90,7 @@ class Decomposable(SeriesModel):
         days = _days(rows["ds"])
         self.start, self.span = days[0], (days[-1] - days[0]) or 1.0
         self.fourier = self._seasonal_terms(days)
-        self.holiday_names = _names(rows.get("holidays"))
+        self.holiday_names = _names(rows.get(self.p.holidays))
         self.changes = self._changepoints(days, n)
 
         design = _Design(self, rows)
@@ -215,7 +217,8 @@ class _Sums:
         rr = np.zeros((len(rows), p, p))
         for i, a in enumerate(regressors):
             for j, b in enumerate(regressors[i:], i):
-                rr[:, i, j] = rr[:, j, i] = take(f"rr_{a}_{b}")
+                pair = f"rr_{a}_{b}" if f"rr_{a}_{b}" in rows else f"rr_{b}_{a}"
+                rr[:, i, j] = rr[:, j, i] = take(pair)
         return cls(
             n=take("n_obs"),
             y=take(f"sum_{target}") / scale,
@@ -238,7 +241,7 @@ class _Design:
         self.knots = (model.changes - model.start) / model.span
         self.fourier = model.fourier
         self.names = model.holiday_names
-        self.holidays = rows["holidays"].to_numpy() if self.names else None
+        self.holidays = rows[model.p.holidays].to_numpy() if self.names else None
         self.regressors = np.stack(
             [rows[f"rm_{name}"].to_numpy(float) for name in model.p.regressors]
             or [np.zeros(len(rows))],

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from loomcast.config import ForecastConfig
 from loomcast.functions.missing import nan_to_null, zero_filled
 from loomcast.functions.steps import clock, from_clock, to_step
-from loomcast.models.base import SeriesModel
+from loomcast.models.base import SeriesModel, holiday_column
 from loomcast.operators.keys import require_columns, with_series_key
 from loomcast.operators.steps import mean_target, series_steps, with_horizon
 from loomcast.operators.windows import cutoff_at, first_cutoff, with_window_index
@@ -22,7 +22,7 @@ from loomcast.sources.tables import read_source
 # How far a share of (cap - floor) may come to its bounds before taking logits.
 LOGIT_MARGIN = 1e-3
 
-# Largest holiday calendar that is broadcast; a larger one takes a shuffle join.
+# Most (date, holiday) pairs that are broadcast; a larger calendar is left to Spark.
 BROADCAST_HOLIDAYS = 100_000
 
 
@@ -33,7 +33,11 @@ class Inputs:
         wanted = [model.inputs() for model in models.values()]
         self.logistic = any(w.get("logistic") for w in wanted)
         self.regressors = list(dict.fromkeys(r for w in wanted for r in w.get("regressors") or ()))
-        self.holidays = [w["holidays"] for w in wanted if w.get("holidays") is not None]
+        self.holidays = {
+            label: source
+            for label, w in zip(models, wanted)
+            if (source := w.get("holidays")) is not None
+        }
 
     def columns(self, cfg: ForecastConfig) -> list[str]:
         """Source columns besides key, date and target."""
@@ -131,21 +135,19 @@ def _sums(cfg: ForecastConfig, inputs: Inputs) -> list[Column]:
     return sums
 
 
-def with_holidays(design: DataFrame, spark: SparkSession, sources: list[Any]) -> DataFrame:
-    """Add the list of holiday names of each date; null on ordinary days."""
-    if not sources:
-        return design
-    frames = [read_source(spark, source) for source in sources]
-    calendar = frames[0].select("ds", "holiday")
-    for frame in frames[1:]:
-        calendar = calendar.unionByName(frame.select("ds", "holiday"))
-    calendar = calendar.groupBy(F.col("ds").cast("date").alias("_day")).agg(
-        F.array_sort(F.collect_set("holiday")).alias("holidays")
-    )
-    if calendar.limit(BROADCAST_HOLIDAYS + 1).count() <= BROADCAST_HOLIDAYS:
-        calendar = F.broadcast(calendar)
-    on_day = F.col("ds").cast("date") == F.col("_day")
-    return design.join(calendar, on_day, "left").drop("_day")
+def with_holidays(design: DataFrame, sources: Mapping[str, Any]) -> DataFrame:
+    """Add each model's holiday names of the date; null on ordinary days."""
+    for label, source in sources.items():
+        frame = read_source(design.sparkSession, source)
+        calendar = frame.groupBy(F.col("ds").cast("date").alias("_day")).agg(
+            F.array_sort(F.collect_set("holiday")).alias(holiday_column(label))
+        )
+        names = frame.select("ds", "holiday").distinct()
+        if names.limit(BROADCAST_HOLIDAYS + 1).count() <= BROADCAST_HOLIDAYS:
+            calendar = F.broadcast(calendar)
+        on_day = F.col("ds").cast("date") == F.col("_day")
+        design = design.join(calendar, on_day, "left").drop("_day")
+    return design
 
 
 def series_partitions(spark: SparkSession, cfg: ForecastConfig) -> int:
@@ -163,7 +165,7 @@ def _worker_frame(design: DataFrame, cfg: ForecastConfig, extra: list[Column]) -
         *cfg.keys,
         clock(F.col("ds"), cfg.freq).cast("bigint").alias("x"),
         mean_target().alias("y"),
-        *[F.col(c) for c in design.columns if c not in dropped],
+        *[design[f"`{c}`"] for c in design.columns if c not in dropped],
         *extra,
     )
 
@@ -178,12 +180,14 @@ def forecast_series(
     """Fit and forecast every model on every series in one grouped map."""
     frame = _worker_frame(design, cfg, [])
     run = make_forecaster(
-        {label: model.worker_copy() for label, model in models.items()},
+        {label: model.worker_copy(label) for label, model in models.items()},
         cfg.keys,
         _unit(cfg),
         cfg.include_history,
     )
-    schema = f"{_key_schema(frame, cfg.keys)}, model_name string, x bigint, y_pred double, error string"
+    schema = (
+        f"{_key_schema(frame, cfg.keys)}, model_name string, x bigint, y_pred double, error string"
+    )
     out = frame.groupBy(*cfg.keys).applyInPandas(run, schema)
     return out.select(
         *cfg.keys, "model_name", from_clock(F.col("x"), cfg.freq).alias("ds"), "y_pred", "error"
@@ -198,7 +202,7 @@ def backtest_series(
     last = clock(F.col("last_ds"), cfg.freq).cast("bigint").alias("last_x")
     frame = _worker_frame(design, cfg, [last])
     run = make_backtester(
-        {label: model.worker_copy() for label, model in models.items()},
+        {label: model.worker_copy(label) for label, model in models.items()},
         cfg.keys,
         _unit(cfg),
         cfg.freq,
@@ -233,6 +237,8 @@ def _unit(cfg: ForecastConfig) -> str:
 def make_forecaster(
     models: Mapping[str, SeriesModel], keys: list[str], unit: str, include_history: bool
 ) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    columns = [*keys, "model_name", "x", "y_pred", "error"]
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         parts = []
         bad_date = bool(pdf["bad_date"].iloc[0])
@@ -249,7 +255,7 @@ def make_forecaster(
             parts.append(
                 result.assign(model_name=label, error=error, **{k: pdf[k].iloc[0] for k in keys})
             )
-        return _typed(pd.concat(parts, ignore_index=True))[[*keys, "model_name", "x", "y_pred", "error"]]
+        return _typed(pd.concat(parts, ignore_index=True))[columns]
 
     return run
 

@@ -41,7 +41,7 @@ def backtest(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
     ]
     if per_series:
         design = series_design(rows, cfg, inputs, horizon=False)
-        design = with_holidays(design, df.sparkSession, inputs.holidays)
+        design = with_holidays(design, inputs.holidays)
         parts.append(backtest_series(design, cfg, per_series))
     predictions = parts[0]
     for part in parts[1:]:

@@ -55,7 +55,7 @@ def forecast(
                 raise ValueError("regressors need scoring data with their future values")
             future = future_regressors(scoring, cfg, inputs.regressors)
         design = series_design(rows, cfg, inputs, future)
-        design = with_holidays(design, df.sparkSession, inputs.holidays)
+        design = with_holidays(design, inputs.holidays)
         parts.append(forecast_series(design, cfg, per_series))
     fitted = parts[0]
     for part in parts[1:]:

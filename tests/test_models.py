@@ -191,12 +191,31 @@ def test_holidays_move_their_dates_only(spark):
         [(d, "promo_day") for d in days] + [(days[0], "promo_day"), (EPOCH - dt.timedelta(9), "old")],
         "ds date, holiday string",
     )
-    cfg = config(
-        include_history=False, active_models=("Decomposable",),
-        models={"Decomposable": {"holidays": holidays, "weekly_seasonality": False}},
-    )
+    plain = {"kind": "Decomposable", "weekly_seasonality": False}
+    others = holidays.where("holiday = 'old'")
+    models = {"with": {**plain, "holidays": holidays}, "other": {**plain, "holidays": others}, "without": plain}
+    cfg = config(include_history=False, active_models=tuple(models), models=models)
     got = forecast(sales(spark, daily(1, 1, values)), cfg).orderBy("ds").collect()
-    assert [round(r.y_pred) for r in got] == [10, 10, 10, 20, 10, 10, 10]
+    by_model = {m: [r.y_pred for r in got if r.model_name == m] for m in models}
+    assert [round(v) for v in by_model["with"]] == [10, 10, 10, 20, 10, 10, 10]
+    assert by_model["other"] == by_model["without"] and max(by_model["without"]) < 11
+
+
+def test_models_list_regressors_in_any_order(spark):
+    pick = np.random.default_rng(4)
+    rows = [
+        (*row, float(a), float(b)) for row, a, b in
+        zip(daily(1, 1, pick.uniform(1, 9, 40).tolist()), pick.uniform(0, 1, 40), pick.uniform(0, 1, 40))
+    ]
+    future = [(1, 1, EPOCH + dt.timedelta(days=40 + i), 0.5, 0.1 * i) for i in range(7)]
+    scoring = spark.createDataFrame(future, "store_nbr int, item_nbr int, date date, a double, b double")
+    kind = {"kind": "Decomposable"}
+    models = {"ab": {**kind, "regressors": ["a", "b"]}, "ba": {**kind, "regressors": ["b", "a"]}, "none": kind}
+    cfg = config(include_history=False, active_models=tuple(models), models=models)
+    got = forecast(sales(spark, rows, "a double, b double"), cfg, scoring).toPandas()
+    assert got["error"].isna().all()
+    wide = got.pivot(index="ds", columns="model_name", values="y_pred")
+    assert np.allclose(wide["ab"], wide["ba"], rtol=1e-6) and not np.allclose(wide["ab"], wide["none"])
 
 
 def test_errors_stay_with_their_series_and_model(spark):
