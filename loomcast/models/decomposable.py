@@ -26,7 +26,8 @@ FOURIER = {"yearly": (365.25, 10), "weekly": (7.0, 3), "daily": (1.0, 4)}
 TREND_PRIOR_SCALE = 5.0
 
 BLOCK_ROWS = 65_536
-ROUNDS = 25
+ROUNDS = 10
+REWEIGHTS = 8
 
 
 class FitError(ValueError):
@@ -315,8 +316,11 @@ def _fit_jointly(design: _Design, sums: _Sums, penalties: _Penalties, mode: str)
         best = objective(theta, squares)
     for _ in range(ROUNDS):
         variance = _variance(squares, total)
-        weights = flat + _change_weights(theta, changes, penalties, len(theta))
-        step = _solve(gram / variance + np.diag(weights), rhs / variance) - theta
+        target = theta
+        for _ in range(REWEIGHTS if changes.stop > 2 else 1):
+            weights = flat + _change_weights(target, changes, penalties, len(theta))
+            target = _solve(gram / variance + np.diag(weights), rhs / variance)
+        step = target - theta
         for _ in range(12):
             candidate = theta + step
             if additive:  # the matrix does not depend on the coefficients
