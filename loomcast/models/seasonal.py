@@ -13,8 +13,11 @@ from loomcast.functions.steps import step_number
 from loomcast.models.base import NativeModel
 from loomcast.models.linear import BAD_DATE
 from loomcast.operators.keys import null_safe_join
+from loomcast.operators.quality import missing_ratio
 from loomcast.operators.steps import (
     error_row,
+    explode_horizon,
+    fold_steps,
     mean_target,
     series_steps,
     tested_steps,
@@ -49,26 +52,62 @@ class _PhaseModel(NativeModel):
         """Value for each row from the rows of its phase."""
         raise NotImplementedError
 
+    def _phase_values(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
+        """One row per series and phase: its ``value`` and what the series needs to know."""
+        raise NotImplementedError
+
     def _window_values(self, steps: DataFrame, by: list[str]) -> DataFrame:
         """Running value of each (series, phase) after each window's new steps."""
         raise NotImplementedError
 
     def forecast(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
+        if cfg.include_history:
+            return self._with_history(rows, cfg)
+        return self._horizon_only(rows, cfg)
+
+    def _horizon_only(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
+        """A map from phase to value per series; history rows go no further than that."""
+        keys = cfg.keys
+        usable = F.when(
+            F.col("phase").isNotNull() & F.col("value").isNotNull(), F.struct("phase", "value")
+        )
+        series = self._phase_values(rows, cfg).groupBy(*keys).agg(
+            F.map_from_entries(F.collect_list(usable)).alias("values"),
+            F.max("last_ds").alias("last_ds"),
+            F.max("bad_date").alias("bad_date"),
+            F.sum("n_rows").alias("n_rows"),
+            F.sum("n_obs").alias("n_obs"),
+        )
+        if cfg.data_quality_check:
+            ratio = missing_ratio(F.col("n_rows") - F.col("n_obs"), F.col("n_rows"))
+            series = series.where(ratio <= cfg.missing_threshold)
+        series = series.withColumn("error", _error(F.col("bad_date"), F.col("n_obs")))
+        failed = F.col("error").isNotNull()
+        grid = explode_horizon(series, cfg).where(~failed | (F.col("h") == 1))
+        return grid.select(
+            *keys,
+            F.when(~failed, F.col("ds")).alias("ds"),
+            F.when(~failed, F.try_element_at("values", self._phase(F.col("ds"), cfg))).alias(
+                "y_pred"
+            ),
+            "error",
+        )
+
+    def _with_history(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
         keys = cfg.keys
         steps = series_steps(rows, cfg)
         steps = steps.withColumn("_usable", F.sum("n_obs").over(Window.partitionBy(*keys)))
         grid = with_horizon(steps, cfg, ("n_obs", "sum_y"))
         grid = grid.withColumn("phase", self._phase(F.col("ds"), cfg))
         phase = Window.partitionBy(*keys, "phase").orderBy("ds")
-        grid = grid.withColumn("y_pred", self._fitted(phase)).withColumn(
-            "error",
-            F.when(F.col("bad_date"), F.lit(BAD_DATE)).when(
-                F.col("_usable") == 0, F.lit(NO_TARGET)
-            ),
+        grid = grid.withColumns(
+            {
+                "y_pred": self._fitted(phase),
+                "error": _error(F.col("bad_date"), F.col("_usable")),
+            }
         )
         failed = F.col("error").isNotNull()
-        wanted = F.lit(True) if cfg.include_history else F.col("h") > 0
-        return grid.where(F.when(failed, error_row()).otherwise(wanted)).select(
+        return grid.where(~failed | error_row()).select(
             *keys,
             F.when(~failed, F.col("ds")).alias("ds"),
             F.when(~failed, F.col("y_pred")).alias("y_pred"),
@@ -97,6 +136,27 @@ class _PhaseModel(NativeModel):
         )
 
 
+def _error(bad_date: Column, n_obs: Column) -> Column:
+    return F.when(bad_date, F.lit(BAD_DATE)).when(n_obs == 0, F.lit(NO_TARGET))
+
+
+def _by_phase(
+    frame: DataFrame,
+    cfg: ForecastConfig,
+    phase: Column,
+    value: Column,
+    n_rows: Column,
+    n_obs: Column,
+) -> DataFrame:
+    return frame.groupBy(*cfg.keys, phase.alias("phase")).agg(
+        value.alias("value"),
+        n_rows.alias("n_rows"),
+        n_obs.alias("n_obs"),
+        F.max("ds").alias("last_ds"),
+        F.max(F.col("ds").isNull()).alias("bad_date"),
+    )
+
+
 class SeasonalNaive(_PhaseModel):
     """The last value seen one or more whole seasons earlier."""
 
@@ -104,6 +164,19 @@ class SeasonalNaive(_PhaseModel):
         before = phase.rowsBetween(Window.unboundedPreceding, -1)
         return F.last(mean_target(), ignorenulls=True).over(before)
 
+    def _phase_values(self, rows, cfg):
+        if cfg.few_rows_per_step:
+            rows = rows.repartition(*cfg.keys)
+        steps = fold_steps(rows, cfg.keys)
+        return _by_phase(
+            steps,
+            cfg,
+            self._phase(F.col("ds"), cfg),
+            F.max_by(mean_target(), F.when(F.col("n_obs") > 0, F.col("ds"))),
+            F.sum("n_rows"),
+            F.sum("n_obs"),
+        )
+
     def _window_values(self, steps, by):
         return steps.groupBy(*by, "k").agg(F.max_by(mean_target(), F.col("ds")).alias("value"))
 
@@ -115,6 +188,10 @@ class WeekdayProfile(_PhaseModel):
         whole = phase.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         return F.try_divide(F.sum("sum_y").over(whole), F.sum("n_obs").over(whole))
 
+    def _phase_values(self, rows, cfg):
+        phase = self._phase(F.col("ds"), cfg)
+        return _by_phase(rows, cfg, phase, F.avg("y"), F.count("*"), F.count("y"))
+
     def _window_values(self, steps, by):
         so_far = Window.partitionBy(*by).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
         sums = steps.groupBy(*by, "k").agg(

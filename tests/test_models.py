@@ -218,6 +218,26 @@ def test_models_list_regressors_in_any_order(spark):
     assert np.allclose(wide["ab"], wide["ba"], rtol=1e-6) and not np.allclose(wide["ab"], wide["none"])
 
 
+@pytest.mark.parametrize("few", [False, True])
+def test_horizon_alone_equals_the_end_of_the_full_grid(spark, few):
+    pick = np.random.default_rng(6)
+    rows = []
+    for item in range(4):
+        for row in daily(1, item, pick.uniform(1, 9, 25).tolist()):
+            rows += [row] * int(pick.integers(0, 3))
+    rows += daily(2, 1, [None] * 9) + daily(2, 2, [1.0, 2.0, None])
+    names = ("LinearTrend", "SeasonalNaive", "WeekdayProfile", "Decomposable")
+    results = []
+    for history in (False, True):
+        cfg = config(include_history=history, active_models=names, few_rows_per_step=few)
+        df = forecast(sales(spark, rows), cfg)
+        results.append({(r.group_id, r.model_name, r.ds): (r.y_pred, r.error) for r in df.collect()})
+    alone, full = results
+    assert len(alone) == 4 * 5 * 7 + 4 and alone.keys() <= full.keys()
+    for key, (value, error) in alone.items():
+        assert full[key] == (value if value is None else pytest.approx(value, rel=1e-9), error), key
+
+
 def test_errors_stay_with_their_series_and_model(spark):
     for model in (Failing, Shapeless, MeanOf):
         register_model(model.__name__, model)
