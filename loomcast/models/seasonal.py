@@ -15,6 +15,7 @@ from loomcast.models.linear import BAD_DATE
 from loomcast.operators.keys import null_safe_join
 from loomcast.operators.quality import missing_ratio
 from loomcast.operators.steps import (
+    by_series,
     error_row,
     explode_horizon,
     fold_steps,
@@ -166,7 +167,7 @@ class SeasonalNaive(_PhaseModel):
 
     def _phase_values(self, rows, cfg):
         if cfg.few_rows_per_step:
-            rows = rows.repartition(*cfg.keys)
+            rows = by_series(rows, cfg)
         steps = fold_steps(rows, cfg.keys)
         return _by_phase(
             steps,

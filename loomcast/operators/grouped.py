@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import replace
 from typing import Any
 
 import numpy as np
@@ -91,11 +92,10 @@ def series_design(
     else:
         n_rows = F.count("*")
         means = [F.avg(r).alias(f"rm_{r}") for r in names]
-    partitions = series_partitions(rows.sparkSession, cfg)
     if cfg.few_rows_per_step and not horizon:
         # A backtest scores the rows of a step one by one.
         sums.append(F.collect_list(zero_filled(F.col("y"))).alias("targets"))
-    facts = series_steps(rows, cfg, [*sums, *means], n_rows, partitions)
+    facts = series_steps(rows, cfg, [*sums, *means], n_rows)
     if not horizon:
         return facts.withColumn("h", F.lit(0))
     carried = {*keys, "ds", "last_ds", "bad_date", "h"}
@@ -150,12 +150,13 @@ def with_holidays(design: DataFrame, sources: Mapping[str, Any]) -> DataFrame:
     return design
 
 
-def series_partitions(spark: SparkSession, cfg: ForecastConfig) -> int:
-    """Tasks of a grouped map: set in the configuration, else four per core at least."""
+def with_series_partitions(cfg: ForecastConfig, spark: SparkSession) -> ForecastConfig:
+    """Fix the tasks of a grouped map where the configuration does not: four per core at least."""
     if cfg.series_partitions:
-        return cfg.series_partitions
+        return cfg
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(shuffle, 4 * spark.sparkContext.defaultParallelism)
+    tasks = max(shuffle, 4 * spark.sparkContext.defaultParallelism)
+    return replace(cfg, series_partitions=tasks)
 
 
 def _worker_frame(design: DataFrame, cfg: ForecastConfig, extra: list[Column]) -> DataFrame:

@@ -38,25 +38,33 @@ def series_steps(
     cfg: ForecastConfig,
     sums: Iterable[Column] = (),
     n_rows: Column | None = None,
-    partitions: int | None = None,
 ) -> DataFrame:
     """Folded steps partitioned by series, with ``last_ds`` and ``bad_date``.
 
     One exchange by series key serves the windows here and whatever the caller
-    groups by series next. ``partitions`` fixes its width for grouped maps,
-    whose cost follows the number of series and not the bytes. The quality filter
-    applies when it is on.
+    groups by series next. The quality filter applies when it is on.
     """
-    keys = cfg.keys
-    spread = [partitions, *keys] if partitions else keys
     if cfg.few_rows_per_step:
-        steps = fold_steps(rows.repartition(*spread), keys, sums, n_rows)
+        steps = fold_steps(by_series(rows, cfg), cfg.keys, sums, n_rows)
     else:
-        steps = fold_steps(rows, keys, sums, n_rows)
-        steps = steps.repartition(*spread) if partitions else steps
+        steps = fold_steps(rows, cfg.keys, sums, n_rows)
+        if cfg.series_partitions:
+            steps = by_series(steps, cfg)
     return _with_series_facts(steps, cfg)
 
 
+def by_series(frame: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    """Partition by series.
+
+    ``series_partitions`` fixes the number of tasks, which grouped maps need: their
+    cost follows the number of series and not the bytes that adaptive execution
+    goes by. Without it the tasks follow the bytes.
+    """
+    if cfg.series_partitions:
+        return frame.repartition(cfg.series_partitions, *cfg.keys)
+    return frame.repartition(*cfg.keys)
+
+
 def tested_steps(rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
     """Steps for a backtest whose training sums add up over source rows.
 
@@ -66,7 +74,7 @@ def tested_steps(rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
     if not cfg.few_rows_per_step:
         return series_steps(rows, cfg)
     y = F.col("y")
-    single = rows.repartition(*cfg.keys).select(
+    single = by_series(rows, cfg).select(
         *cfg.keys,
         "ds",
         "y",

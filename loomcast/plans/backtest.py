@@ -17,6 +17,7 @@ from loomcast.operators.grouped import (
     series_design,
     with_default_floor,
     with_holidays,
+    with_series_partitions,
 )
 from loomcast.operators.scoring import score_windows
 from loomcast.plans.prepare import check_quality, prepared_rows
@@ -31,6 +32,9 @@ def backtest(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
     models = resolve_models(cfg)
     per_series = {k: m for k, m in models.items() if isinstance(m, SeriesModel)}
     inputs = Inputs(per_series)
+    if per_series:
+        # Native models follow, so that all models can read the same shuffle.
+        cfg = with_series_partitions(cfg, df.sparkSession)
     rows, cfg = prepared_rows(with_default_floor(df, cfg, inputs), cfg, inputs.columns(cfg))
     plain = rows.select(*cfg.keys, "ds", "y")
 

@@ -51,7 +51,8 @@ def test_forecast_exchanges(table, capsys, models, history, few, expected):
 def test_native_models_share_one_shuffle(table, spark):
     names = ("LinearTrend", "SeasonalNaive", "WeekdayProfile")
     for few, moved in ((False, 2), (True, 1)):
-        df = forecast(table, config(active_models=names, few_rows_per_step=few))
+        used = (*names, "Decomposable") if few else names
+        df = forecast(table, config(active_models=used, few_rows_per_step=few))
         df.collect()
         text = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
         made = [m for m in re.findall(r"(Reused)?Exchange.*hashpartitioning", text)]
