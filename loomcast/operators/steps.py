@@ -158,7 +158,8 @@ def resample_spine(rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
 
     The target of a step is the sum of its rows, null where there are none.
     Gaps are filled from each row up to the next one, which needs neither a
-    generated calendar nor a join. Other columns are averaged.
+    generated calendar nor a join. Other columns are averaged and null in gaps,
+    apart from the bounds of logistic growth, which stay as they were.
     """
     keys = cfg.keys
     extra = [c for c in rows.columns if c not in (*keys, "ds", "y")]
@@ -178,5 +179,8 @@ def resample_spine(rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
         .otherwise(F.col("ds"))
         .cast(ds_type(cfg.freq))
         .alias("ds"),
-        *[F.when(F.col("_i") == 0, F.col(c)).alias(c) for c in ("y", *extra)],
+        *[
+            F.col(c) if c in (cfg.cap_col, cfg.floor_col) else F.when(F.col("_i") == 0, F.col(c)).alias(c)
+            for c in ("y", *extra)
+        ],
     )

@@ -104,6 +104,14 @@ def test_resample_fills_every_step(spark, freq):
     assert got["y"].fillna(-1).tolist() == [2.0] + [-1.0] * (len(spine) - 2) + [4.0]
 
 
+def test_resample_keeps_bounds_through_gaps(spark):
+    rows = [(1, 1, EPOCH, 1.0, 9.0, 1.0), (1, 1, EPOCH + dt.timedelta(days=2), 2.0, 8.0, 0.0)]
+    cfg = config()
+    df = series_rows(sales(spark, rows, "cap double, promo double"), cfg, ["cap", "promo"])
+    got = resample_spine(df, cfg).orderBy("ds").select("y", "cap", "promo").collect()
+    assert [tuple(r) for r in got] == [(1.0, 9.0, 1.0), (None, 9.0, None), (2.0, 8.0, 0.0)]
+
+
 def test_configured_windows_are_four(spark):
     cfg = config()
     rows = series_rows(sales(spark, daily(1, 1, [1.0] * 40)), cfg)
