@@ -4,19 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from loomcast.llm.common import table
+from loomcast.llm.language_id import identify_languages
 from loomcast.llm.near_dup import NearDupSettings, near_duplicates
 from loomcast.llm.oracle import near_duplicates_sql
+from loomcast.llm.quality import quality_scores
+from loomcast.llm.token_files import TokenFileSettings, token_files
 
 
 def op1_super_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), NearDupSettings(width=2))
 
 
+def op3_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    settings = TokenFileSettings(public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files(table(spark, sf_dir, "documents"), settings)
+
+
+def op10_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_super_minhash_dedup": op1_super_minhash_dedup,
+    "op3_ftrl_quality": op3_ftrl_quality,
+    "op8_token_files": op8_token_files,
+    "op10_kneser_ney_language": op10_kneser_ney_language,
 }
 
 ORACLE: dict[str, str] = {
