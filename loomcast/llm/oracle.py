@@ -56,3 +56,25 @@ roots AS (SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY u)
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id,
        doc_id = component_id AS kept
 FROM sets JOIN roots USING (doc_id)"""
+
+
+def top_k_sql(k: int, every: int) -> str:
+    return f"""
+WITH v AS (
+  SELECT DISTINCT vec_id,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % {every} = 0
+)
+SELECT query_id,
+  CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id, score
+FROM scored
+QUALIFY rank <= {k}"""

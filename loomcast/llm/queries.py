@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from loomcast.llm.common import table
 from loomcast.llm.language_id import identify_languages
 from loomcast.llm.near_dup import NearDupSettings, near_duplicates
-from loomcast.llm.oracle import near_duplicates_sql
+from loomcast.llm.oracle import near_duplicates_sql, top_k_sql
 from loomcast.llm.quality import quality_scores
 from loomcast.llm.token_files import TokenFileSettings, token_files
+from loomcast.llm.topk import TopKSettings, top_k
 
 
 def op1_super_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +29,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), settings)
 
 
+def op9_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), TopKSettings(k=5, every=50))
+
+
 def op10_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
@@ -36,9 +41,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_super_minhash_dedup": op1_super_minhash_dedup,
     "op3_ftrl_quality": op3_ftrl_quality,
     "op8_token_files": op8_token_files,
+    "op9_threshold_top_k": op9_threshold_top_k,
     "op10_kneser_ney_language": op10_kneser_ney_language,
 }
 
 ORACLE: dict[str, str] = {
     "op1_super_minhash_dedup": near_duplicates_sql(width=2),
+    "op9_threshold_top_k": top_k_sql(k=5, every=50),
 }
