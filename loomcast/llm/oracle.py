@@ -78,3 +78,54 @@ SELECT query_id,
   vec_id, score
 FROM scored
 QUALIFY rank <= {k}"""
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of the text's UTF-8 bytes; the table follows from the polynomial."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    bytes_of = (
+        f"list_transform(regexp_extract_all(hex(encode({text})), '..'), "
+        f"lambda h: CAST(('0x' || h) AS BIGINT))"
+    )
+    return (
+        f"xor(list_reduce({bytes_of}, lambda c, b: xor(c >> 8, "
+        f"{table}[CAST((xor(c, b) & 255) + 1 AS BIGINT)]), 4294967295), 4294967295)"
+    )
+
+
+def interleave_ctes(source: str, shards: int, seed: str = "shard") -> str:
+    """CTEs up to ``placed`` (columns of ``source``, position, shard, slot)."""
+    return f"""
+keyed AS (
+  SELECT *, md5('{seed}|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest,
+    coalesce('=' || source, '') AS src
+  FROM {source}
+),
+ranked AS (
+  SELECT *, CAST(2 * (row_number() OVER (PARTITION BY src ORDER BY digest) - 1) + 1 AS DOUBLE)
+    / (2 * count(*) OVER (PARTITION BY src)) AS fraction
+  FROM keyed
+),
+positions AS (
+  SELECT *, row_number() OVER (ORDER BY fraction, digest, src) - 1 AS position,
+    count(*) OVER () AS n
+  FROM ranked
+),
+placed AS (
+  SELECT *, CAST(position * {shards} // n AS INTEGER) AS shard,
+    position - ((position * {shards} // n) * n + {shards - 1}) // {shards} AS slot
+  FROM positions
+)"""
+
+
+def sharding_sql(shards: int) -> str:
+    return f"""
+WITH {interleave_ctes("documents", shards)}
+SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) + 1 AS size,
+  coalesce(CAST({crc32_sql("text")} AS BIGINT), 0) AS text_crc32,
+  'rows' AS law, shard, slot, CAST(NULL AS INTEGER) AS grown_shard, source
+FROM placed"""

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from loomcast.llm.common import table
 from loomcast.llm.language_id import identify_languages
 from loomcast.llm.near_dup import NearDupSettings, near_duplicates
-from loomcast.llm.oracle import near_duplicates_sql, top_k_sql
+from loomcast.llm.oracle import near_duplicates_sql, sharding_sql, top_k_sql
 from loomcast.llm.quality import quality_scores
+from loomcast.llm.sharding import ShardSettings, shard_assignment
 from loomcast.llm.token_files import TokenFileSettings, token_files
 from loomcast.llm.topk import TopKSettings, top_k
 
@@ -24,6 +25,10 @@ def op3_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_assignment(table(spark, sf_dir, "documents"), ShardSettings(shards=16))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = TokenFileSettings(public_tokenizers.path("byte_bpe_50k.json"))
     return token_files(table(spark, sf_dir, "documents"), settings)
@@ -40,6 +45,7 @@ def op10_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_super_minhash_dedup": op1_super_minhash_dedup,
     "op3_ftrl_quality": op3_ftrl_quality,
+    "op4_stratified_shards": op4_stratified_shards,
     "op8_token_files": op8_token_files,
     "op9_threshold_top_k": op9_threshold_top_k,
     "op10_kneser_ney_language": op10_kneser_ney_language,
@@ -47,5 +53,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op1_super_minhash_dedup": near_duplicates_sql(width=2),
+    "op4_stratified_shards": sharding_sql(shards=16),
     "op9_threshold_top_k": top_k_sql(k=5, every=50),
 }
