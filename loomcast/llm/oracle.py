@@ -129,3 +129,54 @@ SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) + 1 AS s
   coalesce(CAST({crc32_sql("text")} AS BIGINT), 0) AS text_crc32,
   'rows' AS law, shard, slot, CAST(NULL AS INTEGER) AS grown_shard, source
 FROM placed"""
+
+
+def mix_ctes(source: str, entropy: float, max_epochs: float, seed: str = "mix") -> str:
+    """CTEs up to ``mixed`` (columns of ``source``, n_tokens, block, digest, weight)."""
+    return f"""
+counted AS MATERIALIZED (
+  SELECT *, coalesce('=' || source, '') AS mix_source,
+    greatest(1, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'),
+      lambda w: w <> ''))) AS n_tokens
+  FROM {source}
+),
+sources AS MATERIALIZED (
+  SELECT mix_source, CAST(sum(n_tokens) AS DOUBLE) AS tokens FROM counted GROUP BY 1
+),
+grid AS (
+  SELECT step, sum(w) AS s, ln(sum(w)) - sum(w * ln(w)) / sum(w) AS h,
+    count(*) AS n, max(tokens) / min(tokens) AS spread
+  FROM (SELECT step, tokens, pow(tokens / (SELECT max(tokens) FROM sources), step / 1024.0) AS w
+        FROM sources, range(0, 1025) r(step))
+  GROUP BY step
+),
+exponent AS MATERIALIZED (
+  SELECT CASE WHEN max(spread) = 1 THEN 1.0 ELSE greatest(
+    coalesce(max(step) FILTER (WHERE h >= {entropy} * ln(n)), 0),
+    min(step) FILTER (WHERE pow(spread, 1 - step / 1024.0) <= {max_epochs})) / 1024.0 END AS a
+  FROM grid
+),
+budgets AS MATERIALIZED (
+  SELECT mix_source, CAST(tokens AS BIGINT) AS total,
+    round(pow(tokens, a) / sum(pow(tokens, a)) OVER (), 9) AS weight,
+    CAST(round(pow(tokens, a) * max(tokens / pow(tokens, a)) OVER ()) AS BIGINT) AS target
+  FROM sources, exponent
+),
+blocks AS (
+  SELECT c.*, b.weight, b.total, b.target, block,
+    md5('{seed}|' || block || '|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest
+  FROM counted c JOIN budgets b USING (mix_source), range(0, 100000) r(block)
+  WHERE block * total < target
+),
+mixed AS (
+  SELECT * FROM blocks
+  QUALIFY (block + 1) * total <= target OR
+    sum(n_tokens) OVER (PARTITION BY mix_source, block ORDER BY digest, n_tokens) - n_tokens
+      < target - block * total
+)"""
+
+
+def mixing_sql(entropy: float, max_epochs: float) -> str:
+    return f"""
+WITH {mix_ctes("documents", entropy, max_epochs)}
+SELECT doc_id, source, n_tokens, block, digest AS "order", weight FROM mixed"""

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loomcast.llm.common import table
 from loomcast.llm.language_id import identify_languages
+from loomcast.llm.mixing import MixSettings, mixture
 from loomcast.llm.near_dup import NearDupSettings, near_duplicates
-from loomcast.llm.oracle import near_duplicates_sql, sharding_sql, top_k_sql
+from loomcast.llm.oracle import mixing_sql, near_duplicates_sql, sharding_sql, top_k_sql
 from loomcast.llm.quality import quality_scores
 from loomcast.llm.sharding import ShardSettings, shard_assignment
 from loomcast.llm.token_files import TokenFileSettings, token_files
@@ -29,6 +30,10 @@ def op4_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_assignment(table(spark, sf_dir, "documents"), ShardSettings(shards=16))
 
 
+def op5_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(table(spark, sf_dir, "documents"), MixSettings())
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = TokenFileSettings(public_tokenizers.path("byte_bpe_50k.json"))
     return token_files(table(spark, sf_dir, "documents"), settings)
@@ -46,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_super_minhash_dedup": op1_super_minhash_dedup,
     "op3_ftrl_quality": op3_ftrl_quality,
     "op4_stratified_shards": op4_stratified_shards,
+    "op5_temperature_mix": op5_temperature_mix,
     "op8_token_files": op8_token_files,
     "op9_threshold_top_k": op9_threshold_top_k,
     "op10_kneser_ney_language": op10_kneser_ney_language,
@@ -54,5 +60,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op1_super_minhash_dedup": near_duplicates_sql(width=2),
     "op4_stratified_shards": sharding_sql(shards=16),
+    "op5_temperature_mix": mixing_sql(entropy=0.998, max_epochs=2.0),
     "op9_threshold_top_k": top_k_sql(k=5, every=50),
 }
