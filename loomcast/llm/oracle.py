@@ -180,3 +180,52 @@ def mixing_sql(entropy: float, max_epochs: float) -> str:
     return f"""
 WITH {mix_ctes("documents", entropy, max_epochs)}
 SELECT doc_id, source, n_tokens, block, digest AS "order", weight FROM mixed"""
+
+
+def contamination_ctes(source: str, window: int, share: int) -> str:
+    """CTEs up to ``judged`` (doc_id, n_words, n_hit, n_items, items_sha256, contaminated)."""
+    words = (
+        "list_filter(regexp_split_to_array({0}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), "
+        "lambda w: w <> '')"
+    )
+    lowered = words.format(ASCII_LOWER.format("coalesce(text, '')"))
+    return f"""
+doc_words AS MATERIALIZED (SELECT doc_id, {lowered} AS w FROM {source}),
+item_words AS MATERIALIZED (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, w, least(len(w), {window}) AS width
+  FROM (SELECT item_id, {lowered} AS w FROM benchmark) WHERE len(w) > 0
+),
+item_windows AS MATERIALIZED (
+  SELECT DISTINCT item_id, width, unnest(list_transform(range(1, len(w) - width + 2),
+    lambda i: array_to_string(w[i:i + width - 1], ' '))) AS passage
+  FROM item_words
+),
+doc_windows AS (
+  SELECT doc_id, width, unnest(range(1, len(w) - width + 2)) AS place,
+    unnest(list_transform(range(1, len(w) - width + 2),
+      lambda i: array_to_string(w[i:i + width - 1], ' '))) AS passage
+  FROM doc_words, (SELECT DISTINCT width FROM item_windows)
+  WHERE len(w) >= width
+),
+occurrences AS MATERIALIZED (
+  SELECT doc_id, item_id, place, width FROM doc_windows JOIN item_windows USING (width, passage)
+),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(place, place + width)) AS p FROM occurrences) GROUP BY 1
+),
+hit_items AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+    sha256(array_to_string(list_sort(list(DISTINCT item_id)), ',')) AS items_sha256
+  FROM occurrences GROUP BY 1
+),
+judged AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+    coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND {share} * coalesce(n_hit, 0) >= len(w) AS contaminated
+  FROM doc_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+)"""
+
+
+def contamination_sql(window: int, share: int) -> str:
+    return f"WITH {contamination_ctes('documents', window, share)} SELECT * FROM judged"

@@ -8,10 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from loomcast.llm.common import table
+from loomcast.llm.decontaminate import DecontaminateSettings, contamination
 from loomcast.llm.language_id import identify_languages
 from loomcast.llm.mixing import MixSettings, mixture
 from loomcast.llm.near_dup import NearDupSettings, near_duplicates
-from loomcast.llm.oracle import mixing_sql, near_duplicates_sql, sharding_sql, top_k_sql
+from loomcast.llm.oracle import (
+    contamination_sql,
+    mixing_sql,
+    near_duplicates_sql,
+    sharding_sql,
+    top_k_sql,
+)
 from loomcast.llm.quality import quality_scores
 from loomcast.llm.sharding import ShardSettings, shard_assignment
 from loomcast.llm.token_files import TokenFileSettings, token_files
@@ -34,6 +41,11 @@ def op5_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents"), MixSettings())
 
 
+def op7_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (table(spark, sf_dir, x) for x in ("documents", "benchmark"))
+    return contamination(documents, benchmark, DecontaminateSettings(window=13, share=20))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = TokenFileSettings(public_tokenizers.path("byte_bpe_50k.json"))
     return token_files(table(spark, sf_dir, "documents"), settings)
@@ -52,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ftrl_quality": op3_ftrl_quality,
     "op4_stratified_shards": op4_stratified_shards,
     "op5_temperature_mix": op5_temperature_mix,
+    "op7_winnowing_decontamination": op7_winnowing_decontamination,
     "op8_token_files": op8_token_files,
     "op9_threshold_top_k": op9_threshold_top_k,
     "op10_kneser_ney_language": op10_kneser_ney_language,
@@ -61,5 +74,6 @@ ORACLE: dict[str, str] = {
     "op1_super_minhash_dedup": near_duplicates_sql(width=2),
     "op4_stratified_shards": sharding_sql(shards=16),
     "op5_temperature_mix": mixing_sql(entropy=0.998, max_epochs=2.0),
+    "op7_winnowing_decontamination": contamination_sql(window=13, share=20),
     "op9_threshold_top_k": top_k_sql(k=5, every=50),
 }
