@@ -229,3 +229,49 @@ judged AS (
 
 def contamination_sql(window: int, share: int) -> str:
     return f"WITH {contamination_ctes('documents', window, share)} SELECT * FROM judged"
+
+
+def license_sql(sets: list[tuple[str, list[str]]], threshold: float) -> str:
+    """``sets`` are the templates' names and bigrams."""
+    line = "\\r\\n|\\n|\\r"
+    rows = ", ".join(
+        "({}, '{}', [{}])".format(i, name, ", ".join("'" + b.replace("'", "''") + "'" for b in own))
+        for i, (name, own) in enumerate(sets)
+    )
+    return f"""
+WITH templates(id, name, own) AS (VALUES {rows}),
+blocks AS (
+  SELECT doc_id, text, regexp_split_to_array(text, '({line})[ \\t]*({line})') AS b
+  FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+),
+passages AS (
+  SELECT doc_id, unnest(list_concat(regexp_split_to_array(text, '{line}'),
+    list_filter(b, lambda p: regexp_matches(p, '{line}')),
+    CASE WHEN len(b) > 1 THEN [text] ELSE [] END)) AS p
+  FROM blocks
+),
+words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(p), '[^\\p{{L}}\\p{{N}}]+'),
+    lambda w: w <> '') AS w
+  FROM passages
+),
+grams AS (
+  SELECT doc_id, CASE WHEN len(w) = 1 THEN w ELSE list_distinct(list_transform(
+    range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS g
+  FROM words WHERE len(w) > 0
+),
+scores AS (
+  SELECT doc_id, name, round(2.0 * len(list_intersect(g, own)) / (len(g) + len(own)), 6) AS dice
+  FROM grams, templates
+  WHERE 2.0 * least(len(g), len(own)) / (len(g) + len(own)) >= {threshold}
+),
+hits AS (SELECT * FROM scores WHERE dice >= {threshold}),
+best AS (
+  SELECT doc_id, count(DISTINCT name) AS n_licenses,
+    array_to_string(list_sort(list(DISTINCT name)), ',') AS licenses,
+    first(name ORDER BY dice DESC, name) AS best_license, max(dice) AS best_dice
+  FROM hits GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_licenses, 0) AS n_licenses, coalesce(licenses, '') AS licenses,
+  best_license, best_dice
+FROM documents d LEFT JOIN best USING (doc_id)"""

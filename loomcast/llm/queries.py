@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from loomcast.llm.common import table
 from loomcast.llm.decontaminate import DecontaminateSettings, contamination
 from loomcast.llm.language_id import identify_languages
+from loomcast.llm.license_scan import LicenseSettings, scan_licenses, template_sets
 from loomcast.llm.mixing import MixSettings, mixture
 from loomcast.llm.near_dup import NearDupSettings, near_duplicates
 from loomcast.llm.oracle import (
     contamination_sql,
+    license_sql,
     mixing_sql,
     near_duplicates_sql,
     sharding_sql,
@@ -29,6 +31,10 @@ def op1_super_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), NearDupSettings(width=2))
 
 
+def op2_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"), LicenseSettings())
+
+
 def op3_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -61,6 +67,7 @@ def op10_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_super_minhash_dedup": op1_super_minhash_dedup,
+    "op2_license_dice": op2_license_dice,
     "op3_ftrl_quality": op3_ftrl_quality,
     "op4_stratified_shards": op4_stratified_shards,
     "op5_temperature_mix": op5_temperature_mix,
@@ -72,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op1_super_minhash_dedup": near_duplicates_sql(width=2),
+    "op2_license_dice": license_sql(template_sets(LicenseSettings()), LicenseSettings().threshold),
     "op4_stratified_shards": sharding_sql(shards=16),
     "op5_temperature_mix": mixing_sql(entropy=0.998, max_epochs=2.0),
     "op7_winnowing_decontamination": contamination_sql(window=13, share=20),
