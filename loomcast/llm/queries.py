@@ -21,6 +21,7 @@ from loomcast.llm.oracle import (
     sharding_sql,
     top_k_sql,
 )
+from loomcast.llm.pii import personal_data
 from loomcast.llm.quality import quality_scores
 from loomcast.llm.sharding import ShardSettings, shard_assignment
 from loomcast.llm.token_files import TokenFileSettings, token_files
@@ -47,6 +48,10 @@ def op5_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents"), MixSettings())
 
 
+def op6_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op7_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = (table(spark, sf_dir, x) for x in ("documents", "benchmark"))
     return contamination(documents, benchmark, DecontaminateSettings(window=13, share=20))
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ftrl_quality": op3_ftrl_quality,
     "op4_stratified_shards": op4_stratified_shards,
     "op5_temperature_mix": op5_temperature_mix,
+    "op6_weak_supervision_pii": op6_weak_supervision_pii,
     "op7_winnowing_decontamination": op7_winnowing_decontamination,
     "op8_token_files": op8_token_files,
     "op9_threshold_top_k": op9_threshold_top_k,
