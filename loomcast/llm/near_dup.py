@@ -12,8 +12,9 @@ signature in two or three vector steps and then stops early.
    verified against the smallest one: rows grow with the bucket, not its square.
 3. Union-find over verified links gives components. In buckets that still hold
    several, classes outside the largest component are verified against random
-   members of it, and the few that stay outside against every class of another
-   component, so that no link between bucket mates is lost.
+   members of it. The few that stay outside are compared with every bucket mate of
+   another component, in blocks of bounded size inside a task, so that no link
+   between bucket mates is lost and no pair that fails becomes a row.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ EMPTY = np.empty(0, dtype=np.uint64)
 CHUNK = 4096
 STEPS = np.arange(1, 256, dtype=np.uint64) * GOLDEN
 PIVOTS = 4
+BLOCK_SHINGLES = 100_000
 
 
 @dataclass(frozen=True)
@@ -122,11 +124,13 @@ def _signatures(settings: NearDupSettings):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
+                    batch.column(3),
                     pa.array(counts, pa.int64()),
                     pa.array(prints, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
                 ],
-                names=["doc_id", "n_shingles", "print", "bands"],
+                names=["doc_id", "k1", "k2", "n_shingles", "print", "bands"],
             )
 
     return run
@@ -180,16 +184,69 @@ def near_duplicates(
     kept). Rows that repeat an id count as one document. Other columns are
     ignored, so their names cannot clash.
     """
-    spark = documents.sparkSession
-    scratch = Scratch(spark, "near-dup")
+    scratch = Scratch(documents.sparkSession, "near-dup")
+    return _grouped(documents, settings, scratch, id_col, text_col).select(
+        "doc_id", "n_shingles", "component_id", "kept"
+    )
+
+
+def distinct_documents(
+    documents: DataFrame, settings: NearDupSettings = NearDupSettings()
+) -> DataFrame:
+    """The documents, with all their columns, that stay: one of each group.
+
+    Rows without words are never linked and all stay. Of rows that repeat the
+    group's id one stays.
+    """
+    scratch = Scratch(documents.sparkSession, "distinct")
+    rows = scratch.save(_grouped(documents, settings, scratch), "rows")
+    words = rows.where("n_shingles > 0")
+    group = F.coalesce(F.col("component_id").cast("string"), F.hex("print"))
+    winners = (
+        words.where("kept").groupBy(group.alias("g")).agg(F.min(F.struct("k1", "k2")).alias("w"))
+    )
+    stay = scratch.save(winners.select("w.k1", "w.k2"), "stay")
+    repeated = words.groupBy("k1", "k2").count().where("count > 1").select("k1", "k2")
+    repeated = scratch.save(repeated.join(stay, ["k1", "k2"], "left_semi"), "repeated")
+    go = scratch.save(
+        words.select("k1", "k2").distinct().join(stay, ["k1", "k2"], "left_anti"), "go"
+    )
+    k1, k2 = _row_keys("doc_id", "text")
+    keyed = documents.withColumns({"_k1": k1, "_k2": k2})
+
+    def keys(of: DataFrame) -> DataFrame:
+        return of.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"))
+
+    left = keyed.join(keys(go), ["_k1", "_k2"], "left_anti")
+    if not repeated.isEmpty():
+        once = left.join(keys(repeated), ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"])
+        left = left.join(keys(repeated), ["_k1", "_k2"], "left_anti").unionByName(once)
+    return left.select(*documents.columns)
+
+
+def _row_keys(id_col: str, text_col: str):
+    """128 bits of id and text: equal for equal rows, never null."""
+    return F.xxhash64(id_col, text_col), F.xxhash64(F.lit(1), text_col, id_col)
+
+
+def _grouped(
+    documents: DataFrame,
+    settings: NearDupSettings,
+    scratch: Scratch,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    k1, k2 = _row_keys(id_col, text_col)
     texts = documents.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(text_col).cast("binary").alias("text"),
+        k1.alias("k1"),
+        k2.alias("k2"),
     )
     rows = scratch.save(
         texts.mapInArrow(
             _signatures(settings),
-            "doc_id long, n_shingles long, print binary, bands array<long>",
+            "doc_id long, k1 long, k2 long, n_shingles long, print binary, bands array<long>",
         ),
         "signatures",
     )
@@ -213,12 +270,15 @@ def near_duplicates(
         .select("print", "component_id")
     )
     groups = scratch.save(groups, "groups")
-    named = rows.select("doc_id", "n_shingles", "print").join(groups, "print", "left")
+    named = rows.select("doc_id", "k1", "k2", "n_shingles", "print").join(groups, "print", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(
         F.col("doc_id")
     )
     return named.select(
         "doc_id",
+        "k1",
+        "k2",
+        "print",
         "n_shingles",
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
@@ -269,42 +329,86 @@ def _links(
     links = links.union(_verified(tries, sets, settings, scratch))
     roots = connected_components(links, scratch)
 
-    # What is still apart: every pair of bucket mates across components, once.
+    # What is still apart, once for each pair of bucket mates: block against block.
     placed, main = _placed(members, roots, scratch)
     if main.isEmpty():
         return roots
     bands = named.groupBy("rep").agg(F.min("bands").alias("bands"))
-    apart = placed.join(main, "bucket").join(bands, "rep")
-    left = apart.where("component <> main").select(
-        "bucket",
-        F.col("rep").alias("a"),
-        "n",
-        F.col("component").alias("ca"),
-        F.col("bands").alias("xs"),
+    apart = placed.join(main, "bucket").join(bands, "rep").join(sets, "rep")
+    outside = apart.where("component <> main")
+    blocks = _member_blocks(outside, "outside_shingles", "a_").join(
+        _member_blocks(apart, "all_shingles", "b_"), "bucket"
     )
-    right = apart.select(
-        "bucket",
-        F.col("rep").alias("b"),
-        F.col("n").alias("m"),
-        F.col("component").alias("cb"),
-        (F.col("component") == F.col("main")).alias("in_main"),
-        F.col("bands").alias("ys"),
+    more = scratch.save(blocks.mapInArrow(_block_links(settings), "a long, b long"), "more")
+    return connected_components(links.union(more), scratch)
+
+
+def _member_blocks(rows: DataFrame, weight: str, prefix: str) -> DataFrame:
+    """Members of each bucket packed into blocks of about ``BLOCK_SHINGLES`` shingles."""
+    parts = F.ceil(F.col(weight) / BLOCK_SHINGLES)
+    member = F.struct(
+        "rep", "n", "component", (F.col("component") == F.col("main")).alias("main"), "bands",
+        "shingles",
     )
-    same = F.zip_with("xs", "ys", lambda x, y: F.when(x == y, x))
-    first = F.element_at(F.filter(same, lambda x: x.isNotNull()), 1)
-    crossing = (
-        left.join(
-            right,
-            (left["bucket"] == right["bucket"])
-            & (F.col("ca") != F.col("cb"))
-            & (F.col("in_main") | (F.col("a") < F.col("b")))
-            & _close_sizes("n", "m", settings.percent)
-            & (first == left["bucket"]),
-        )
-        .select("a", "n", "b", "m")
+    packed = rows.groupBy("bucket", F.pmod(F.xxhash64("rep"), parts).alias("part")).agg(
+        F.collect_list(member).alias("rows")
     )
-    more = _verified(crossing, sets, settings, scratch)
-    return connected_components(links.union(more), scratch)
+    fields = ("rep", "n", "component", "main", "bands", "shingles")
+    return packed.select("bucket", *[F.col(f"rows.{f}").alias(prefix + f) for f in fields])
+
+
+def _block_links(settings: NearDupSettings):
+    """Links between the members of two blocks, one at most per member and component.
+
+    A pair is looked at in the first band that it shares, and not at all if its
+    sizes rule a link out.
+    """
+
+    def pair(bucket: int, left: list, right: list) -> list[tuple[int, int]]:
+        a, n, ca, _, bands_a, sets_a = left
+        b, m, cb, main, bands_b, sets_b = right
+        b, cb, main = np.array(b), np.array(cb), np.array(main)
+        n, m = np.array(n), np.array(m)
+        bands_b = np.array(bands_b)
+        tokens, codes = np.unique(
+            np.frombuffer(b"".join(sets_b), np.uint64), return_inverse=True
+        )
+        starts = np.cumsum(m) - m
+        out = []
+        for i, rep in enumerate(a):
+            same = bands_b == np.array(bands_a[i])
+            first = bands_b[np.arange(len(b)), same.argmax(axis=1)]
+            wanted = same.any(axis=1) & (first == bucket) & (cb != ca[i])
+            wanted &= main | (rep < b)
+            small, large = np.minimum(n[i], m), np.maximum(n[i], m)
+            wanted &= small * 100 >= large * settings.percent
+            if not wanted.any():
+                continue
+            flags = np.zeros(len(tokens) + 1, dtype=np.int64)
+            own = np.frombuffer(sets_a[i], np.uint64)
+            at = np.minimum(np.searchsorted(tokens, own), len(tokens) - 1)
+            flags[at[tokens[at] == own]] = 1
+            shared = np.add.reduceat(flags[codes], starts)
+            linked = wanted & (shared * 100 >= (n[i] + m - shared) * settings.percent)
+            hits = np.flatnonzero(linked)
+            _, chosen = np.unique(cb[hits], return_index=True)
+            out += [(rep, other) for other in b[hits[chosen]].tolist()]
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for line in range(batch.num_rows):
+                row = [column[line].as_py() for column in batch.columns]
+                found = pair(row[0], row[1:7], row[7:13])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([x for x, _ in found], pa.int64()),
+                        pa.array([y for _, y in found], pa.int64()),
+                    ],
+                    names=["a", "b"],
+                )
+
+    return run
 
 
 def _member_sets(texts, classes, members, settings, scratch) -> DataFrame:
@@ -361,15 +465,24 @@ def _placed(members: DataFrame, roots: DataFrame, scratch) -> tuple[DataFrame, D
         .select("bucket", "rep", "n", F.coalesce("root", "rep").alias("component")),
         "placed",
     )
-    sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("size"))
+    sizes = placed.groupBy("bucket", "component").agg(
+        F.count("*").alias("size"), F.sum("n").alias("shingles")
+    )
+    largest = F.max_by(F.struct("component", "shingles"), F.struct("size", "component"))
     main = scratch.save(
         sizes.groupBy("bucket")
         .agg(
-            F.max_by("component", F.struct("size", "component")).alias("main"),
+            largest.alias("largest"),
+            F.sum("shingles").alias("all_shingles"),
             F.count("*").alias("n_components"),
         )
         .where("n_components > 1")
-        .select("bucket", "main"),
+        .select(
+            "bucket",
+            F.col("largest.component").alias("main"),
+            "all_shingles",
+            (F.col("all_shingles") - F.col("largest.shingles")).alias("outside_shingles"),
+        ),
         "main",
     )
     return placed, main
