@@ -29,8 +29,8 @@ from loomcast.llm.common import GOLDEN, held_out, mix64, slices
 class QualitySettings:
     """``max_rows`` bounds the labelled rows that the fit reads.
 
-    They are those with the smallest hash of (id, text), so the choice neither
-    depends on partitioning nor on the number of rows beyond the bound.
+    They are the labels with the smallest hash of the id, so the choice does not
+    depend on the partitioning, and only their texts move.
     """
 
     buckets_log2: int = 18
@@ -180,13 +180,14 @@ def fit_quality(
     known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where(
         "quality in (0, 1) and doc_id is not null"
     )
-    rows = (
-        documents.select("doc_id", "text")
-        .join(known.where(~held_out("doc_id", 5, 0)), "doc_id")
-        .withColumn("rank", F.xxhash64("doc_id", "text", "quality"))
-        .orderBy("rank", "doc_id")
+    chosen = (
+        known.where(~held_out("doc_id", 5, 0))
+        .withColumn("rank", F.xxhash64("doc_id", "quality"))
+        .orderBy("rank", "doc_id", "quality")
         .limit(settings.max_rows)
     )
+    # At most ``max_rows`` rows of three numbers: small enough to send to every task.
+    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, marks, ranks = [], [], []
@@ -225,3 +226,11 @@ def quality_scores(
     return documents.select(
         "doc_id", held_out("doc_id", 5, 0).alias("held_out"), model.score("text").alias("score")
     ).withColumn("predicted", (F.col("score") >= settings.threshold).cast("int"))
+
+
+def good_documents(
+    documents: DataFrame, labels: DataFrame, settings: QualitySettings = QualitySettings()
+) -> DataFrame:
+    """The documents, with all their columns, that the model predicts to be good."""
+    model = fit_quality(documents, labels, settings)
+    return documents.where(model.score("text") >= settings.threshold)
