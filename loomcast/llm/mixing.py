@@ -113,85 +113,103 @@ def source_budgets(light: DataFrame, settings: MixSettings, scratch: Scratch) ->
     )
 
 
-def mix(
-    rows: DataFrame,
-    settings: MixSettings,
-    scratch: Scratch,
-    id_col: str = "doc_id",
-    tie_col: str = "_tie",
-) -> DataFrame:
-    """``rows`` repeated by block: adds ``_block``, ``_order`` and ``_weight``.
-
-    ``rows`` must be a written table with ``_source``, ``_tokens`` and the tie
-    column, which orders rows with equal ids. The cut block takes documents, in
-    its order, while the tokens before them are fewer than what the budget leaves.
+def with_cutoffs(light: DataFrame, budgets: DataFrame, settings: MixSettings, scratch) -> DataFrame:
+    """Budgets with the digest at which each source's cut block ends.
+
+    The cut block takes documents in the order of its digests while the tokens
+    before them are fewer than what the budget leaves; null means all of them.
     """
-    budgets = source_budgets(rows, settings, scratch)
-    n_buckets = bucket_count(rows.count())
-    whole = rows.join(budgets, "_source")
-    repeated = (
-        whole.where("blocks > 0")
-        .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .withColumn("_digest", _digest(settings.seed, id_col))
-    )
+    n_buckets = bucket_count(light.count())
     cut = (
-        whole.where("rest > 0")
-        .withColumn("_block", F.col("blocks"))
-        .withColumn("_digest", _digest(settings.seed, id_col))
+        light.join(budgets.where("rest > 0").select("_source", "blocks", "rest"), "_source")
+        .withColumn("_digest", _digest(settings.seed, F.col("blocks"), "doc_id"))
         .withColumn("_bucket", hex_bucket(F.col("_digest"), n_buckets))
     )
-    cut = (
+    ends = (
         with_running_total(
-            cut,
-            ["_source"],
-            "_bucket",
-            [F.col("_digest"), F.col(tie_col)],
-            F.col("_tokens"),
-            "_before",
+            cut, ["_source"], "_bucket", [F.col("_digest")], F.col("_tokens"), "_before"
         )
-        .where("_before < rest")
-        .drop("_bucket", "_before")
+        .where("_before >= rest")
+        .groupBy("_source")
+        .agg(F.min("_digest").alias("cutoff"))
     )
-    both = repeated.unionByName(cut)
-    return both.withColumnsRenamed({"_digest": "_order", "weight": "_weight"}).drop(
-        "tokens", "target", "blocks", "rest"
+    return scratch.save(budgets.join(ends, "_source", "left"), "cutoffs")
+
+
+def draw(rows: DataFrame, budgets: DataFrame, settings: MixSettings) -> DataFrame:
+    """``rows``, which have ``_source``, once for each ``_block`` that draws them.
+
+    Rows stay where they are: the budgets are one small row per source. Equal ids
+    in one source are drawn alike.
+    """
+    last = _digest(settings.seed, F.col("blocks"), "doc_id")
+    in_cut = (F.col("rest") > 0) & (F.col("cutoff").isNull() | (last < F.col("cutoff")))
+    times = F.col("blocks") + in_cut.cast("long")
+    return (
+        rows.join(budgets.select("_source", "weight", "blocks", "rest", "cutoff"), "_source")
+        .withColumn("_times", times)
+        .where("_times > 0")
+        .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_times") - 1)))
     )
 
 
-def _digest(seed: str, id_col: str) -> Column:
-    """Sort value of a document in its block: a permutation for each block."""
+def _digest(seed: str, block: Column, id_col: str) -> Column:
+    """Sort value of a document in a block: a permutation for each block."""
     return F.md5(
         F.concat_ws(
             "|",
             F.lit(seed),
-            F.col("_block").cast("string"),
+            block.cast("string"),
             F.coalesce(F.col(id_col).cast("string"), F.lit("")),
         )
     )
 
 
-def mixture(documents: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
-    """The mixed corpus as ids: one row per document and block it is drawn in.
-
-    doc_id, source, n_tokens, block (from 0), order (position key in the block),
-    weight (the source's target weight). Null sources form one source; null and
-    empty texts cost one token. Texts are read once, for their token counts.
-    """
-    scratch = Scratch(documents.sparkSession, "mix")
-    light = scratch.save(
+def _light(documents: DataFrame, scratch: Scratch) -> DataFrame:
+    return scratch.save(
         documents.select(
             F.col("doc_id").cast("long").alias("doc_id"),
             F.col("source").cast("string").alias("source"),
             source_key("source").alias("_source"),
             n_tokens(F.col("text")).alias("_tokens"),
-        ).withColumn("_tie", F.col("_tokens")),
+        ),
         "light",
     )
-    return mix(light, settings, scratch).select(
+
+
+def mixture(documents: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
+    """The mixed corpus as ids: one row per document and block it is drawn in.
+
+    doc_id, source, n_tokens, block (from 0), order (position key in the block),
+    weight (the source's target weight). Null sources form one source; null and
+    empty texts cost one token. Texts are read once, for their token counts; other
+    columns are ignored. An empty table gives no row.
+    """
+    scratch = Scratch(documents.sparkSession, "mix")
+    light = _light(documents, scratch)
+    budgets = with_cutoffs(light, source_budgets(light, settings, scratch), settings, scratch)
+    return draw(light, budgets, settings).select(
         "doc_id",
         "source",
         F.col("_tokens").alias("n_tokens"),
         F.col("_block").alias("block"),
-        F.col("_order").alias("order"),
-        F.col("_weight").alias("weight"),
+        _digest(settings.seed, F.col("_block"), "doc_id").alias("order"),
+        "weight",
+    )
+
+
+def mixed_documents(documents: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
+    """The documents themselves, with their columns, as often as the mixture has them."""
+    scratch = Scratch(documents.sparkSession, "mix")
+    light = _light(documents, scratch)
+    budgets = with_cutoffs(light, source_budgets(light, settings, scratch), settings, scratch)
+    own = {c: f"_own_{i}" for i, c in enumerate(documents.columns)}
+    renamed = documents.withColumnsRenamed(own)
+    rows = renamed.withColumns(
+        {
+            "_source": source_key(own["source"]),
+            "doc_id": F.col(own["doc_id"]).cast("long"),
+        }
     )
+    back = [F.col(new).alias(old) for old, new in own.items()]
+    return draw(rows, budgets, settings).select(*back)

@@ -93,6 +93,46 @@ def interleave(
     )
 
 
+def row_keys(columns: list[str]) -> tuple[Column, Column]:
+    """128 bits that are equal for rows with equal values in all columns."""
+    whole = F.to_json(F.struct(*columns))
+    return F.xxhash64(whole), F.xxhash64(F.lit(1), whole)
+
+
+def sharded_documents(
+    documents: DataFrame, settings: ShardSettings = ShardSettings()
+) -> DataFrame:
+    """The documents with all their columns, ``shard`` and ``slot``.
+
+    Rows that are equal in every column share their places among them, so each
+    distinct row moves once, to where its places are, and is repeated there. An
+    own column named shard or slot is replaced.
+    """
+    scratch = Scratch(documents.sparkSession, "shards")
+    own = {c: f"_own_{i}" for i, c in enumerate(documents.columns)}
+    k1, k2 = row_keys(documents.columns)
+    renamed = documents.withColumns({"_k1": k1, "_k2": k2}).withColumnsRenamed(own)
+    light = scratch.save(
+        renamed.select(
+            "_k1",
+            "_k2",
+            F.col(own["doc_id"]).cast("long").alias("doc_id"),
+            F.col(own["source"]).cast("string").alias("source"),
+        ),
+        "light",
+    )
+    places = scratch.save(
+        interleave(light, settings, scratch).select("_k1", "_k2", "_shard", "_slot"), "places"
+    )
+    rows = renamed.dropDuplicates(["_k1", "_k2"])
+    kept = [c for c in documents.columns if c not in ("shard", "slot")]
+    return rows.join(places, ["_k1", "_k2"]).select(
+        *[F.col(own[c]).alias(c) for c in kept],
+        F.col("_shard").alias("shard"),
+        F.col("_slot").alias("slot"),
+    )
+
+
 def shard_assignment(
     documents: DataFrame, settings: ShardSettings = ShardSettings()
 ) -> DataFrame:
