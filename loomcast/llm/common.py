@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomcast.session import ensure_checkpoint_dir
@@ -50,6 +50,24 @@ class Scratch:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def set_aside(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The frame under neutral column names, and the new name of each column.
+
+    Work columns then cannot clash with a column of the caller.
+    """
+    own = {c: f"_own_{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*own.values()), own
+
+
+def put_back(df: DataFrame, own: dict[str, str]) -> DataFrame:
+    return df.select(*[F.col(new).alias(old) for old, new in own.items()])
+
+
+def row_keys(id_col: str, text_col: str) -> tuple[Column, Column]:
+    """128 bits of id and text: equal for equal rows, never null."""
+    return F.xxhash64(id_col, text_col), F.xxhash64(F.lit(1), text_col, id_col)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser that turns 64-bit integers into well spread 64-bit integers."""
     x = x ^ (x >> np.uint64(30))

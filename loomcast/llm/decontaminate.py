@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomcast.llm.common import Scratch
+from loomcast.llm.common import Scratch, put_back, row_keys, set_aside
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BETWEEN_WORDS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -127,20 +127,16 @@ def clean_documents(
         .distinct()
     )
     bad = scratch.save(bad, "contaminated")
-    k1, k2 = _row_keys()
-    keyed = documents.withColumns({"_k1": k1, "_k2": k2})
-    return keyed.join(bad, ["_k1", "_k2"], "left_anti").select(*documents.columns)
+    renamed, own = set_aside(documents)
+    k1, k2 = row_keys(own["doc_id"], own["text"])
+    keyed = renamed.withColumns({"_k1": k1, "_k2": k2})
+    return put_back(keyed.join(bad, ["_k1", "_k2"], "left_anti"), own)
 
 
 def _contaminated(settings: DecontaminateSettings) -> Column:
     return (F.col("n_hit") > 0) & (F.col("n_hit") * settings.share >= F.col("n_words"))
 
 
-def _row_keys() -> tuple[Column, Column]:
-    """128 bits of id and text: equal for equal rows, never null."""
-    return F.xxhash64("doc_id", "text"), F.xxhash64(F.lit(1), "text", "doc_id")
-
-
 def _found(documents, benchmark, settings: DecontaminateSettings, scratch: Scratch):
     """(rows with keys and word counts, results of rows with hits), both written."""
     run = settings.window - settings.gram + 1
@@ -165,7 +161,7 @@ def _found(documents, benchmark, settings: DecontaminateSettings, scratch: Scrat
         long_items.select(F.explode(fingerprints(F.col("g"), run)).alias("gram")).distinct(),
         "item-prints",
     )
-    k1, k2 = _row_keys()
+    k1, k2 = row_keys("doc_id", "text")
     rows = scratch.save(
         documents.select(
             F.col("doc_id").cast("long").alias("doc_id"),

@@ -16,7 +16,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.llm.common import Scratch
+from loomcast.llm.common import Scratch, put_back, set_aside
 from loomcast.llm.ranking import bucket_count, hex_bucket, with_running_total
 
 #: Exponents are multiples of 1 / STEPS; ten halvings find one.
@@ -203,13 +203,11 @@ def mixed_documents(documents: DataFrame, settings: MixSettings = MixSettings())
     scratch = Scratch(documents.sparkSession, "mix")
     light = _light(documents, scratch)
     budgets = with_cutoffs(light, source_budgets(light, settings, scratch), settings, scratch)
-    own = {c: f"_own_{i}" for i, c in enumerate(documents.columns)}
-    renamed = documents.withColumnsRenamed(own)
+    renamed, own = set_aside(documents)
     rows = renamed.withColumns(
         {
             "_source": source_key(own["source"]),
             "doc_id": F.col(own["doc_id"]).cast("long"),
         }
     )
-    back = [F.col(new).alias(old) for old, new in own.items()]
-    return draw(rows, budgets, settings).select(*back)
+    return put_back(draw(rows, budgets, settings), own)

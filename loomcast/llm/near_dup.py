@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 from xxhash import xxh64_intdigest
 
-from loomcast.llm.common import GOLDEN, Scratch, mix64
+from loomcast.llm.common import GOLDEN, Scratch, mix64, put_back, row_keys, set_aside
 from loomcast.llm.components import connected_components
 
 EMPTY = np.empty(0, dtype=np.uint64)
@@ -211,8 +211,9 @@ def distinct_documents(
     go = scratch.save(
         words.select("k1", "k2").distinct().join(stay, ["k1", "k2"], "left_anti"), "go"
     )
-    k1, k2 = _row_keys("doc_id", "text")
-    keyed = documents.withColumns({"_k1": k1, "_k2": k2})
+    renamed, own = set_aside(documents)
+    k1, k2 = row_keys(own["doc_id"], own["text"])
+    keyed = renamed.withColumns({"_k1": k1, "_k2": k2})
 
     def keys(of: DataFrame) -> DataFrame:
         return of.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"))
@@ -221,12 +222,7 @@ def distinct_documents(
     if not repeated.isEmpty():
         once = left.join(keys(repeated), ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"])
         left = left.join(keys(repeated), ["_k1", "_k2"], "left_anti").unionByName(once)
-    return left.select(*documents.columns)
-
-
-def _row_keys(id_col: str, text_col: str):
-    """128 bits of id and text: equal for equal rows, never null."""
-    return F.xxhash64(id_col, text_col), F.xxhash64(F.lit(1), text_col, id_col)
+    return put_back(left, own)
 
 
 def _grouped(
@@ -236,7 +232,7 @@ def _grouped(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    k1, k2 = _row_keys(id_col, text_col)
+    k1, k2 = row_keys(id_col, text_col)
     texts = documents.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(text_col).cast("binary").alias("text"),

@@ -209,7 +209,9 @@ def label_model(codes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> np.
                 # A labeler is better than chance: one added vote on its own side.
                 table = np.bincount(votes[:, j], weights=weight[truth], minlength=3) + 0.5
                 table[2 * truth] += 1
-                log[truth] += np.log(table / table.sum())[votes[:, j]]
+                table /= table[0] + table[2]
+                table[1] = 1.0  # who abstains says nothing
+                log[truth] += np.log(table)[votes[:, j]]
         new = 1 / (1 + np.exp(np.clip(log[0] - log[1], -500, 500)))
         if np.abs(new - p).max() < 1e-9:
             return new

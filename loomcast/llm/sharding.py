@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.llm.common import Scratch
+from loomcast.llm.common import Scratch, set_aside
 from loomcast.llm.ranking import bucket_count, hex_bucket, with_running_total
 
 
@@ -93,7 +93,7 @@ def interleave(
     )
 
 
-def row_keys(columns: list[str]) -> tuple[Column, Column]:
+def whole_row_keys(columns: list[str]) -> tuple[Column, Column]:
     """128 bits that are equal for rows with equal values in all columns."""
     whole = F.to_json(F.struct(*columns))
     return F.xxhash64(whole), F.xxhash64(F.lit(1), whole)
@@ -109,9 +109,9 @@ def sharded_documents(
     own column named shard or slot is replaced.
     """
     scratch = Scratch(documents.sparkSession, "shards")
-    own = {c: f"_own_{i}" for i, c in enumerate(documents.columns)}
-    k1, k2 = row_keys(documents.columns)
-    renamed = documents.withColumns({"_k1": k1, "_k2": k2}).withColumnsRenamed(own)
+    renamed, own = set_aside(documents)
+    k1, k2 = whole_row_keys(renamed.columns)
+    renamed = renamed.withColumns({"_k1": k1, "_k2": k2})
     light = scratch.save(
         renamed.select(
             "_k1",

@@ -1,0 +1,149 @@
+"""Operators that learn: held-out accuracy and defined results for odd rows."""
+
+import zlib
+
+import numpy as np
+import pytest
+from odd_rows import documents, labels
+from pyspark.sql import functions as F
+
+from loomcast.llm.language_id import (
+    BITS,
+    N_CLASSES,
+    LanguageModel,
+    identify_languages,
+    kneser_ney,
+    ngram_keys,
+)
+from loomcast.llm.language_id import encode as encode_letters
+from loomcast.llm.pii import base_spans, label_model, personal_data, span_code
+from loomcast.llm.quality import good_documents, quality_scores
+from loomcast.llm.queries import QUERIES
+
+
+def test_quality_on_held_out_rows(spark, sf_dir):
+    scores = QUERIES["op3_ftrl_quality"](spark, sf_dir)
+    marks = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows = scores.where("held_out").join(marks, "doc_id").collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    assert np.mean([r.predicted == r.quality for r in rows]) > 0.95
+
+
+def test_quality_of_odd_rows(spark):
+    df = documents(spark)
+    marks = labels(spark, [(1, 1, 0), (6, 0, 0), (8, 1, 0), (10, None, 0), (None, 1, 0)])
+    rows = quality_scores(df, marks).collect()
+    assert len(rows) == df.count() and all(0 <= r.score <= 1 for r in rows)
+    assert len({r.score for r in rows if r.doc_id in (3, 4, 5)}) == 1
+    assert {r.score for r in quality_scores(df, marks.limit(0)).collect()} == {0.5}
+    assert quality_scores(df.limit(0), marks).collect() == []
+    assert good_documents(df, marks).columns == df.columns
+
+
+def test_languages_on_held_out_rows(spark, sf_dir):
+    found = QUERIES["op10_kneser_ney_language"](spark, sf_dir)
+    known = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
+    rows = found.where("held_out").join(known, "doc_id").collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    assert np.mean([r.lang_pred == r.lang for r in rows]) > 0.97
+
+
+def test_languages_of_odd_rows(spark):
+    df = documents(spark).withColumn(
+        "text", F.when(F.col("doc_id") == 6, "12 + 3!").otherwise(F.col("text"))
+    )
+    rows = {r.doc_id: r for r in identify_languages(df).collect()}
+    assert all(rows[i].lang_pred == "und" and rows[i].score == 0 for i in (3, 4, 5, 6))
+    assert rows[8].lang_pred in ("en", "de") and 0 <= rows[8].score <= 1
+    nothing = identify_languages(df.withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert {r.lang_pred for r in nothing} == {"und"}
+    assert identify_languages(df.limit(0)).collect() == []
+
+
+def test_kneser_ney_probabilities_sum_to_one():
+    codes = encode_letters("the cat sat on the mat and the dog sat on the log " * 3)
+    keys, counts = np.unique(ngram_keys(codes), return_counts=True)
+    model = LanguageModel({"x": (keys, counts)})
+    own = kneser_ney(keys, counts)
+    for context in np.unique(keys >> np.uint32(BITS))[:5].tolist() + [12345]:
+        following = (np.uint32(context) << np.uint32(BITS)) + np.arange(N_CLASSES, dtype=np.uint32)
+        levels = [(None, None, own[i][2]) for i in range(4)]
+        p = model._lower(levels, 3, following, 0)
+        known = np.isin(own[3][0], following)
+        p[np.searchsorted(following, own[3][0][known])] = own[3][1][known]
+        assert p.sum() == pytest.approx(1, abs=1e-6)
+
+
+SPANS = [
+    ("a.b@c.de, x@y and @z.com q@r.s@t.uv", ["email:0:8", "email:25:30"]),
+    ("1.2.3.4 256.1.1.1 1.2.3.4.5.6.7.8 001.2.3.4", None),
+    ("4111 1111 1111 1111 and 4111-1111-1111-1112", ["card:0:19"]),
+    ("+1 (385) 555-1563 +12 345 +49 30 1234567.", ["phone:0:17", "phone:26:40"]),
+]
+
+
+def plain_base(text):
+    """The definition with the patterns as they stand."""
+    import re
+
+    kinds = ["email", "ip", "card", "phone"]
+    patterns = [
+        r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+        r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        r"[0-9]([\x20-]?[0-9])+",
+        r"\+[0-9][\x20().0-9-]+[0-9]",
+    ]
+
+    def luhn(d):
+        digits = [int(x) for x in d][::-1]
+        return sum(x if i % 2 == 0 else sum(divmod(2 * x, 10)) for i, x in enumerate(digits)) % 10
+
+    out = []
+    for k, pattern in enumerate(patterns):
+        for m in re.finditer(pattern, text):
+            d = re.sub("[^0-9]", "", m.group())
+            ok = [
+                True,
+                all(int(x) <= 255 for x in m.group().split(".")) if k == 1 else True,
+                k == 2 and 14 <= len(d) <= 19 and luhn(d) == 0,
+                10 <= len(d) <= 15,
+            ][k]
+            if ok:
+                out.append((m.start(), k, m.end()))
+    return [f"{kinds[k]}:{s}:{e}" for s, k, e in sorted(out)]
+
+
+def test_base_spans_follow_the_patterns(sf_dir):
+    import duckdb
+
+    names = ["email", "ip", "card", "phone"]
+    texts = [t for t, _ in SPANS] + ["é+1 (385) 555-1563", "a@b.c@d.e@f", "1" * 5000, "++1 2", "@"]
+    sql = f"select text from read_parquet('{sf_dir}/documents.parquet')"
+    texts += [r[0] for r in duckdb.connect().execute(sql).fetchall()]
+    for text in texts:
+        found = [f"{names[k]}:{s}:{e}" for s, k, e in base_spans(text)]
+        if not text.startswith("1" * 5000):
+            assert found == plain_base(text)
+    for text, want in SPANS:
+        if want:
+            assert [f"{names[k]}:{s}:{e}" for s, k, e in base_spans(text)] == want
+
+
+def test_personal_data_of_odd_rows(spark):
+    extra = [(20, "call (385) 555-1563 or write to jo [at] example [dot] com", "en", "a")]
+    many = [(100 + i, f"tel +1 (385) 555-15{i:02d}, mail a{i}@b.com", "en", "a") for i in range(40)]
+    df = documents(spark, documents(spark, clashes=False).select(
+        "doc_id", "text", "lang", "source").collect() + extra + many)
+    rows = {r.doc_id: r for r in personal_data(df).collect()}
+    assert rows[3].spans == "" and rows[4].n_email == 0
+    assert rows[10].n_email == 1 and rows[10].n_phone == 1
+    assert rows[20].n_added == 2 and rows[20].n_phone == 0
+    assert rows[20].spans == "phone:5:19,email:32:57"
+    assert personal_data(df.limit(0)).collect() == []
+
+
+def test_label_model_trusts_agreeing_labelers():
+    good = span_code("mail a@b.com now", (5, 0, 12))
+    bad = span_code("xid 1-2-3-4x", (4, 3, 11))
+    p = label_model(np.array([good, bad]), np.array([90.0, 10.0]))
+    assert p[0] > 0.9 > 0.2 > p[1]
