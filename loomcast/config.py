@@ -30,6 +30,7 @@ class ForecastConfig:
     evaluation_output: str | None = None
     removed_output: str | None = None
     failures_output: str | None = None
+    source_format: str = "parquet"
     sink_format: str = "parquet"
 
     store_id: str = "store_nbr"

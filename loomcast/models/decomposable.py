@@ -26,7 +26,7 @@ FOURIER = {"yearly": (365.25, 10), "weekly": (7.0, 3), "daily": (1.0, 4)}
 TREND_PRIOR_SCALE = 5.0
 
 BLOCK_ROWS = 65_536
-ROUNDS = 10
+MAX_ROUNDS = 500
 REWEIGHTS = 8
 
 
@@ -108,7 +108,7 @@ class Decomposable(SeriesModel):
     def _fit_logistic(self, rows, design, sums, scale):
         """Trend on the logit scale, then effects on the scale of the target."""
         if (rows["n_z"] < rows["n_obs"]).any():
-            raise FitError("cap must be above floor on every row")
+            raise FitError("targets must lie between floor and cap")
         z_scale = max(rows["max_abs_z"].max(), 1.0)
         on_logit = _Sums.of(rows, self.p.regressors, z_scale, "z")
         trend, _ = _fit_jointly(design, on_logit, self._penalties(), "additive")
@@ -314,7 +314,7 @@ def _fit_jointly(design: _Design, sums: _Sums, penalties: _Penalties, mode: str)
         )
         gram, rhs, squares = _normal_equations(design, sums, theta, n_trend, additive)
         best = objective(theta, squares)
-    for _ in range(ROUNDS):
+    for _ in range(MAX_ROUNDS):
         variance = _variance(squares, total)
         target = theta
         for _ in range(REWEIGHTS if changes.stop > 2 else 1):
@@ -332,12 +332,14 @@ def _fit_jointly(design: _Design, sums: _Sums, penalties: _Penalties, mode: str)
                 break
             step = step / 2
         else:
-            break
+            break  # no shorter step is better either
         done = best - value < 1e-9 * max(1.0, abs(best))
         theta, best = candidate, value
         gram, rhs, squares = equations
         if done:
             break
+    else:
+        raise FitError("the fit did not converge")
     return theta[:n_trend], theta[n_trend:]
 
 
@@ -423,11 +425,13 @@ def _fit_effects(design, sums, penalties, mode, level, floor):
     gram[r, e] = gram[e, r].T
     theta, total = np.zeros(size), sums.n.sum()
     squares = max(rest.sum(), 0.0)
-    for _ in range(ROUNDS):
+    for _ in range(MAX_ROUNDS):
         variance = _variance(squares, total)
         theta = _solve(gram / variance + np.diag(penalties.effects), rhs / variance)
         squares = max(rest.sum() - 2 * theta @ rhs + theta @ gram @ theta, 0.0)
-    return theta
+        if abs(_variance(squares, total) - variance) <= 1e-9 * variance:
+            return theta
+    raise FitError("the fit did not converge")
 
 
 _TINY = 1e-12

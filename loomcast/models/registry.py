@@ -36,5 +36,8 @@ def resolve_models(cfg: ForecastConfig) -> dict[str, NativeModel | SeriesModel]:
         kind = params.pop("kind", label)
         if kind not in _KINDS:
             raise UnknownModelError(f"unknown model kind {kind!r}")
+        if kind == "Decomposable" and cfg.extra_regressors:
+            # The table's regressors serve every model that does not name its own.
+            params.setdefault("regressors", cfg.extra_regressors)
         resolved[label] = _KINDS[kind](params)
     return resolved

@@ -16,15 +16,10 @@ from loomcast.functions.missing import nan_to_null, zero_filled
 from loomcast.functions.steps import clock, from_clock, to_step
 from loomcast.models.base import SeriesModel, holiday_column
 from loomcast.operators.keys import require_columns, with_series_key
-from loomcast.operators.steps import mean_target, series_steps, with_horizon
+from loomcast.operators.steps import SOURCED, mean_target, series_steps, with_horizon
 from loomcast.operators.windows import cutoff_at, first_cutoff, with_window_index
 from loomcast.sources.tables import read_source
 
-# How far a share of (cap - floor) may come to its bounds before taking logits.
-LOGIT_MARGIN = 1e-3
-
-# Most (date, holiday) pairs that are broadcast; a larger calendar is left to Spark.
-BROADCAST_HOLIDAYS = 100_000
 
 
 class Inputs:
@@ -84,13 +79,15 @@ def series_design(
         rows = rows.withColumn("_train", F.lit(True)).unionByName(
             scoring.withColumn("_train", F.lit(False)), allowMissingColumns=True
         )
-        n_rows = F.count_if("_train")
+        sourced = F.col(SOURCED) if SOURCED in rows.columns else F.lit(True)
+        n_rows = F.count_if(F.col("_train") & sourced)
+        sums.append(F.count_if("_train").alias("n_train"))
         means = [
             F.coalesce(F.avg(F.when(F.col("_train"), F.col(r))), F.avg(r)).alias(f"rm_{r}")
             for r in names
         ]
     else:
-        n_rows = F.count("*")
+        n_rows = None
         means = [F.avg(r).alias(f"rm_{r}") for r in names]
     if cfg.few_rows_per_step and not horizon:
         # A backtest scores the rows of a step one by one.
@@ -103,7 +100,7 @@ def series_design(
     if scoring is not None:
         values = [c for c in grown.columns if c not in (*keys, "ds")]
         grown = grown.groupBy(*keys, "ds").agg(*[F.max(c).alias(c) for c in values])
-        grown = grown.where((F.col("n_rows") > 0) | (F.col("h") > 0))
+        grown = grown.where((F.col("n_train") > 0) | (F.col("h") > 0)).drop("n_train")
     return grown
 
 
@@ -113,11 +110,8 @@ def _sums(cfg: ForecastConfig, inputs: Inputs) -> list[Column]:
     targets = {"y": y}
     if inputs.logistic:
         cap, floor = F.col(cfg.cap_col), F.col(cfg.floor_col)
-        share = F.when(cap > floor, F.greatest(
-            F.least((y - floor) / (cap - floor), F.lit(1 - LOGIT_MARGIN)), F.lit(LOGIT_MARGIN)
-        ))
-        # least and greatest skip nulls, so a missing target is put back here.
-        z = F.when(y.isNotNull(), F.log(share / (1 - share)))
+        # Only a target strictly between its bounds has a logit.
+        z = F.when((floor < y) & (y < cap), F.log((y - floor) / (cap - y)))
         targets["z"] = z
         sums += [
             F.count(z).alias("n_z"),
@@ -135,16 +129,15 @@ def _sums(cfg: ForecastConfig, inputs: Inputs) -> list[Column]:
     return sums
 
 
-def with_holidays(design: DataFrame, sources: Mapping[str, Any]) -> DataFrame:
+def with_holidays(
+    design: DataFrame, sources: Mapping[str, Any], fmt: str = "parquet"
+) -> DataFrame:
     """Add each model's holiday names of the date; null on ordinary days."""
     for label, source in sources.items():
-        frame = read_source(design.sparkSession, source)
+        frame = read_source(design.sparkSession, source, fmt)
         calendar = frame.groupBy(F.col("ds").cast("date").alias("_day")).agg(
             F.array_sort(F.collect_set("holiday")).alias(holiday_column(label))
         )
-        names = frame.select("ds", "holiday").distinct()
-        if names.limit(BROADCAST_HOLIDAYS + 1).count() <= BROADCAST_HOLIDAYS:
-            calendar = F.broadcast(calendar)
         on_day = F.col("ds").cast("date") == F.col("_day")
         design = design.join(calendar, on_day, "left").drop("_day")
     return design
@@ -281,14 +274,16 @@ def make_backtester(
             start = k * stride
             train = pdf[i < start]
             actual = pdf[(i >= start) & (i < start + length)]
-            if train.empty or actual["n_rows"].sum() < length:
+            if not train["n_rows"].sum() or actual["n_rows"].sum() < length:
                 continue
             ahead = steps_ahead(actual, train.iloc[-1], freq)
             dates = actual[(ahead >= 1) & (ahead <= length)]
             for label, model in models.items():
                 result, error = attempt(model, train, dates, dates["h"] == 0, unit)
                 if error is not None:
-                    result = pd.DataFrame({"x": [actual["x"].iloc[0]], "y_pred": [np.nan]})
+                    # On a date with source rows, where scoring meets it.
+                    met = actual.loc[actual["n_rows"] > 0, "x"].iloc[0]
+                    result = pd.DataFrame({"x": [met], "y_pred": [np.nan]})
                 if with_targets:
                     result = result.merge(actual[["x", "targets"]], on="x")
                 parts.append(result.assign(model_name=label, k=k, error=error))

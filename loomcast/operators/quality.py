@@ -39,23 +39,15 @@ def require_survivors(profile: DataFrame, threshold: float) -> None:
         raise ValueError("no series passed the data quality check")
 
 
-def kept_rows(rows: DataFrame, keys: list[str], threshold: float, salts: int = 32) -> DataFrame:
+def kept_rows(rows: DataFrame, keys: list[str], threshold: float) -> DataFrame:
     """Rows of the series that pass the missing-target filter.
 
-    The rows meet the *removed* keys, the smaller set, in an anti join. A series
-    may hold a large share of all rows, so each row carries a salt taken from
-    its content and each removed key appears once per salt: the rows of one
-    series spread over ``salts`` tasks. Spark broadcasts the keys instead when
-    their measured size is under its threshold.
+    The rows meet the *removed* keys, the smaller set, in an anti join. Spark
+    broadcasts the keys when their measured size is under its threshold, and
+    splits the rows of a large series over several tasks otherwise.
     """
-    removed = removed_series(series_profile(rows, keys), keys, threshold).select(
-        *keys, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
-    )
-    content = [c for c in rows.columns if c not in keys]
-    salted = rows.withColumn(
-        "_salt", F.pmod(F.xxhash64(*content), F.lit(salts)).cast("int")
-    )
-    return null_safe_join(salted, removed, keys, ["_salt"], "left_anti").drop("_salt")
+    removed = removed_series(series_profile(rows, keys), keys, threshold).select(*keys)
+    return null_safe_join(rows, removed, keys, how="left_anti")
 
 
 def global_last_date(rows: DataFrame) -> DataFrame:

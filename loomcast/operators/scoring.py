@@ -9,6 +9,7 @@ from loomcast.config import ForecastConfig
 from loomcast.functions.metrics import METRICS
 from loomcast.functions.missing import zero_filled
 from loomcast.operators.keys import null_safe_join
+from loomcast.operators.steps import SOURCED
 
 
 def score_windows(predictions: DataFrame, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
@@ -25,13 +26,15 @@ def score_windows(predictions: DataFrame, rows: DataFrame, cfg: ForecastConfig)
     keys = cfg.keys
     joined = predictions
     if "y" not in predictions.columns:
-        actual = rows.where(F.col("ds").isNotNull()).select(*keys, "ds", "y")
+        # A step that resampling filled in has no source row to score.
+        sourced = F.col(SOURCED) if SOURCED in rows.columns else F.lit(True)
+        actual = rows.where(F.col("ds").isNotNull() & sourced).select(*keys, "ds", "y")
         joined = null_safe_join(actual, predictions, keys, ["ds"]).withColumn("weight", F.lit(1))
     metric = METRICS.get(cfg.metric)
     y, p = zero_filled(F.col("y")), zero_filled(F.col("y_pred"))
     value = metric(y, p, F.col("weight")) if metric else F.lit(float("nan"))
     scored = joined.groupBy(*keys, "model_name", "cutoff").agg(
-        value.alias("value"), F.count("error").alias("errors")
+        value.alias("value"), F.count("error").alias("errors"), F.max("error").alias("error")
     )
     failed = F.col("errors") > 0
     status = F.when(failed, "error").otherwise("ok" if metric else "unsupported_metric")
@@ -43,4 +46,5 @@ def score_windows(predictions: DataFrame, rows: DataFrame, cfg: ForecastConfig)
         F.lit(cfg.metric).alias("metric_name"),
         F.when(failed, F.lit(float("inf"))).otherwise(F.col("value")).alias("metric_value"),
         status.alias("status"),
+        "error",
     )

@@ -22,9 +22,15 @@ from loomcast.config import ForecastConfig
 from loomcast.functions.steps import add_steps, ds_type, step_number
 
 
+#: On resampled rows: false where a step was filled in and no source row stands behind it.
+SOURCED = "_sourced"
+
+
 def fold_steps(
     rows: DataFrame, keys: list[str], sums: Iterable[Column] = (), n_rows: Column | None = None
 ) -> DataFrame:
+    if n_rows is None and SOURCED in rows.columns:
+        n_rows = F.count_if(SOURCED)
     return rows.groupBy(*keys, "ds").agg(
         (F.count("*") if n_rows is None else n_rows).alias("n_rows"),
         F.count("y").alias("n_obs"),
@@ -159,13 +165,16 @@ def resample_spine(rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
     The target of a step is the sum of its rows, null where there are none.
     Gaps are filled from each row up to the next one, which needs neither a
     generated calendar nor a join. Other columns are averaged and null in gaps,
-    apart from the bounds of logistic growth, which stay as they were.
+    apart from the bounds of logistic growth, which stay as they were. ``_sourced``
+    tells the source's steps from those filled in. Rows without a date stay as
+    one undated step of their series, so that the models still report them.
     """
     keys = cfg.keys
     extra = [c for c in rows.columns if c not in (*keys, "ds", "y")]
-    steps = rows.where(F.col("ds").isNotNull()).groupBy(*keys, "ds").agg(
+    steps = rows.groupBy(*keys, "ds").agg(
         F.sum("y").alias("y"), *[F.avg(c).alias(c) for c in extra]
     )
+    # Nulls come first, so an undated step never ends a gap.
     following = F.lead("ds").over(Window.partitionBy(*keys).orderBy("ds"))
     gap = F.coalesce(
         step_number(F.col("_next"), cfg.freq) - step_number(F.col("ds"), cfg.freq), F.lit(1)
@@ -183,4 +192,5 @@ def resample_spine(rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
             F.col(c) if c in (cfg.cap_col, cfg.floor_col) else F.when(F.col("_i") == 0, F.col(c)).alias(c)
             for c in ("y", *extra)
         ],
+        (F.col("_i") == 0).alias(SOURCED),
     )

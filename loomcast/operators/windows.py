@@ -93,7 +93,7 @@ def running_windows(
     per_window = entries.groupBy(*by).agg(
         *[F.sum(F.when(train, F.col(f"_sum_{name}"))).alias(name) for name in sums],
         F.max(F.when(train, F.col("ds"))).alias("last_train"),
-        F.min(F.when(~train, F.col("ds"))).alias("first_actual"),
+        F.min(F.when(~train & (F.col("n_rows") > 0), F.col("ds"))).alias("first_actual"),
         F.sum(F.when(~train, F.col("n_rows"))).alias("weight"),
     )
     window = Window.partitionBy(*keys, "k").orderBy("k")

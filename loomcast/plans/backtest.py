@@ -20,7 +20,8 @@ from loomcast.operators.grouped import (
     with_series_partitions,
 )
 from loomcast.operators.scoring import score_windows
-from loomcast.plans.prepare import check_quality, prepared_rows
+from loomcast.plans.prepare import check_quality, plain_rows, prepared_rows
+from loomcast.session import ensure_checkpoint_dir
 from loomcast.sources.sinks import stamp, write_frame
 from loomcast.sources.tables import read_source
 
@@ -28,7 +29,7 @@ _log = logging.getLogger(__name__)
 
 
 def backtest(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
-    """Evaluations: ``unique_id``, ``model_name``, ``cutoff``, metric and ``status``."""
+    """Evaluations: ``unique_id``, ``model_name``, ``cutoff``, metric, ``status``, ``error``."""
     models = resolve_models(cfg)
     per_series = {k: m for k, m in models.items() if isinstance(m, SeriesModel)}
     inputs = Inputs(per_series)
@@ -36,7 +37,7 @@ def backtest(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
         # Native models follow, so that all models can read the same shuffle.
         cfg = with_series_partitions(cfg, df.sparkSession)
     rows, cfg = prepared_rows(with_default_floor(df, cfg, inputs), cfg, inputs.columns(cfg))
-    plain = rows.select(*cfg.keys, "ds", "y")
+    plain = plain_rows(rows, cfg)
 
     parts = [
         model.backtest(plain, cfg).withColumn("model_name", F.lit(label))
@@ -45,7 +46,7 @@ def backtest(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
     ]
     if per_series:
         design = series_design(rows, cfg, inputs, horizon=False)
-        design = with_holidays(design, inputs.holidays)
+        design = with_holidays(design, inputs.holidays, cfg.source_format)
         parts.append(backtest_series(design, cfg, per_series))
     predictions = parts[0]
     for part in parts[1:]:
@@ -58,9 +59,14 @@ def run_backtest(spark: SparkSession, cfg: ForecastConfig, run_id: str | None =
     run_id = run_id or str(uuid.uuid4())
     if not cfg.evaluation_output:
         raise ValueError("evaluation_output is not configured")
-    source = read_source(spark, cfg.train_data)
+    source = read_source(spark, cfg.train_data, cfg.source_format)
     if cfg.data_quality_check:
-        check_quality(source, cfg)
-    write_frame(stamp(backtest(source, cfg), run_id), cfg.evaluation_output, cfg.sink_format)
+        check_quality(source, cfg, cfg.evaluation_output)
+    ensure_checkpoint_dir(spark)
+    evaluations = backtest(source, cfg).checkpoint()
+    write_frame(stamp(evaluations, run_id), cfg.evaluation_output, cfg.sink_format)
+    failed = evaluations.where("status = 'error'").count()
+    if failed:
+        _log.warning("%d windows failed; see %s", failed, cfg.evaluation_output)
     _log.info("backtest run %s written to %s", run_id, cfg.evaluation_output)
     return run_id

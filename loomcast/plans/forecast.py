@@ -21,7 +21,7 @@ from loomcast.operators.grouped import (
     with_holidays,
     with_series_partitions,
 )
-from loomcast.plans.prepare import check_quality, prepared_rows
+from loomcast.plans.prepare import beside, check_quality, plain_rows, prepared_rows
 from loomcast.session import ensure_checkpoint_dir
 from loomcast.sources.sinks import stamp, write_frame
 from loomcast.sources.tables import read_source
@@ -46,7 +46,7 @@ def forecast(
     rows, cfg = prepared_rows(with_default_floor(df, cfg, inputs), cfg, inputs.columns(cfg))
 
     parts = [
-        model.forecast(rows.select(*cfg.keys, "ds", "y"), cfg).withColumn(
+        model.forecast(plain_rows(rows, cfg), cfg).withColumn(
             "model_name", F.lit(label)
         )
         for label, model in models.items()
@@ -59,7 +59,7 @@ def forecast(
                 raise ValueError("regressors need scoring data with their future values")
             future = future_regressors(scoring, cfg, inputs.regressors)
         design = series_design(rows, cfg, inputs, future)
-        design = with_holidays(design, inputs.holidays)
+        design = with_holidays(design, inputs.holidays, cfg.source_format)
         parts.append(forecast_series(design, cfg, per_series))
     fitted = parts[0]
     for part in parts[1:]:
@@ -76,23 +76,27 @@ def split_failures(fitted: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def run_forecast(spark: SparkSession, cfg: ForecastConfig, run_id: str | None = None) -> str:
-    """Run the whole job and return its run id."""
+    """Run the whole job and return its run id.
+
+    Failures and removed series are always written: to their configured targets,
+    or beside the forecasts under the same name with a suffix.
+    """
     run_id = run_id or str(uuid.uuid4())
     resolve_models(cfg)
     if not cfg.scoring_output:
         raise ValueError("scoring_output is not configured")
-    source = read_source(spark, cfg.train_data)
-    scoring = read_source(spark, cfg.scoring_data) if cfg.scoring_data is not None else None
+    source = read_source(spark, cfg.train_data, cfg.source_format)
+    scoring = read_source(spark, cfg.scoring_data, cfg.source_format) if cfg.scoring_data is not None else None
     if cfg.data_quality_check:
-        check_quality(source, cfg)
-    fitted = forecast(source, cfg, scoring)
-    if cfg.failures_output:
-        # Two outputs from one expensive frame: fit once.
-        ensure_checkpoint_dir(spark)
-        fitted = fitted.checkpoint()
-    forecasts, failures = split_failures(fitted)
+        check_quality(source, cfg, cfg.scoring_output)
+    # Two outputs from one expensive frame: fit once.
+    ensure_checkpoint_dir(spark)
+    forecasts, failures = split_failures(forecast(source, cfg, scoring).checkpoint())
     write_frame(stamp(forecasts, run_id), cfg.scoring_output, cfg.sink_format)
-    if cfg.failures_output:
-        write_frame(stamp(failures, run_id), cfg.failures_output, cfg.sink_format)
+    failed = failures.count()
+    target = cfg.failures_output or beside(cfg.scoring_output, "failures")
+    write_frame(stamp(failures, run_id), target, cfg.sink_format)
+    if failed:
+        _log.warning("%d series could not be fitted by a model; see %s", failed, target)
     _log.info("forecast run %s written to %s", run_id, cfg.scoring_output)
     return run_id

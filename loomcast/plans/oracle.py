@@ -113,7 +113,7 @@ _HOLIDAY_LEVEL = """CASE WHEN strftime(ds, '%m-%d') = '01-01' THEN 'new_year'
 
 _LOGISTIC = f"""WITH {_SHIPPED},
 capped AS (SELECT *, 1.2 * max(y) OVER (PARTITION BY group_id) AS cap FROM series),
-shares AS (SELECT *, least(greatest(y / cap, 0.001), 1 - 0.001) AS share FROM capped),
+shares AS (SELECT *, y / cap AS share FROM capped),
 logits AS (SELECT group_id, ds, cap, ln(share / (1 - share)) AS y FROM shares),
 {_line_fit("logits")},
 caps AS (SELECT group_id, max(cap) AS cap FROM capped GROUP BY group_id),
@@ -303,6 +303,27 @@ FROM ({_line_forecast(_EVENT_SERIES)})""",
 short AS (SELECT group_id FROM series GROUP BY group_id HAVING count(*) < 2
           UNION ALL SELECT 'single_0')
 SELECT group_id, model_name FROM short, (VALUES ('LinearTrend'), ('plain')) AS m(model_name)""",
+    "forecast_job_output": f"""SELECT *, 'fixed-run' AS run_id
+FROM ({_line_forecast(_EVENT_SERIES)})""",
+    "forecast_undated_rows": f"""WITH {_EVENT_SERIES}
+SELECT DISTINCT group_id, 'LinearTrend' AS model_name, 'missing date' AS error
+FROM series WHERE group_id = 'error_3'""",
+    "backtest_resampled": f"""WITH {_ORDERS_MONTHLY.replace("series AS", "monthly AS")},
+series AS (SELECT group_id, ds, sum(y) AS y FROM monthly GROUP BY ALL),
+{_MONTH_WINDOWS}, {_split(3)},
+{_line_windows("last_day(cutoff + to_months(h - 1))", 3)}
+{_scores("LinearTrend", "smape", _SMAPE)} UNION ALL {_failed("LinearTrend", "smape")}""",
+    "backtest_missing_targets": _line_backtest(
+        f"""{_EVENT_ROWS}, series AS (SELECT group_id, ds,
+  CASE WHEN event_id % 3 = 0 OR event_id % 7 = 0 THEN NULL ELSE y END AS y FROM events_keyed)"""
+    ),
+    "backtest_failed_windows": f"""SELECT *,
+  CASE WHEN status = 'error' THEN 'fewer than two usable dates' END AS error
+FROM ({_line_backtest(f"""{_EVENT_SERIES.replace("series AS", "full_series AS")},
+series AS (SELECT group_id, ds,
+  CASE WHEN ds > max(ds) OVER (PARTITION BY group_id) - 20 THEN y END AS y FROM full_series)""")})""",
+    "backtest_job_output": f"""SELECT *, 'fixed-run' AS run_id
+FROM ({_line_backtest(_SHIPPED)})""",
     "backtest_cutoffs": f"""WITH {_EVENT_SERIES}, {_WINDOWS}
 SELECT group_id, k, cutoff, test_end FROM cutoffs""",
     "backtest_train_stats": f"""WITH {_EVENT_SERIES}, {_WINDOWS}

@@ -16,7 +16,7 @@ from loomcast.operators.quality import (
     require_survivors,
     series_profile,
 )
-from loomcast.operators.steps import resample_spine
+from loomcast.operators.steps import SOURCED, resample_spine
 from loomcast.session import ensure_checkpoint_dir
 from loomcast.sources.sinks import write_frame
 
@@ -43,12 +43,29 @@ def prepared_rows(
     return resample_spine(rows, cfg), replace(cfg, **done)
 
 
-def check_quality(df: DataFrame, cfg: ForecastConfig) -> None:
-    """Write the removed series and fail when no series is left."""
+def plain_rows(rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    """What models without further inputs read."""
+    sourced = [SOURCED] if SOURCED in rows.columns else []
+    return rows.select(*cfg.keys, "ds", "y", *sourced)
+
+
+def beside(target: str, what: str) -> str:
+    """Table or path next to ``target``: its name with a suffix."""
+    return f"{target.rstrip('/')}_{what}"
+
+
+def check_quality(df: DataFrame, cfg: ForecastConfig, output: str) -> None:
+    """Write and count the removed series; fail when no series is left.
+
+    Without a configured target they go beside ``output``.
+    """
     rows = series_rows(df, cfg)
     ensure_checkpoint_dir(df.sparkSession)
     profile = series_profile(rows, cfg.keys).checkpoint()
     removed = removed_series(profile, cfg.keys, cfg.missing_threshold)
-    if cfg.removed_output:
-        write_frame(removed, cfg.removed_output, cfg.sink_format)
+    target = cfg.removed_output or beside(output, "removed")
+    write_frame(removed, target, cfg.sink_format)
+    gone = removed.count()
+    if gone:
+        _log.warning("%d series have too many missing targets; see %s", gone, target)
     require_survivors(profile, cfg.missing_threshold)

@@ -20,8 +20,10 @@ from loomcast.operators.quality import (
 from loomcast.operators.scoring import score_windows
 from loomcast.operators.steps import explode_horizon, fold_steps, future_grid, resample_spine
 from loomcast.operators.windows import actual_windows, backtest_cutoffs, training_windows
-from loomcast.plans.backtest import backtest
-from loomcast.plans.forecast import forecast, split_failures
+from loomcast.plans.backtest import backtest, run_backtest
+from loomcast.plans.forecast import forecast, run_forecast, split_failures
+from loomcast.session import shared_folder
+from loomcast.sources.sinks import stamp
 from loomcast.sources.tables import preview, read_source, row_count, scan_sql
 
 # A plain least-squares line out of the decomposable model.
@@ -255,7 +257,8 @@ def grid_by_frequency(spark, sf_dir):
 
 def resample_query(spark, sf_dir):
     cfg = config()
-    return _rounded(resample_spine(series_rows(order_rows(spark, sf_dir), cfg), cfg), 2, "y")
+    spine = resample_spine(series_rows(order_rows(spark, sf_dir), cfg), cfg)
+    return _rounded(spine.select("group_id", "ds", "y"), 2, "y")
 
 
 def series_from_join(spark, sf_dir):
@@ -340,7 +343,25 @@ def forecast_decomposable(spark, sf_dir):
 
 
 def forecast_output_stamped(spark, sf_dir):
-    return forecast_linear(spark, sf_dir).withColumn("run_id", F.lit("fixed-run"))
+    return stamp(forecast_linear(spark, sf_dir), "fixed-run").drop("forecast_timestamp")
+
+
+def forecast_job_output(spark, sf_dir):
+    """What the forecast job writes, read back."""
+    folder = shared_folder(spark, "forecast-job")
+    cfg = config(train_data=event_series(spark, sf_dir), scoring_output=f"{folder}/forecasts")
+    run_forecast(spark, cfg, "fixed-run")
+    written = read_source(spark, cfg.scoring_output).drop("forecast_timestamp")
+    return _rounded(written, 6, "y_pred")
+
+
+def forecast_undated_rows(spark, sf_dir):
+    """Failures of a resampled forecast whose source has a row without a date."""
+    undated = event_series(spark, sf_dir).where("store_nbr = 'error'").withColumn(
+        "date", F.when(F.col("item_nbr") != 3, F.col("date"))
+    )
+    _, failures = split_failures(forecast(undated, config(resample=True)))
+    return failures.select("group_id", "model_name", "error").where("group_id = 'error_3'")
 
 
 def forecast_failures(spark, sf_dir):
@@ -421,11 +442,11 @@ def backtest_smape(spark, sf_dir):
         (F.col("intercept") + F.col("slope") * t).alias("y_pred"),
         F.when(F.col("slope").isNull(), F.lit("too few dates")).alias("error"),
     )
-    return _rounded(score_windows(predictions, rows, cfg), 6, "metric_value")
+    return _rounded(score_windows(predictions, rows, cfg).drop("error"), 6, "metric_value")
 
 
 def _evaluations(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
-    return _rounded(backtest(df, cfg), 6, "metric_value")
+    return _rounded(backtest(df, cfg).drop("error"), 6, "metric_value")
 
 
 def backtest_smape_cumulative(spark, sf_dir):
@@ -457,6 +478,41 @@ def backtest_monthly(spark, sf_dir):
     return _evaluations(order_rows(spark, sf_dir), cfg)
 
 
+def backtest_resampled(spark, sf_dir):
+    shape = dict(prediction_length=3, backtest_length=12, stride=2)
+    cfg = config(freq="M", resample=True, few_rows_per_step=False, **shape)
+    return _evaluations(order_rows(spark, sf_dir), cfg)
+
+
+def backtest_missing_targets(spark, sf_dir):
+    """Null and NaN targets: left out of the fit, scored as 0."""
+    target = F.when(F.col("event_id") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("unit_sales"))
+    rows = event_rows(spark, sf_dir).withColumn(
+        "unit_sales", F.when(F.col("event_id") % 3 != 0, target)
+    )
+    return _evaluations(rows, config(few_rows_per_step=False))
+
+
+def backtest_failed_windows(spark, sf_dir):
+    """No target before the last 20 days: early windows have nothing to fit."""
+    series = event_series(spark, sf_dir)
+    last = series.groupBy("store_nbr", "item_nbr").agg(F.max("date").alias("last"))
+    late = F.col("date") > F.date_sub("last", 20)
+    rows = series.join(last, ["store_nbr", "item_nbr"]).withColumn(
+        "unit_sales", F.when(late, F.col("unit_sales"))
+    )
+    return _rounded(backtest(rows, config()), 6, "metric_value")
+
+
+def backtest_job_output(spark, sf_dir):
+    """What the backtest job writes, read back."""
+    folder = shared_folder(spark, "backtest-job")
+    cfg = config(train_data=shipped_series(spark, sf_dir), evaluation_output=f"{folder}/scores")
+    run_backtest(spark, cfg, "fixed-run")
+    written = read_source(spark, cfg.evaluation_output).drop("forecast_timestamp", "error")
+    return _rounded(written, 6, "metric_value")
+
+
 def backtest_decomposable(spark, sf_dir):
     cfg = config(
         active_models=("Decomposable",),
@@ -492,6 +548,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forecast_weekly_seasonality": forecast_weekly_seasonality,
     "forecast_decomposable": forecast_decomposable,
     "forecast_output_stamped": forecast_output_stamped,
+    "forecast_job_output": forecast_job_output,
+    "forecast_undated_rows": forecast_undated_rows,
     "forecast_failures": forecast_failures,
     "backtest_cutoffs": cutoffs_query,
     "backtest_train_stats": backtest_train_stats,
@@ -503,5 +561,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backtest_duplicate_dates": backtest_duplicate_dates,
     "backtest_other_metrics": backtest_other_metrics,
     "backtest_monthly": backtest_monthly,
+    "backtest_resampled": backtest_resampled,
+    "backtest_missing_targets": backtest_missing_targets,
+    "backtest_failed_windows": backtest_failed_windows,
+    "backtest_job_output": backtest_job_output,
     "backtest_decomposable": backtest_decomposable,
 }

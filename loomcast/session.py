@@ -5,6 +5,7 @@ from __future__ import annotations
 import pathlib
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -46,6 +47,13 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for results in the shared folder the cluster names."""
+    ensure_checkpoint_dir(spark)
+    base = spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder the cluster names; make one only on a local master."""
     context = spark.sparkContext
