@@ -92,3 +92,78 @@ def test_configuration_from_mapping():
 def test_missing_columns_raise(spark):
     with pytest.raises(ValueError, match="item_nbr"):
         forecast(_data(spark).drop("item_nbr"), config())
+
+
+def test_failures_and_removed_series_are_written_without_targets(spark, tmp_path, caplog):
+    cfg = config(
+        train_data=_data(spark), data_quality_check=True, scoring_output=str(tmp_path / "out"),
+        evaluation_output=str(tmp_path / "scores"),
+    )
+    with caplog.at_level("WARNING"):
+        run_forecast(spark, cfg)
+    failures = spark.read.parquet(f"{cfg.scoring_output}_failures")
+    assert [(r.group_id, r.error) for r in failures.collect()] == [
+        ("1_3", "fewer than two usable dates")
+    ]
+    removed = spark.read.parquet(f"{cfg.scoring_output}_removed")
+    assert [r.group_id for r in removed.collect()] == ["1_2"]
+    assert "out_failures" in caplog.text and "out_removed" in caplog.text
+    run_backtest(spark, cfg)
+    assert spark.read.parquet(f"{cfg.evaluation_output}_removed").count() == 1
+
+
+def test_failed_windows_keep_their_error(spark):
+    rows = daily(1, 1, [None] * 25 + [1.0] * 15)
+    scores = backtest(sales(spark, rows), config(active_models=("LinearTrend", "Decomposable")))
+    failed = scores.where("status = 'error'").collect()
+    assert {r.model_name for r in failed} == {"LinearTrend", "Decomposable"}
+    assert all(r.error.startswith("fewer than two usable") for r in failed)
+    assert scores.where("status = 'ok' and error is not null").count() == 0
+
+
+def test_undated_rows_fail_with_and_without_resampling(spark):
+    df = sales(spark, daily(1, 1, [1.0, 2.0, 3.0]) + [(1, 1, None, 4.0)])
+    for resample in (False, True):
+        for model in ("LinearTrend", "Decomposable"):
+            rows = forecast(df, config(resample=resample, active_models=(model,))).collect()
+            assert [r.error for r in rows] == ["missing date"]
+
+
+def test_filled_in_steps_are_not_scored(spark):
+    """Exactly 100 on every second day is an exact fit, whatever lies between."""
+    rows = [r for i, r in enumerate(daily(1, 1, [100.0] * 61)) if i % 2 == 0]
+    for model in ("LinearTrend", "Decomposable"):
+        cfg = config(resample=True, prediction_length=2, backtest_length=6, stride=2,
+                     active_models=(model,))
+        assert backtest(sales(spark, rows), cfg).count() == 0  # one source row per window
+        cfg = config(resample=True, freq="W", prediction_length=2, backtest_length=6, stride=2,
+                     active_models=(model,))
+        weekly = [r for i, r in enumerate(daily(1, 1, [100.0] * 400)) if i % 7 == 0 and i % 35]
+        scores = backtest(sales(spark, weekly), cfg).collect()
+        assert scores and all(r.metric_value == pytest.approx(0, abs=1e-9) for r in scores)
+
+
+def test_extra_regressors_reach_the_models(spark):
+    import datetime as dt
+
+    rows = [(s, i, d, v + 10.0 * (d.day % 2), float(d.day % 2))
+            for s, i, d, v in daily(1, 1, [1.0] * 60)]
+    last = rows[-1][2]
+    future = [(1, 1, last + dt.timedelta(days=n), 0.0, float((last + dt.timedelta(days=n)).day % 2))
+              for n in range(1, 8)]
+    cfg = config(
+        extra_regressors=("onpromotion",), include_history=False, active_models=("Decomposable",),
+        models={"Decomposable": {"n_changepoints": 0, "weekly_seasonality": False,
+                                 "regressors_prior_scale": None}},
+    )
+    out = forecast(sales(spark, rows, "onpromotion double"), cfg,
+                   sales(spark, future, "onpromotion double")).collect()
+    assert len(out) == 7
+    assert all(r.y_pred == pytest.approx(1 + 10 * (r.ds.day % 2), abs=0.2) for r in out)
+
+
+def test_targets_at_a_bound_are_failures_not_clipped(spark):
+    rows = [(*r, 10.0) for r in daily(1, 1, [0.0, 8.0] * 20)]
+    cfg = config(active_models=("Decomposable",), models={"Decomposable": {"growth": "logistic"}})
+    out = forecast(sales(spark, rows, "cap double"), cfg).collect()
+    assert [r.error for r in out] == ["targets must lie between floor and cap"]
