@@ -27,6 +27,14 @@ class NativeModel(ABC):
     @abstractmethod
     def forecast(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame: ...
 
+    def forecast_over_steps(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
+        """The same rows out of ``series_steps``, which several models can share.
+
+        A model without history may have a lighter plan of its own in ``forecast``;
+        beside other models the shared steps are cheaper.
+        """
+        return self.forecast(rows, cfg)
+
     @abstractmethod
     def backtest(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame: ...
 

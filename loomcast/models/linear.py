@@ -13,10 +13,10 @@ from loomcast.functions.steps import elapsed
 from loomcast.models.base import NativeModel
 from loomcast.operators.quality import missing_ratio
 from loomcast.operators.steps import (
-    error_row,
     explode_horizon,
     series_steps,
     tested_steps,
+    wanted_rows,
     with_horizon,
 )
 from loomcast.operators.windows import prediction_columns, running_windows, scored_dates
@@ -35,7 +35,7 @@ class LinearTrend(NativeModel):
 
     def forecast(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
         if cfg.include_history:
-            return self._with_history(rows, cfg)
+            return self.forecast_over_steps(rows, cfg)
         return self._horizon_only(rows, cfg)
 
     def _horizon_only(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
@@ -64,7 +64,7 @@ class LinearTrend(NativeModel):
             "error",
         )
 
-    def _with_history(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    def forecast_over_steps(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
         steps = series_steps(rows, cfg)
         t = elapsed(F.col("ds"), F.col("last_ds"), cfg.freq)
         series = Window.partitionBy(*cfg.keys)
@@ -74,7 +74,7 @@ class LinearTrend(NativeModel):
         fitted = fitted.withColumns({"_slope": slope, "_intercept": intercept})
         fitted = fitted.withColumn("error", _error(F.col("bad_date"), F.col("_slope")))
         failed = F.col("error").isNotNull()
-        grid = with_horizon(fitted, cfg, ()).where(~failed | error_row())
+        grid = with_horizon(fitted, cfg, ()).where(wanted_rows(failed, cfg))
         return grid.select(
             *cfg.keys,
             F.when(~failed, F.col("ds")).alias("ds"),

@@ -16,12 +16,12 @@ from loomcast.operators.keys import null_safe_join
 from loomcast.operators.quality import missing_ratio
 from loomcast.operators.steps import (
     by_series,
-    error_row,
     explode_horizon,
     fold_steps,
     mean_target,
     series_steps,
     tested_steps,
+    wanted_rows,
     with_horizon,
 )
 from loomcast.operators.windows import (
@@ -63,7 +63,7 @@ class _PhaseModel(NativeModel):
 
     def forecast(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
         if cfg.include_history:
-            return self._with_history(rows, cfg)
+            return self.forecast_over_steps(rows, cfg)
         return self._horizon_only(rows, cfg)
 
     def _horizon_only(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
@@ -94,7 +94,7 @@ class _PhaseModel(NativeModel):
             "error",
         )
 
-    def _with_history(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    def forecast_over_steps(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
         keys = cfg.keys
         steps = series_steps(rows, cfg)
         steps = steps.withColumn("_usable", F.sum("n_obs").over(Window.partitionBy(*keys)))
@@ -108,7 +108,7 @@ class _PhaseModel(NativeModel):
             }
         )
         failed = F.col("error").isNotNull()
-        return grid.where(~failed | error_row()).select(
+        return grid.where(wanted_rows(failed, cfg)).select(
             *keys,
             F.when(~failed, F.col("ds")).alias("ds"),
             F.when(~failed, F.col("y_pred")).alias("y_pred"),

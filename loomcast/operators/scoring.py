@@ -28,7 +28,10 @@ def score_windows(predictions: DataFrame, rows: DataFrame, cfg: ForecastConfig)
     if "y" not in predictions.columns:
         # A step that resampling filled in has no source row to score.
         sourced = F.col(SOURCED) if SOURCED in rows.columns else F.lit(True)
-        actual = rows.where(F.col("ds").isNotNull() & sourced).select(*keys, "ds", "y")
+        # Only the last dates are predicted: earlier rows stay out of the exchange.
+        first = predictions.select(F.min("ds")).scalar()
+        tested = (F.col("ds") >= first) & sourced
+        actual = rows.where(tested).select(*keys, "ds", "y")
         joined = null_safe_join(actual, predictions, keys, ["ds"]).withColumn("weight", F.lit(1))
     metric = METRICS.get(cfg.metric)
     y, p = zero_filled(F.col("y")), zero_filled(F.col("y_pred"))

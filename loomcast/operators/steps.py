@@ -142,6 +142,12 @@ def error_row() -> Column:
     return (F.col("h") == 1) | F.col("last_ds").isNull()
 
 
+def wanted_rows(failed: Column, cfg: ForecastConfig) -> Column:
+    """Forecast rows of a horizon-extended series, or the one row of a failed series."""
+    asked = F.lit(True) if cfg.include_history else F.col("h") > 0
+    return (~failed & asked) | (failed & error_row())
+
+
 def future_grid(rows: DataFrame, cfg: ForecastConfig, include_history: bool = False) -> DataFrame:
     """Forecast dates per series: the horizon, and the history dates on request."""
     keys = cfg.keys

@@ -45,13 +45,12 @@ def forecast(
         cfg = with_series_partitions(cfg, df.sparkSession)
     rows, cfg = prepared_rows(with_default_floor(df, cfg, inputs), cfg, inputs.columns(cfg))
 
-    parts = [
-        model.forecast(plain_rows(rows, cfg), cfg).withColumn(
-            "model_name", F.lit(label)
-        )
-        for label, model in models.items()
-        if label not in per_series
-    ]
+    plain = plain_rows(rows, cfg)
+    parts = []
+    for label, model in models.items():
+        if label not in per_series:
+            plan = model.forecast_over_steps if len(models) > 1 else model.forecast
+            parts.append(plan(plain, cfg).withColumn("model_name", F.lit(label)))
     if per_series:
         future = None
         if inputs.regressors:

@@ -50,9 +50,10 @@ def test_forecast_exchanges(table, capsys, models, history, few, expected):
 
 def test_native_models_share_one_shuffle(table, spark):
     names = ("LinearTrend", "SeasonalNaive", "WeekdayProfile")
-    for few, moved in ((False, 2), (True, 1)):
+    for few, moved, history in ((False, 2, True), (True, 1, True), (False, 2, False), (True, 1, False)):
         used = (*names, "Decomposable") if few else names
-        df = forecast(table, config(active_models=used, few_rows_per_step=few))
+        cfg = config(active_models=used, few_rows_per_step=few, include_history=history)
+        df = forecast(table, cfg)
         df.collect()
         text = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
         made = [m for m in re.findall(r"(Reused)?Exchange.*hashpartitioning", text)]
@@ -80,6 +81,42 @@ def test_backtest_joins_rows_on_series_and_date(table, capsys, spark):
     assert "unused" not in text
 
 
+def test_scoring_moves_only_tested_dates(spark, tmp_path):
+    """400 dates, of which 30 are tested; each date has 20 rows per series."""
+    spark.range(16000).selectExpr(
+        "1 store_nbr", "id % 2 item_nbr", "date'2024-01-01' + cast(id / 40 as int) date",
+        "cast(id as double) unit_sales",
+    ).write.parquet(str(tmp_path / "t"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = backtest(spark.read.parquet(str(tmp_path / "t")), config())
+        assert df.where("status = 'ok'").count() == 8
+        df.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    node = df._jdf.queryExecution().executedPlan().toString()
+    assert "Subquery" in node and "FileScan" in node
+    moved = _records(df._jdf.queryExecution().executedPlan())
+    assert max(moved) <= 1200  # 30 dates of 40 rows; the whole table has 16000
+
+
+def _records(node):
+    """Records each exchange of an executed plan has written."""
+    out, todo = [], [node]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif name == "ShuffleExchangeExec":
+            out.append(node.metrics().get("shuffleRecordsWritten").get().value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return out
+
+
 def test_grouped_map_keeps_its_partitions(table, spark):
     cfg = config(active_models=("Decomposable",), series_partitions=13)
     assert forecast(table, cfg).rdd.getNumPartitions() == 13
