@@ -281,7 +281,7 @@ def fit_languages(
         "text",
         F.col("lang").cast("string").alias("lang"),
         F.coalesce(F.pmod(digest, F.lit(3)), F.lit(0)).cast("int").alias("fold"),
-        F.xxhash64("doc_id", "text").alias("rank"),
+        "doc_id",
     ).where("lang is not null and text is not null and fold <> 1")
     counts = (
         rows.select("text", "lang", "fold")
@@ -306,9 +306,15 @@ def fit_languages(
 
     full, half = model((0, 2)), model((2,))
     if half.langs:
+        # The ids are chosen first, so that only the chosen texts move.
+        rank, limit = F.xxhash64("doc_id"), settings.calibration_rows
+        chosen = (
+            rows.where("fold = 0 and doc_id is not null").select("doc_id").distinct()
+            .orderBy(rank, "doc_id").limit(limit)
+        )
         sample = (
-            rows.where("fold = 0").orderBy("rank").limit(settings.calibration_rows)
-            .select("text", "lang")
+            rows.where("fold = 0").join(F.broadcast(chosen), "doc_id")
+            .orderBy(rank, "doc_id").limit(limit).select("text", "lang")
         )
         half.calibrate([tuple(r) for r in sample.toLocalIterator()], settings.accept)
         full.slope, full.offset, full.limit = half.slope, half.offset, half.limit
