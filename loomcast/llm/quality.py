@@ -187,7 +187,13 @@ def fit_quality(
         .limit(settings.max_rows)
     )
     # At most ``max_rows`` rows of three numbers: small enough to send to every task.
-    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # The second limit matters where rows repeat an id.
+    rows = (
+        documents.select("doc_id", "text")
+        .join(F.broadcast(chosen), "doc_id")
+        .orderBy("rank", "doc_id")
+        .limit(settings.max_rows)
+    )
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, marks, ranks = [], [], []
