@@ -4,6 +4,7 @@ import compare
 import pytest
 
 import __spark_entry__ as registered
+from loomcast.plans.oracle import ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -11,7 +12,7 @@ def duck(sf_dir):
     return compare.connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(registered.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, duck, sf_dir, name):
     ours = compare.spark_rows(registered.queries()[name](spark, sf_dir))
     theirs = compare.duck_rows(duck, registered.oracle_sql()[name])
