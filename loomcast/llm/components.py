@@ -90,7 +90,7 @@ def _state(edges: DataFrame) -> tuple:
     """Count and two order-free sums: equal for equal edge sets."""
     row = edges.agg(
         F.count("*"),
-        F.sum(F.shiftright(F.xxhash64("v", "root"), 16)),
-        F.sum(F.shiftright(F.xxhash64("root", "v"), 16)),
+        F.sum(F.shiftright(F.xxhash64("v", "root"), 32)),
+        F.sum(F.shiftright(F.xxhash64("root", "v"), 32)),
     ).first()
     return tuple(row)

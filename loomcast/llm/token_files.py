@@ -43,7 +43,8 @@ _CACHE_LIMIT = 1_000_000
 class TokenFileSettings:
     """``tokenizer`` is the path of a tokenizer file on every node.
 
-    ``shard_bytes`` is the text per shard that the number of shards aims at.
+    ``shard_bytes`` is the text per shard that the number of shards aims at; raise it
+    for collections that would have too many files.
     """
 
     tokenizer: str
