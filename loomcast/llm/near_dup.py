@@ -322,8 +322,7 @@ def _links(
         .select("rep", "n", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p"))
         .select(F.col("rep").alias("a"), "n", F.col("p.rep").alias("b"), F.col("p.n").alias("m"))
     )
-    links = links.union(_verified(tries, sets, settings, scratch))
-    roots = connected_components(links, scratch)
+    roots = _joined(roots, _verified(tries, sets, settings, scratch), scratch)
 
     # What is still apart, once for each pair of bucket mates: block against block.
     placed, main = _placed(members, roots, scratch)
@@ -336,7 +335,14 @@ def _links(
         _member_blocks(apart, "all_shingles", "b_"), "bucket"
     )
     more = scratch.save(blocks.mapInArrow(_block_links(settings), "a long, b long"), "more")
-    return connected_components(links.union(more), scratch)
+    return _joined(roots, more, scratch)
+
+
+def _joined(roots: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """Components after further links: known ones count as one edge per member."""
+    if links.isEmpty():
+        return roots
+    return connected_components(roots.union(links), scratch)
 
 
 def _member_blocks(rows: DataFrame, weight: str, prefix: str) -> DataFrame:
