@@ -111,12 +111,14 @@ LEFT JOIN centres d ON d.group_id = g.group_id AND d.level = {default}"""
 _HOLIDAY_LEVEL = """CASE WHEN strftime(ds, '%m-%d') = '01-01' THEN 'new_year'
   WHEN strftime(ds, '%m-%d') = '07-01' THEN 'mid_year' ELSE 'none' END"""
 
-_LOGISTIC = f"""WITH {_SHIPPED},
-capped AS (SELECT *, 1.2 * max(y) OVER (PARTITION BY group_id) AS cap FROM series),
+def _logistic(growth: str = "0") -> str:
+    """A cap above the largest target, plus what it has grown by on the date."""
+    return f"""WITH {_SHIPPED},
+capped AS (SELECT *, 1.2 * max(y) OVER (PARTITION BY group_id) + {growth} AS cap FROM series),
 shares AS (SELECT *, y / cap AS share FROM capped),
 logits AS (SELECT group_id, ds, cap, ln(share / (1 - share)) AS y FROM shares),
 {_line_fit("logits")},
-caps AS (SELECT group_id, max(cap) AS cap FROM capped GROUP BY group_id),
+caps AS (SELECT group_id, max_by(cap, ds) AS cap FROM capped GROUP BY group_id),
 grid AS (SELECT *, CAST(last_ds + CAST(h AS INTEGER) AS DATE) AS ds FROM fit, range(1, 8) AS g(h))
 SELECT group_id, 'logistic' AS model_name, ds,
        round(cap / (1 + exp(-(intercept + slope * (ds - {_FIRST_DAY})))), 6) AS y_pred
@@ -293,7 +295,8 @@ FROM grid JOIN fit USING (group_id)""",
     "forecast_all_models": f"""SELECT * FROM ({_line_forecast(_EVENT_SERIES)})
 UNION ALL SELECT * FROM (WITH {_EVENT_SERIES}, {_HORIZON} {_NAIVE})
 UNION ALL SELECT * FROM (WITH {_EVENT_SERIES}, {_HORIZON} {_WEEKDAY})""",
-    "forecast_logistic": _LOGISTIC,
+    "forecast_logistic": _logistic(),
+    "forecast_logistic_growing_cap": _logistic("0.25 * (ds - DATE '1990-01-01')"),
     "forecast_holiday_effect": _shifted_line("holiday", _HOLIDAY_LEVEL, "'none'", True),
     "forecast_regressor": _shifted_line("regressor", "day(ds) <= 5", "false", False),
     "forecast_weekly_seasonality": _shifted_line("weekly", "dayofweek(ds)", "0", True),

@@ -303,6 +303,15 @@ def forecast_logistic(spark, sf_dir):
     return _forecast_rows(capped, config(**per_series("logistic", growth="logistic")))
 
 
+def forecast_logistic_growing_cap(spark, sf_dir):
+    """The last cap of a series holds for its horizon."""
+    series = shipped_series(spark, sf_dir)
+    bounds = series.groupBy("store_nbr", "item_nbr").agg((1.2 * F.max("unit_sales")).alias("base"))
+    grown = 0.25 * F.date_diff("date", F.lit("1990-01-01").cast("date"))
+    capped = series.join(bounds, ["store_nbr", "item_nbr"]).withColumn("cap", F.col("base") + grown)
+    return _forecast_rows(capped, config(**per_series("logistic", growth="logistic")))
+
+
 def forecast_holiday_effect(spark, sf_dir):
     series = shipped_series(spark, sf_dir)
     years = series.select(F.explode(F.sequence(F.year("date"), F.year("date") + 1)).alias("year"))
@@ -543,6 +552,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forecast_seasonal_naive": forecast_seasonal_naive,
     "forecast_all_models": forecast_all_models,
     "forecast_logistic": forecast_logistic,
+    "forecast_logistic_growing_cap": forecast_logistic_growing_cap,
     "forecast_holiday_effect": forecast_holiday_effect,
     "forecast_regressor": forecast_regressor,
     "forecast_weekly_seasonality": forecast_weekly_seasonality,
