@@ -1,17 +1,21 @@
 """Licence notices in documents, by Dice coefficient over word bigrams.
 
-Each line of a text, each paragraph of several lines and the whole text is a
-passage. A passage is normalised (lower case, letters and digits, single spaces)
-and compared to the templates whose bigram count can reach the threshold: two
-sets of a and b bigrams have a Dice coefficient of at most 2 min(a, b) / (a + b),
-so a template is only intersected with passages of about its own size. Only
-DataFrame functions are used, row by row: nothing is shuffled.
+Texts are normalised (lower case, letters and digits, single spaces). Two sets of
+a and b bigrams have a Dice coefficient of at most 2 min(a, b) / (a + b), so a
+template can only match where most of its bigrams stand; a text that does not hold
+them anywhere is done after one look at its bigrams. In the others a template is
+compared with every window of words that has at most its longest admissible size,
+wherever it starts, and with each line, each paragraph of several lines and the
+whole text. Only DataFrame functions are used, row by row: nothing is shuffled.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import regex
 from pyspark.sql import Column, DataFrame
@@ -115,8 +119,8 @@ def normal_words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), "[^\\p{L}\\p{N}]+"), "")
 
 
-def bigrams(words: Column) -> Column:
-    """Distinct pairs of neighbouring words; a single word is its own pair."""
+def word_pairs(words: Column) -> Column:
+    """Pairs of neighbouring words in their order; a single word is its own pair."""
     pairs = let(
         words,
         lambda w: F.zip_with(
@@ -125,23 +129,94 @@ def bigrams(words: Column) -> Column:
             lambda a, b: F.when(b.isNotNull(), F.concat_ws(" ", a, b)),
         ),
     )
-    return F.array_distinct(
-        F.when(F.size(words) == 1, words).otherwise(F.filter(pairs, lambda p: p.isNotNull()))
-    )
+    return F.when(F.size(words) == 1, words).otherwise(F.filter(pairs, lambda p: p.isNotNull()))
 
 
-def template_sets(settings: LicenseSettings) -> list[tuple[str, list[str]]]:
-    """Bigrams of the templates, made on the driver by the same rule."""
+def bigrams(words: Column) -> Column:
+    """Distinct pairs of neighbouring words; a single word is its own pair."""
+    return F.array_distinct(word_pairs(words))
+
+
+def template_pairs(settings: LicenseSettings) -> list[tuple[str, list[str]]]:
+    """Pairs of the templates in their order, made on the driver by the same rule."""
     out = []
     for name, text in settings.templates:
         words = [w for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w]
         pairs = [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)] or words
         if not pairs:
             raise ValueError(f"the template of {name} has no words")
-        out.append((name, sorted(set(pairs))))
+        out.append((name, pairs))
     return out
 
 
+def template_sets(settings: LicenseSettings) -> list[tuple[str, list[str]]]:
+    """Distinct bigrams of the templates."""
+    return [(name, sorted(set(pairs))) for name, pairs in template_pairs(settings)]
+
+
+def neighbours(pairs: Column) -> Column:
+    """Each pair with the places where it stands last before and next after its own."""
+    placed = F.array_sort(F.transform(pairs, lambda p, i: F.struct(p.alias("p"), i.alias("i"))))
+
+    def linked(x: Column) -> Column:
+        def of(y: Column, i: Column) -> Column:
+            before, after = F.get(x, i - 1), F.get(x, i + 1)
+            return F.struct(
+                y["i"].alias("i"),
+                y["p"].alias("p"),
+                F.when(before["p"] == y["p"], before["i"]).otherwise(-1).alias("last"),
+                F.when(after["p"] == y["p"], after["i"]).alias("next"),
+            )
+
+        return F.transform(x, of)
+
+    return F.array_sort(let(placed, linked))
+
+
+def best_window(places: Column, own: Sequence[str], span: int) -> Column:
+    """Highest coefficient over all windows of at most ``span`` places.
+
+    A window does not get worse by one more pair of the template in front of it, so
+    only those windows count that cannot be extended like that: at the start of a run
+    of the template's pairs, or after a pair that stands in the window once more.
+    """
+
+    def ratio(x: Column, start: Column) -> Column:
+        def step(state: Column, y: Column) -> Column:
+            new = (y["last"] < start).cast("int")
+            n = state["n"] + new
+            shared = state["shared"] + new * y["own"].cast("int")
+            return F.struct(
+                n.alias("n"),
+                shared.alias("shared"),
+                F.greatest(state["best"], shared / (n + len(own))).alias("best"),
+            )
+
+        zero = F.struct(
+            F.lit(0).alias("n"), F.lit(0).alias("shared"), F.lit(0.0).alias("best")
+        )
+        return F.aggregate(F.slice(x, start + 1, F.lit(span)), zero, step, lambda s: s["best"])
+
+    def of(x: Column) -> Column:
+        def starts(y: Column, i: Column) -> Column:
+            before = F.get(x, i - 1)
+            again = F.coalesce(before["next"] < i + span, F.lit(False))
+            return y["own"] & (~F.coalesce(before["own"], F.lit(False)) | again)
+
+        return F.array_max(F.transform(F.filter(x, starts), lambda y: ratio(x, y["i"])))
+
+    marked = F.transform(
+        places,
+        lambda y: F.struct(
+            y["i"].alias("i"),
+            y["last"].alias("last"),
+            y["next"].alias("next"),
+            y["p"].isin(list(own)).alias("own"),
+        ),
+    )
+    return F.coalesce(2 * let(marked, of), F.lit(0.0))
+
+
 def passages(text: Column) -> Column:
     """Lines, paragraphs of several lines, and a whole text of several paragraphs."""
     blocks = F.split(text, PARAGRAPH)
@@ -192,7 +267,46 @@ def scan_licenses(
         )
 
     text = F.coalesce(F.col("text"), F.lit(""))
-    hits = F.flatten(F.filter(F.transform(passages(text), of_passage), lambda x: x.isNotNull()))
+    nothing = F.array().cast("array<struct<dice:double,name:string>>")
+    # As n >= shared, 2 shared / (n + b) reaches t only with so many shared bigrams.
+    needs = [math.ceil(b * (t - 1e-6) / (2 - t + 1e-6) - 1e-9) for b in sizes]
+    spans = [math.ceil(len(p) * (2 - t) / t) for _, p in template_pairs(settings)]
+    every = sorted({p for _, own in sets for p in own})
+
+    def among(own: list[str]):
+        return lambda p: p.isin(own)
+
+    def enough(words: Column, held: Column, i: int) -> Column:
+        """Whether the text holds so much of template i that a window can match."""
+        own = sets[i][1]
+        if " " not in own[0]:
+            return F.array_contains(words, own[0])
+        shared = F.size(F.filter(held, among(own)))
+        return (F.size(held) >= needs[i]) & (shared >= needs[i])
+
+    def of_windows(words: Column, held: Column, places: Column) -> Column:
+        scores = []
+        for i, (name, own) in enumerate(sets):
+            single = " " not in own[0]
+            dice = F.lit(1.0) if single else F.round(best_window(places, own, spans[i]), 6)
+            score = F.struct(dice.alias("dice"), F.lit(name).alias("name"))
+            scores.append(F.when(enough(words, held, i), score))
+        return F.filter(F.array(*scores), lambda s: s.isNotNull() & (s["dice"] >= t))
+
+    def of_text(words: Column, pairs: Column) -> Column:
+        def of_held(held: Column) -> Column:
+            likely = reduce(or_, [enough(words, held, i) for i in range(len(sets))])
+            windows = let(neighbours(pairs), lambda places: of_windows(words, held, places))
+            whole = F.flatten(
+                F.filter(F.transform(passages(text), of_passage), lambda x: x.isNotNull())
+            )
+            return F.when(likely, F.concat(windows, whole)).otherwise(nothing)
+
+        return let(F.array_distinct(F.filter(pairs, among(every))), of_held)
+
+    hits = let(
+        normal_words(text), lambda words: let(word_pairs(words), lambda p: of_text(words, p))
+    )
     ordered = F.array_sort(
         hits,
         lambda a, b: F.when(a["dice"] > b["dice"], -1)

@@ -88,6 +88,53 @@ def test_licenses(spark):
         scan_licenses(documents(spark, rows), LicenseSettings(templates=(("x", "!"),)))
 
 
+def best_windows(text, templates, t=0.8):
+    """Best coefficient of each licence over every window of admissible size."""
+    words = "".join(c if c.isalnum() else " " for c in text.lower()).split()
+    pairs, out = list(zip(words, words[1:], strict=False)), {}
+    for name, template in templates:
+        own = "".join(c if c.isalnum() else " " for c in template.lower()).split()
+        own = list(zip(own, own[1:], strict=False))
+        span, own = -int(-len(own) * (2 - t) // t), set(own)
+        for i in range(len(pairs)):
+            for j in range(i + 1, min(i + span, len(pairs)) + 1):
+                window = set(pairs[i:j])
+                dice = round(2 * len(window & own) / (len(window) + len(own)), 6)
+                if dice >= t:
+                    out[name] = max(dice, out.get(name, 0))
+    return out
+
+
+def test_licenses_inside_longer_passages(spark):
+    templates = LicenseSettings().templates
+    grant = next(text for name, text in templates if name == "MIT" and len(text) > 200)
+    cut = grant.split()
+    lines = [" ".join(cut[i : i + 9]) for i in range(0, len(cut), 9)]
+    start = "Copyright (c) 2020 Jane Doe and others, who wrote this long ago. "
+    rows = [
+        (1, "Copyright (c) 2020 Jane Doe. All rights reserved.", "en", "a"),
+        (2, start + "Released under the MIT License.", "en", "a"),
+        (3, "Copyright 2020 Foo Inc. Licensed under the Apache License, Version 2.0.", "en", "a"),
+        (4, "/*\n * " + start + "\n *\n" + "".join(f" * {x}\n" for x in lines) + " */", "en", "a"),
+        (5, "# " + "x y z " * 40 + "\n# ".join(lines) + " and so on" * 30, "en", "a"),
+        (6, "mit license " * 9 + "released under the mit license " + "under the " * 9, "en", "a"),
+        (7, "all of the rights are reserved under the license of the software", "en", "a"),
+        (8, "a word", "en", "a"),
+    ]
+    found = {r.doc_id: r for r in scan_licenses(documents(spark, rows)).collect()}
+    for i, text, *_ in rows:
+        want = best_windows(text, templates)
+        assert found[i].licenses == ",".join(sorted(want)), i
+        assert found[i].best_dice == max(want.values(), default=None)
+    assert [found[i].licenses for i in (1, 2, 3, 4, 7)] == [
+        "all-rights-reserved", "MIT", "Apache-2.0", "MIT", ""
+    ]
+    assert found[5].best_dice == found[4].best_dice == 1.0
+    one = LicenseSettings(templates=(("x", "Zlib!"),))
+    held = scan_licenses(documents(spark, [(1, "the zlib terms", "en", "a"), rows[7]]), one)
+    assert {r.doc_id: r.licenses for r in held.collect()} == {1: "x", 8: ""}
+
+
 def words_of(text):
     import re
 
