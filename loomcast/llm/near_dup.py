@@ -7,7 +7,8 @@ take step j together here, so that a set of a few hundred elements fills its
 signature in two or three vector steps and then stops early.
 
 1. A map over the texts gives shingle set sizes, a fingerprint of the whole set
-   and band hashes. Documents with equal sets become one class.
+   and band hashes. Documents with equal sets become one class; its id is 64 bits
+   of the fingerprint, as a document id may stand for several texts.
 2. Classes that share a band hash form buckets. In each bucket every class is
    verified against the smallest one: rows grow with the bucket, not its square.
 3. Union-find over verified links gives components. In buckets that still hold
@@ -143,12 +144,9 @@ def _sets(width: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array(
-                        [blake2b(s.tobytes(), digest_size=16).digest() for s in found], pa.binary()
-                    ),
                     pa.array([s.tobytes() for s in found], pa.binary()),
                 ],
-                names=["doc_id", "print", "shingles"],
+                names=["cid", "shingles"],
             )
 
     return run
@@ -181,8 +179,9 @@ def near_duplicates(
     the row that carries it. Null, empty and blank texts have no shingles and stay
     alone. Rows without an id are grouped by equal sets only: they never lend
     their id and carry the class's, or null if no member has one (then they are
-    kept). Rows that repeat an id count as one document. Other columns are
-    ignored, so their names cannot clash.
+    kept). Rows that repeat an id with the same words are in one group; where an id
+    carries different texts each row follows its own. Other columns are ignored, so
+    their names cannot clash.
     """
     scratch = Scratch(documents.sparkSession, "near-dup")
     return _grouped(documents, settings, scratch, id_col, text_col).select(
@@ -201,10 +200,7 @@ def distinct_documents(
     scratch = Scratch(documents.sparkSession, "distinct")
     rows = scratch.save(_grouped(documents, settings, scratch), "rows")
     words = rows.where("n_shingles > 0")
-    group = F.coalesce(F.col("component_id").cast("string"), F.hex("print"))
-    winners = (
-        words.where("kept").groupBy(group.alias("g")).agg(F.min(F.struct("k1", "k2")).alias("w"))
-    )
+    winners = words.where("kept").groupBy("root").agg(F.min(F.struct("k1", "k2")).alias("w"))
     stay = scratch.save(winners.select("w.k1", "w.k2"), "stay")
     repeated = words.groupBy("k1", "k2").count().where("count > 1").select("k1", "k2")
     repeated = scratch.save(repeated.join(stay, ["k1", "k2"], "left_semi"), "repeated")
@@ -251,21 +247,26 @@ def _grouped(
         .groupBy("print")
         .agg(
             F.min("doc_id").alias("rep"),
+            F.min(F.struct("k1", "k2")).alias("speaker"),
             F.count("*").alias("n_rows"),
             F.first("n_shingles").alias("n"),
             F.first("bands").alias("bands"),
-        ),
+        )
+        .withColumn("cid", F.xxhash64("print")),
         "classes",
     )
     roots = _links(texts, classes, settings, scratch)
-    groups = (
-        classes.select("print", "rep", "n_rows")
-        .join(roots, classes["rep"] == roots["v"], "left")
-        .select("print", "n_rows", "rep", F.coalesce("root", "rep").alias("component_id"))
-        .where("n_rows > 1 or component_id <> rep")
-        .select("print", "component_id")
+    # Roots are class ids; a component takes its name from all its classes.
+    linked = roots.union(roots.select("root", "root").distinct())
+    placed = (
+        classes.select("print", "cid", "rep", "n_rows")
+        .join(linked, classes["cid"] == linked["v"], "left")
+        .where("n_rows > 1 or root is not null")
+        .select("print", "rep", F.coalesce("root", "cid").alias("root"))
     )
-    groups = scratch.save(groups, "groups")
+    placed = scratch.save(placed, "grouped")
+    names = placed.groupBy("root").agg(F.min("rep").alias("component_id"))
+    groups = scratch.save(placed.join(names, "root").select("print", "root", "component_id"), "groups")
     named = rows.select("doc_id", "k1", "k2", "n_shingles", "print").join(groups, "print", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(
         F.col("doc_id")
@@ -274,7 +275,7 @@ def _grouped(
         "doc_id",
         "k1",
         "k2",
-        "print",
+        F.coalesce("root", F.xxhash64("print")).alias("root"),
         "n_shingles",
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
@@ -284,12 +285,12 @@ def _grouped(
 def _links(
     texts: DataFrame, classes: DataFrame, settings: NearDupSettings, scratch: Scratch
 ) -> DataFrame:
-    """(v, root) over class representatives that verified links join."""
+    """(v, root) over class ids that verified links join."""
     named = classes.where("rep is not null")
-    exploded = named.select("rep", "n", F.explode("bands").alias("bucket"))
+    exploded = named.select("cid", "n", F.explode("bands").alias("bucket"))
     buckets = scratch.save(
         exploded.groupBy("bucket")
-        .agg(F.count("*").alias("size"), F.min(F.struct("rep", "n")).alias("pivot"))
+        .agg(F.count("*").alias("size"), F.min(F.struct("cid", "n")).alias("pivot"))
         .where("size > 1")
         .select("bucket", "pivot"),
         "buckets",
@@ -297,9 +298,9 @@ def _links(
     members = scratch.save(exploded.join(buckets, "bucket"), "members")
     sets = _member_sets(texts, classes, members, settings, scratch)
     star = members.select(
-        F.col("rep").alias("a"),
+        F.col("cid").alias("a"),
         "n",
-        F.col("pivot.rep").alias("b"),
+        F.col("pivot.cid").alias("b"),
         F.col("pivot.n").alias("m"),
     ).where("a <> b")
     links = _verified(star, sets, settings, scratch)
@@ -310,7 +311,7 @@ def _links(
     if main.isEmpty():
         return roots
     seeds = [
-        F.min_by(F.struct("rep", "n"), F.xxhash64("rep", "bucket", F.lit(i))).alias(f"p{i}")
+        F.min_by(F.struct("cid", "n"), F.xxhash64("cid", "bucket", F.lit(i))).alias(f"p{i}")
         for i in range(PIVOTS)
     ]
     inside = (
@@ -319,8 +320,8 @@ def _links(
     tries = (
         placed.join(inside, "bucket")
         .where("component <> main")
-        .select("rep", "n", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p"))
-        .select(F.col("rep").alias("a"), "n", F.col("p.rep").alias("b"), F.col("p.n").alias("m"))
+        .select("cid", "n", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p"))
+        .select(F.col("cid").alias("a"), "n", F.col("p.cid").alias("b"), F.col("p.n").alias("m"))
     )
     roots = _joined(roots, _verified(tries, sets, settings, scratch), scratch)
 
@@ -328,8 +329,8 @@ def _links(
     placed, main = _placed(members, roots, scratch)
     if main.isEmpty():
         return roots
-    bands = named.groupBy("rep").agg(F.min("bands").alias("bands"))
-    apart = placed.join(main, "bucket").join(bands, "rep").join(sets, "rep")
+    bands = named.groupBy("cid").agg(F.min("bands").alias("bands"))
+    apart = placed.join(main, "bucket").join(bands, "cid").join(sets, "cid")
     outside = apart.where("component <> main")
     blocks = _member_blocks(outside, "outside_shingles", "a_").join(
         _member_blocks(apart, "all_shingles", "b_"), "bucket"
@@ -349,13 +350,13 @@ def _member_blocks(rows: DataFrame, weight: str, prefix: str) -> DataFrame:
     """Members of each bucket packed into blocks of about ``BLOCK_SHINGLES`` shingles."""
     parts = F.ceil(F.col(weight) / BLOCK_SHINGLES)
     member = F.struct(
-        "rep", "n", "component", (F.col("component") == F.col("main")).alias("main"), "bands",
+        "cid", "n", "component", (F.col("component") == F.col("main")).alias("main"), "bands",
         "shingles",
     )
-    packed = rows.groupBy("bucket", F.pmod(F.xxhash64("rep"), parts).alias("part")).agg(
+    packed = rows.groupBy("bucket", F.pmod(F.xxhash64("cid"), parts).alias("part")).agg(
         F.collect_list(member).alias("rows")
     )
-    fields = ("rep", "n", "component", "main", "bands", "shingles")
+    fields = ("cid", "n", "component", "main", "bands", "shingles")
     return packed.select("bucket", *[F.col(f"rows.{f}").alias(prefix + f) for f in fields])
 
 
@@ -416,23 +417,18 @@ def _block_links(settings: NearDupSettings):
 def _member_sets(texts, classes, members, settings, scratch) -> DataFrame:
     """Shingle sets of the classes that share a bucket with another class.
 
-    If one id stands for several classes, the smallest fingerprint speaks for it.
+    One row of each class speaks for it.
     """
-    wanted = members.select(F.col("rep")).distinct()
-    speakers = (
-        classes.join(wanted, "rep", "left_semi").groupBy("rep").agg(F.min("print").alias("speaker"))
+    wanted = members.select("cid").distinct()
+    speakers = scratch.save(
+        classes.join(wanted, "cid", "left_semi").select("cid", "speaker.k1", "speaker.k2"),
+        "speakers",
     )
-    speakers = scratch.save(speakers, "speakers")
-    found = texts.join(
-        speakers, texts["doc_id"] == speakers["rep"], "left_semi"
-    ).mapInArrow(_sets(settings.width), "doc_id long, print binary, shingles binary")
     own = (
-        found.join(
-            speakers,
-            (found["doc_id"] == speakers["rep"]) & (found["print"] == speakers["speaker"]),
-        )
-        .select("rep", "shingles")
-        .dropDuplicates(["rep"])
+        texts.join(speakers, ["k1", "k2"])
+        .select("cid", "text")
+        .mapInArrow(_sets(settings.width), "cid long, shingles binary")
+        .dropDuplicates(["cid"])
     )
     return scratch.save(own, "sets")
 
@@ -450,8 +446,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, settings: NearDupSettings, scra
     )
     wanted = scratch.save(wanted, "pairs")
     with_both = wanted.join(
-        sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a"
-    ).join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
+        sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa")), "a"
+    ).join(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("sb")), "b")
     shared = with_both.select("a", "b", "total", shared_shingles("sa", "sb").alias("shared"))
     linked = shared.where(
         F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * settings.percent
@@ -462,9 +458,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, settings: NearDupSettings, scra
 def _placed(members: DataFrame, roots: DataFrame, scratch) -> tuple[DataFrame, DataFrame]:
     """Members of buckets with several components, and each such bucket's largest one."""
     placed = scratch.save(
-        members.select("bucket", "rep", "n")
-        .join(roots.withColumnRenamed("v", "rep"), "rep", "left")
-        .select("bucket", "rep", "n", F.coalesce("root", "rep").alias("component")),
+        members.select("bucket", "cid", "n")
+        .join(roots.withColumnRenamed("v", "cid"), "cid", "left")
+        .select("bucket", "cid", "n", F.coalesce("root", "cid").alias("component")),
         "placed",
     )
     sizes = placed.groupBy("bucket", "component").agg(

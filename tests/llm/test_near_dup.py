@@ -5,6 +5,7 @@ import pytest
 from odd_rows import documents
 
 from loomcast.llm import near_dup
+from loomcast.llm.common import Scratch, row_keys
 from loomcast.llm.near_dup import (
     NearDupSettings,
     distinct_documents,
@@ -65,6 +66,40 @@ def test_components_equal_brute_force(spark, family, monkeypatch, shingles):
     assert len({c for _, c in want.values()}) > 21  # heavy edits stay apart
 
 
+@pytest.mark.parametrize("shingles", [100_000, 700])
+def test_an_id_with_several_texts(spark, family, monkeypatch, shingles):
+    monkeypatch.setattr(near_dup, "BLOCK_SHINGLES", shingles)
+    want = brute(family)
+    # Unrelated texts and further copies under ids that are taken already.
+    rng = random.Random(9)
+    taken = [i for i, _ in family if i < 200][:25]
+    more = [(1000 + k, f"{k} " + " ".join(f"m{k}x{j}" for j in range(90 + k))) for k in range(25)]
+    more += [(2000 + k, edited(rng, text.split(), 0.002)) for k, (_, text) in enumerate(more)]
+    own = dict(zip([i for i, _ in more], taken * 2, strict=True))
+    rows = [(i, t, "en", "a") for i, t in family]
+    rows += [(own[i], t, "en", "a") for i, t in more]
+    df = documents(spark, rows, clashes=False)
+    settings = NearDupSettings(width=2)
+    keys = df.select("text", *[k.alias(n) for n, k in zip(["k1", "k2"], row_keys("doc_id", "text"))])
+    grouped = near_dup._grouped(df, settings, Scratch(spark, "several"))
+    found = grouped.join(keys.distinct(), ["k1", "k2"]).collect()
+    # Every text is in the component that its own words give it.
+    plain = brute(family + more)
+    ids = {t: i for i, t in family + more}
+    name = {}
+    for i, (_, root) in plain.items():
+        known = own.get(i, i)
+        name[root] = min(name.get(root, known), known)
+    assert len(found) == len(rows)
+    assert {i: plain[i] for i in want} == want
+    for r in found:
+        n, root = plain[ids[r.text]]
+        assert (r.n_shingles, r.component_id) == (n, name[root])
+    # Unrelated texts of one id are not dropped for each other.
+    kept = distinct_documents(df, settings).collect()
+    assert len(kept) == len({root for _, root in plain.values()})
+
+
 def test_odd_rows(spark):
     df = documents(spark)
     found = near_duplicates(df, NearDupSettings(width=2)).collect()
