@@ -311,6 +311,11 @@ FROM ({_line_forecast(_EVENT_SERIES)})""",
     "forecast_undated_rows": f"""WITH {_EVENT_SERIES}
 SELECT DISTINCT group_id, 'LinearTrend' AS model_name, 'missing date' AS error
 FROM series WHERE group_id = 'error_3'""",
+    "forecast_undated_series": f"""WITH {_EVENT_ROWS}
+SELECT group_id, 'LinearTrend' AS model_name,
+  CASE WHEN item_nbr = 3 THEN 'missing date' ELSE 'fewer than two usable dates' END AS error
+FROM events_keyed GROUP BY group_id, item_nbr
+HAVING item_nbr = 3 OR count(DISTINCT ds) < 2""",
     "backtest_resampled": f"""WITH {_ORDERS_MONTHLY.replace("series AS", "monthly AS")},
 series AS (SELECT group_id, ds, sum(y) AS y FROM monthly GROUP BY ALL),
 {_MONTH_WINDOWS}, {_split(3)},

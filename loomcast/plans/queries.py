@@ -364,13 +364,18 @@ def forecast_job_output(spark, sf_dir):
     return _rounded(written, 6, "y_pred")
 
 
-def forecast_undated_rows(spark, sf_dir):
-    """Failures of a resampled forecast whose source has a row without a date."""
-    undated = event_series(spark, sf_dir).where("store_nbr = 'error'").withColumn(
+def forecast_undated_series(spark, sf_dir):
+    """All failures of a resampled forecast where one bucket of every type has no dates."""
+    undated = event_series(spark, sf_dir).withColumn(
         "date", F.when(F.col("item_nbr") != 3, F.col("date"))
     )
     _, failures = split_failures(forecast(undated, config(resample=True)))
-    return failures.select("group_id", "model_name", "error").where("group_id = 'error_3'")
+    return failures.select("group_id", "model_name", "error")
+
+
+def forecast_undated_rows(spark, sf_dir):
+    """Of the failures of ``forecast_undated_series`` the one that its SQL names."""
+    return forecast_undated_series(spark, sf_dir).where("group_id = 'error_3'")
 
 
 def forecast_failures(spark, sf_dir):
@@ -560,6 +565,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forecast_output_stamped": forecast_output_stamped,
     "forecast_job_output": forecast_job_output,
     "forecast_undated_rows": forecast_undated_rows,
+    "forecast_undated_series": forecast_undated_series,
     "forecast_failures": forecast_failures,
     "backtest_cutoffs": cutoffs_query,
     "backtest_train_stats": backtest_train_stats,
