@@ -7,8 +7,8 @@ take step j together here, so that a set of a few hundred elements fills its
 signature in two or three vector steps and then stops early.
 
 1. A map over the texts gives shingle set sizes, a fingerprint of the whole set
-   and band hashes. Documents with equal sets become one class; its id is 64 bits
-   of the fingerprint, as a document id may stand for several texts.
+   and band hashes. Documents with equal sets become one class; where a
+   document id stands for several classes their ids are 64 bits of the fingerprint.
 2. Classes that share a band hash form buckets. In each bucket every class is
    verified against the smallest one: rows grow with the bucket, not its square.
 3. Union-find over verified links gives components. In buckets that still hold
@@ -251,10 +251,27 @@ def _grouped(
             F.count("*").alias("n_rows"),
             F.first("n_shingles").alias("n"),
             F.first("bands").alias("bands"),
-        )
-        .withColumn("cid", F.xxhash64("print")),
+        ),
         "classes",
     )
+    # A class goes by its smallest document id, or by its fingerprint where it has
+    # none or shares it with another class.
+    shared_ids = scratch.save(
+        classes.where("rep is not null")
+        .groupBy("rep")
+        .agg(F.count("*").alias("n_classes"))
+        .where("n_classes > 1"),
+        "shared-ids",
+    )
+    own = F.coalesce("rep", F.xxhash64("print"))
+    if shared_ids.isEmpty():
+        classes = classes.withColumn("cid", own)
+    else:
+        several = F.when(F.col("n_classes").isNotNull(), F.xxhash64("print")).otherwise(own)
+        classes = scratch.save(
+            classes.join(shared_ids, "rep", "left").withColumn("cid", several).drop("n_classes"),
+            "own-classes",
+        )
     roots = _links(texts, classes, settings, scratch)
     # Roots are class ids; a component takes its name from all its classes.
     linked = roots.union(roots.select("root", "root").distinct())
