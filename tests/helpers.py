@@ -5,7 +5,7 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 
-from loomcast import ForecastConfig
+from loomcast import ForecastConfig, SeriesModel
 
 EPOCH = dt.date(2024, 1, 1)
 
@@ -108,3 +108,28 @@ def naive(period, unit):
         return np.array(out)
 
     return predict
+
+
+class Failing(SeriesModel):
+    def fit(self, history):
+        raise RuntimeError("always")
+
+    def forecast(self, dates):
+        return dates
+
+
+class Shapeless(SeriesModel):
+    def fit(self, history):
+        return self
+
+    def forecast(self, dates):
+        return dates[["ds"]]
+
+
+class MeanOf(SeriesModel):
+    def fit(self, history):
+        self.level = history["sum_y"].sum() / history["n_obs"].sum()
+        return self
+
+    def forecast(self, dates):
+        return pd.DataFrame({"ds": dates["ds"], "y_pred": self.level})

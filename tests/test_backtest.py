@@ -7,8 +7,7 @@ from dataclasses import replace
 import numpy as np
 import pandas as pd
 import pytest
-from helpers import EPOCH, config, daily, line, looped_backtest, naive, sales
-from test_models import Failing
+from helpers import EPOCH, Failing, config, daily, line, looped_backtest, naive, sales
 
 from loomcast import backtest, register_model
 

@@ -3,39 +3,14 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
-from helpers import EPOCH, config, daily, sales
+from helpers import EPOCH, Failing, MeanOf, Shapeless, config, daily, sales
 from pyspark.sql import functions as F
 
-from loomcast import SeriesModel, forecast, register_model, split_failures
+from loomcast import forecast, register_model, split_failures
 from loomcast.models.decomposable import Decomposable
 from loomcast.models.registry import UnknownModelError, resolve_models
 
 
-class Failing(SeriesModel):
-    def fit(self, history):
-        raise RuntimeError("always")
-
-    def forecast(self, dates):
-        return dates
-
-
-class Shapeless(SeriesModel):
-    def fit(self, history):
-        return self
-
-    def forecast(self, dates):
-        return dates[["ds"]]
-
-
-class MeanOf(SeriesModel):
-    def fit(self, history):
-        self.level = history["sum_y"].sum() / history["n_obs"].sum()
-        return self
-
-    def forecast(self, dates):
-        return pd.DataFrame({"ds": dates["ds"], "y_pred": self.level})
-
-
 def signal(n, slope=0.02, change=None, weekly=0.0, yearly=0.0, mode="additive", noise=0.0, base=20.0):
     t = np.arange(n, dtype=float)
     trend = base + slope * t
