@@ -35,10 +35,12 @@ class Scratch:
         self.path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
         self._count = 0
 
-    def save(self, df: DataFrame, name: str = "step") -> DataFrame:
+    def save(self, df: DataFrame, name: str = "step", partition_by: str = "") -> DataFrame:
+        """``partition_by`` names the last column: readers that filter on it open no other part."""
         self._count += 1
         path = f"{self.path}/{self._count:03d}-{name}"
-        df.write.parquet(path)
+        writer = df.write.partitionBy(partition_by) if partition_by else df.write
+        writer.parquet(path)
         saved = self.spark.read.schema(df.schema).parquet(path)
         saved._scratch_path = path
         return saved

@@ -275,3 +275,98 @@ best AS (
 SELECT d.doc_id, coalesce(n_licenses, 0) AS n_licenses, coalesce(licenses, '') AS licenses,
   best_license, best_dice
 FROM documents d LEFT JOIN best USING (doc_id)"""
+
+
+def ranked_search_sql(k: int) -> str:
+    term = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
+    def terms(table: str, key: str) -> str:
+        return (
+            f"SELECT {key}, unnest(regexp_extract_all({ASCII_LOWER.format('text')}, '{term}')) "
+            f"AS term FROM {table}"
+        )
+
+    return f"""
+WITH words AS MATERIALIZED ({terms("documents", "doc_id")}),
+asked AS MATERIALIZED (SELECT DISTINCT item_id, term FROM ({terms("benchmark", "item_id")})),
+lengths AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+postings AS MATERIALIZED (
+  SELECT doc_id, term, count(*) AS tf FROM words
+  WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term
+),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE)
+    / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM postings, totals GROUP BY term
+),
+parts AS (
+  SELECT p.doc_id, p.term,
+    w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))) AS part
+  FROM postings p JOIN weights USING (term) JOIN lengths l ON l.doc_id = p.doc_id, totals
+),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(part) AS BIGINT) AS score
+  FROM asked JOIN parts USING (term) GROUP BY item_id, doc_id
+)
+SELECT item_id,
+  CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+  doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= {k}"""
+
+
+def spelling_sql(min_length: int, min_count: int, typo_every: int, ratio: int) -> str:
+    """Neighbours by equal words after one code point is left out at the same place."""
+    return f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+    unnest(regexp_extract_all({ASCII_LOWER.format("text")}, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run
+  FROM documents
+),
+hashed AS (
+  SELECT run, count(*) AS n, {crc32_sql("id || ':' || run")} AS h FROM runs
+  WHERE length(run) >= {min_length} GROUP BY id, run
+),
+spelled AS (
+  SELECT n, CASE WHEN h % {typo_every} = 0
+    THEN substring(run, 1, CAST(h % length(run) AS BIGINT))
+      || substring(run, CAST(h % length(run) AS BIGINT) + 2)
+    ELSE run END AS word
+  FROM hashed
+),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelled
+  WHERE length(word) >= {min_length} GROUP BY word HAVING sum(n) >= {min_count}
+),
+cuts AS MATERIALIZED (
+  SELECT DISTINCT word, n, i, substring(word, 1, i) || substring(word, i + 2) AS cut
+  FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)
+),
+pairs AS (
+  SELECT a.word AS a, b.word AS b, b.n AS b_n FROM cuts a JOIN cuts b USING (i, cut)
+  WHERE a.word <> b.word AND length(a.word) = length(b.word)
+  UNION
+  SELECT c.word, w.word, w.n FROM cuts c JOIN words w ON c.cut = w.word
+  UNION
+  SELECT w.word, c.word, c.n FROM cuts c JOIN words w ON c.cut = w.word
+),
+near AS (
+  SELECT a AS word, count(DISTINCT b) AS n_near,
+    first(b ORDER BY b_n DESC, b) AS best, max(b_n) AS best_n
+  FROM pairs GROUP BY a
+),
+forms AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN best_n >= {ratio} * n THEN best END AS form,
+    CASE WHEN best_n >= {ratio} * n THEN best_n END AS form_n
+  FROM words LEFT JOIN near USING (word)
+),
+chain AS (
+  SELECT word, word AS root, 0 AS step FROM forms
+  UNION ALL
+  SELECT c.word, f.form, step + 1 FROM chain c JOIN forms f ON f.word = c.root
+  WHERE f.form IS NOT NULL
+),
+roots AS (SELECT word, arg_max(root, step) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)"""

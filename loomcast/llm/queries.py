@@ -18,12 +18,17 @@ from loomcast.llm.oracle import (
     license_sql,
     mixing_sql,
     near_duplicates_sql,
+    ranked_search_sql,
     sharding_sql,
+    spelling_sql,
     top_k_sql,
 )
 from loomcast.llm.pii import personal_data
 from loomcast.llm.quality import quality_scores
+from loomcast.llm.ranked_search import SearchSettings, ranked_search
 from loomcast.llm.sharding import ShardSettings, shard_assignment
+from loomcast.llm.simhash import SimHashSettings, simhash_groups
+from loomcast.llm.spelling import SpellingSettings, spelling_variants
 from loomcast.llm.token_files import TokenFileSettings, token_files
 from loomcast.llm.topk import TopKSettings, top_k
 
@@ -70,6 +75,19 @@ def op10_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
 
+def op11_hybrid_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (table(spark, sf_dir, x) for x in ("documents", "benchmark"))
+    return ranked_search(documents, benchmark, SearchSettings(k=50))
+
+
+def op12_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"), SimHashSettings(width=3))
+
+
+def op13_trie_frontier_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), SpellingSettings())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_super_minhash_dedup": op1_super_minhash_dedup,
     "op2_license_dice": op2_license_dice,
@@ -81,6 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_threshold_top_k": op9_threshold_top_k,
     "op10_kneser_ney_language": op10_kneser_ney_language,
+    "op11_hybrid_ranked_search": op11_hybrid_ranked_search,
+    "op12_golay_simhash": op12_golay_simhash,
+    "op13_trie_frontier_spelling": op13_trie_frontier_spelling,
 }
 
 ORACLE: dict[str, str] = {
@@ -90,4 +111,8 @@ ORACLE: dict[str, str] = {
     "op5_temperature_mix": mixing_sql(entropy=0.998, max_epochs=2.0),
     "op7_winnowing_decontamination": contamination_sql(window=13, share=20),
     "op9_threshold_top_k": top_k_sql(k=5, every=50),
+    "op11_hybrid_ranked_search": ranked_search_sql(k=50),
+    "op13_trie_frontier_spelling": spelling_sql(
+        min_length=7, min_count=2, typo_every=31, ratio=10
+    ),
 }
