@@ -23,16 +23,22 @@ few (one per code point that follows it); no step gathers words that share a nod
 
 from __future__ import annotations
 
+import re
+import zlib
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.llm.common import Scratch
+from loomcast.llm.common import Scratch, slices
 
-#: Runs of letters that count as words: Latin with the supplement's accents.
-LETTERS = "[A-Za-z\\u00C0-\\u00FF]+"
 SINGLE = 32
+#: Distinct words that a task sums up before it hands them on.
+HELD = 200_000
 
 
 @dataclass(frozen=True)
@@ -65,25 +71,52 @@ def vocabulary(
     text_col: str = "text",
 ) -> DataFrame:
     """(word, n) of the words that are long and frequent enough."""
-    lowered = F.translate(
-        F.col(text_col).cast("string"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    texts = documents.select(
+        F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary").alias("id"),
+        F.col(text_col).cast("binary").alias("text"),
     )
-    runs = documents.select(
-        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"),
-        F.explode(F.regexp_extract_all(lowered, F.lit(LETTERS), F.lit(0))).alias("run"),
-    ).where(F.char_length("run") >= settings.min_length)
-    if settings.typo_every:
-        h = F.crc32(F.concat("id", F.lit(":"), "run").cast("binary"))
-        at = F.pmod(F.col("h"), F.char_length("run").cast("long")).cast("int")
-        cut = F.concat(
-            F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.char_length("run"))
-        )
-        word = F.when(F.col("h") % settings.typo_every == 0, cut).otherwise(F.col("run"))
-        runs = runs.withColumn("h", h).select(word.alias("word"))
-        runs = runs.where(F.char_length("word") >= settings.min_length)
-    else:
-        runs = runs.select(F.col("run").alias("word"))
-    return runs.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= settings.min_count)
+    counted = texts.mapInArrow(_counted(settings), "word string, n long")
+    return counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= settings.min_count)
+
+
+def _counted(settings: SpellingSettings):
+    """Occurrences of the words in the texts, summed as far as ``HELD`` words go."""
+    least = settings.min_length
+    runs = re.compile(f"[a-z\u00C0-\u00FF]{{{least},}}")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[str] = Counter()
+        for batch in batches:
+            ids, texts = batch.columns
+            lengths = [range(n or 0) for n in pc.binary_length(texts).to_pylist()]
+            for start, end in slices(lengths):
+                part = (c.slice(start, end - start).to_pylist() for c in (ids, texts))
+                for doc_id, raw in zip(*part, strict=True):
+                    found = runs.findall(raw.lower().decode("utf-8", "replace")) if raw else []
+                    if not settings.typo_every:
+                        counts.update(found)
+                        continue
+                    begun = zlib.crc32(doc_id + b":")
+                    for word, n in Counter(found).items():
+                        h = zlib.crc32(word.encode(), begun)
+                        if h % settings.typo_every == 0:
+                            at = h % len(word)
+                            word = word[:at] + word[at + 1 :]
+                            if len(word) < least:
+                                continue
+                        counts[word] += n
+                if len(counts) > HELD:
+                    yield _word_batch(counts)
+                    counts = Counter()
+        if counts:
+            yield _word_batch(counts)
+
+    return run
+
+
+def _word_batch(counts: Counter[str]) -> pa.RecordBatch:
+    words = pa.array(list(counts), pa.string())
+    return pa.RecordBatch.from_arrays([words, pa.array(counts.values(), pa.int64())], names=["word", "n"])
 
 
 def spelling_variants(
@@ -108,7 +141,11 @@ def spelling_variants(
 
 def near_pairs(words: DataFrame, scratch: Scratch) -> DataFrame:
     """(a, a_n, b, b_n) of words one edit apart, each pair at least once in one order."""
-    longest = words.agg(F.max(F.char_length("word"))).first()[0] or 0
+    shortest, longest = words.agg(
+        F.min(F.char_length("word")), F.max(F.char_length("word"))
+    ).first()
+    if longest is None:
+        shortest, longest = 0, 0
     depths = bounds(longest)
     entered = words.select(
         F.col("n"),
@@ -119,36 +156,33 @@ def near_pairs(words: DataFrame, scratch: Scratch) -> DataFrame:
             )
         ).alias("e"),
     ).select("e.dir", "e.x", "n")
-    entered = scratch.save(entered.withColumn("start", _start(depths)), "entered")
+    entered = entered.withColumn("start", _start(depths))
+    entered = scratch.save(entered, "entered", partition_by="start")
     edges = scratch.save(_edges(entered, depths), "edges", partition_by="level")
 
-    frontier, pairs = None, []
-    for level in range(len(depths) - 1):
-        if depths[level] >= longest:
-            break
-        starts = entered.where(F.col("start") == level).select(
-            "dir",
-            "x",
-            "n",
-            F.lit(depths[level]).alias("i"),
-            _node(F.lit(depths[level])).alias("node"),
-            F.lit(0).alias("edits"),
-        )
-        states = starts if frontier is None else starts.union(frontier)
+    # Depths come from columns and not as numbers, so that all levels share their code.
+    at = F.element_at(F.array(*[F.lit(d) for d in depths]), F.col("start") + 1)
+    starts = entered.select(
+        "dir", "x", "n", at.alias("i"), _node(at).alias("node"), F.lit(0).alias("edits"), "start"
+    )
+    first, last = _level_of(depths, shortest // 2), _level_of(depths, longest // 2)
+    frontier, reached = None, []
+    for level in range(first, len(depths) - 1):
+        states = starts.where(F.col("start") == level).drop("start")
+        if frontier is not None:
+            states = states.union(frontier)
         step = _step(states, edges.where(F.col("level") == level), depths, level)
-        reached = scratch.save(step, f"level-{level}")
-        pairs.append(reached.where("other is not null"))
-        frontier = reached.where("other is null").select("dir", "x", "n", "i", "node", "edits")
-    if not pairs:
-        return words.select(
-            F.col("word").alias("a"),
-            F.col("n").alias("a_n"),
-            F.col("word").alias("b"),
-            F.col("n").alias("b_n"),
-        ).where("false")
-    found = pairs[0]
-    for more in pairs[1:]:
-        found = found.union(more)
+        reached.append(scratch.save(step, f"level-{level}"))
+        frontier = (
+            reached[-1]
+            .where("other is null")
+            .select("dir", "x", "n", "i", "node", "edits")
+        )
+        if level >= last and frontier.isEmpty():
+            break
+    paths = [frame._scratch_path for frame in reached]
+    found = words.sparkSession.read.schema(reached[0].schema).parquet(*paths)
+    found = found.where("other is not null")
     spelled = lambda c: F.when(F.col("dir") == 1, F.reverse(c)).otherwise(F.col(c))
     return found.select(
         spelled("x").alias("a"),
@@ -158,6 +192,11 @@ def near_pairs(words: DataFrame, scratch: Scratch) -> DataFrame:
     ).where(F.levenshtein("a", "b", 1) == 1)
 
 
+def _level_of(depths: list[int], depth: int) -> int:
+    """Level of the deepest bound that is not beyond ``depth``."""
+    return max(level for level, bound in enumerate(depths) if bound <= depth)
+
+
 def _start(depths: list[int]) -> Column:
     """Level of the deepest bound within the word's first half."""
     half = F.floor(F.char_length("x") / 2).cast("int")
@@ -234,20 +273,34 @@ def _edges(entered: DataFrame, depths: list[int]) -> DataFrame:
 
 
 def _step(states: DataFrame, edges: DataFrame, depths: list[int], level: int) -> DataFrame:
-    """States one level deeper, and the neighbours met on tails (``other`` is set)."""
+    """States one level deeper, and the neighbours met on tails (``other`` is set).
+
+    What a state compares is cut out of its word before the join, and the joins keep
+    only the edges that lead on: most children of a node are met and left there.
+    """
     width = depths[level + 1] - depths[level]
-    size = F.char_length("x")
+    following = F.element_at(F.array(*[F.lit(d) for d in depths]), F.col("level") + 2)
+    edges = edges.withColumns(
+        {
+            "tail": F.substring("word", following + 1, F.char_length("word")),
+            "word_size": F.char_length("word"),
+        }
+    ).drop("level")
+    size, at = F.char_length("x"), F.col("i")
+    states = states.withColumns(
+        {
+            "size": size,
+            "own": F.substring("x", at + 1, F.lit(width)),
+            "rest": F.substring("x", at + 1 + width, size),
+            "bit": F.when(at + width <= size, _bit(F.substring("x", at + 1 + width, size))),
+        }
+    )
     is_tail = F.col("word").isNotNull()
-    # From the level's column and not as a number, so that all levels share their code.
-    depth = F.element_at(F.array(*[F.lit(d) for d in depths]), F.col("level") + 1)
-    rest_of_word = F.substring("word", depth + 1, F.char_length("word"))
+    below = F.col("below").bitwiseAND(F.col("bit")) != 0
 
-    def rest(at: Column) -> Column:
-        return F.substring("x", at + 1, size)
-
-    def state(at: Column, edits: int) -> Column:
+    def state(i: Column, edits: int) -> Column:
         return F.struct(
-            at.cast("int").alias("i"),
+            i.cast("int").alias("i"),
             F.col("child").alias("node"),
             F.lit(edits).alias("edits"),
             F.lit(None).cast("string").alias("other"),
@@ -262,9 +315,6 @@ def _step(states: DataFrame, edges: DataFrame, depths: list[int], level: int) ->
         F.col("word_n").alias("other_n"),
     )
 
-    def below(at: Column) -> Column:
-        return (at <= size) & (F.col("below").bitwiseAND(_bit(rest(at))) != 0)
-
     def out(rows: DataFrame, *options: tuple[Column, Column]) -> DataFrame:
         found = F.array_compact(F.array(*[F.when(test, made) for test, made in options]))
         return rows.select("dir", "x", "n", F.explode(found).alias("to")).select(
@@ -272,40 +322,54 @@ def _step(states: DataFrame, edges: DataFrame, depths: list[int], level: int) ->
         )
 
     # One edit spent: only the edge that spells the next label.
-    spent = states.where("edits = 1").withColumn(
-        "wanted", F.substring("x", F.col("i") + 1, F.lit(width))
-    )
-    spent = spent.join(
-        edges, (F.col("node") == F.col("parent")) & (F.col("wanted") == F.col("label"))
-    ).drop("node")
-    after = F.col("i") + width
+    met = (F.col("node") == F.col("parent")) & (F.col("own") == F.col("label"))
+    leads = (is_tail & (F.col("rest") == F.col("tail"))) | (~is_tail & below)
     spent = out(
-        spent,
-        (is_tail & (rest(F.col("i")) == rest_of_word), pair),
-        (~is_tail & below(after), state(after, 1)),
+        states.where("edits = 1").join(edges, met & leads).drop("node"),
+        (is_tail, pair),
+        (~is_tail, state(at + width, 1)),
     )
 
     # None spent: every edge of the node.
-    long = F.char_length("label")
-    own = F.substring("x", depth + 1, long)
-    longer = F.substring("x", depth + 1, long + 1)
-    fresh = states.where("edits = 0").join(edges, F.col("node") == F.col("parent")).drop("node")
-    replaced = (F.col("label") > own) & (F.levenshtein("label", own, 1) == 1)
-    replaced &= F.char_length(own) == long
-    deleted = (F.col("label") != own) & (F.char_length(longer) == long + 1)
-    deleted &= F.levenshtein("label", longer, 1) == 1
-    shorter = F.char_length("word") == size - 1
-    equal = (F.char_length("word") == size) & (F.col("word") > F.col("x"))
+    fresh = states.where("edits = 0").withColumns(
+        {
+            "longer": F.substring("x", at + 1, F.lit(width + 1)),
+            "second": F.substring("x", at + 2, F.lit(width)),
+            "rest_2": F.substring("x", at + 2 + width, size),
+            "bit_2": F.when(at + 1 + width <= size, _bit(F.substring("x", at + 2 + width, size))),
+        }
+    )
+    below_2 = F.col("below").bitwiseAND(F.col("bit_2")) != 0
+    same = F.col("label") == F.col("own")
+    greater = F.col("label") > F.col("own")
+    equal_size = F.col("word_size") == F.col("size")
+    shorter = F.col("word_size") == F.col("size") - 1
+    if width == 1:
+        replaced, deleted = greater, ~same & (F.col("label") == F.col("second"))
+        on_tail = (
+            (same & (equal_size | shorter))
+            | (replaced & equal_size & (F.col("tail") == F.col("rest")))
+            | (deleted & shorter & (F.col("tail") == F.col("rest_2")))
+        )
+    else:
+        # A label ends early where its word does; such a word is a tail.
+        full = F.char_length("label") == width
+        replaced = greater & full & (F.levenshtein("label", "own", 1) == 1)
+        deleted = ~same & full & (F.levenshtein("label", "longer", 1) == 1)
+        on_tail = equal_size | shorter
+    leads = (is_tail & on_tail) | (
+        ~is_tail & (same | (replaced & below) | (deleted & below_2))
+    )
+    fresh = fresh.join(edges, (F.col("node") == F.col("parent")) & leads).drop("node")
+    left = F.substring("x", at + 1, F.col("size"))
+    theirs = F.substring("word", at + 1, F.col("size"))
+    larger = equal_size & (F.col("word") > F.col("x"))
     fresh = out(
         fresh,
-        (
-            is_tail & (shorter | equal)
-            & (F.levenshtein(rest_of_word, rest(depth), 1) == 1),
-            pair,
-        ),
-        (~is_tail & (F.col("label") == own), state(depth + long, 0)),
-        (~is_tail & replaced & below(depth + long), state(depth + long, 1)),
-        (~is_tail & deleted & below(depth + long + 1), state(depth + long + 1, 1)),
+        (is_tail & (larger | shorter) & (F.levenshtein(theirs, left, 1) == 1), pair),
+        (~is_tail & same, state(at + width, 0)),
+        (~is_tail & replaced & below, state(at + width, 1)),
+        (~is_tail & deleted & below_2, state(at + width + 1, 1)),
     )
     return spent.union(fresh)
 
