@@ -10,6 +10,7 @@ from loomcast.functions.metrics import METRICS
 from loomcast.functions.missing import zero_filled
 from loomcast.operators.keys import null_safe_join
 from loomcast.operators.steps import SOURCED
+from loomcast.operators.windows import first_cutoff
 
 
 def score_windows(predictions: DataFrame, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
@@ -28,8 +29,10 @@ def score_windows(predictions: DataFrame, rows: DataFrame, cfg: ForecastConfig)
     if "y" not in predictions.columns:
         # A step that resampling filled in has no source row to score.
         sourced = F.col(SOURCED) if SOURCED in rows.columns else F.lit(True)
-        # Only the last dates are predicted: earlier rows stay out of the exchange.
-        first = predictions.select(F.min("ds")).scalar()
+        # Only the last dates are predicted: earlier rows stay out of the exchange. The
+        # first of them follows from the last date of each series, without a fit.
+        ends = rows.groupBy(*keys).agg(F.max("ds").alias("last_ds"))
+        first = ends.select(F.min(first_cutoff(F.col("last_ds"), cfg))).scalar()
         tested = (F.col("ds") >= first) & sourced
         actual = rows.where(tested).select(*keys, "ds", "y")
         joined = null_safe_join(actual, predictions, keys, ["ds"]).withColumn("weight", F.lit(1))

@@ -12,6 +12,7 @@ from loomcast.config import ForecastConfig
 from loomcast.functions.missing import coerce_number
 from loomcast.models.base import SeriesModel
 from loomcast.models.registry import resolve_models
+from loomcast.models.regression import bound_moment_form
 from loomcast.operators.grouped import (
     Inputs,
     forecast_series,
@@ -38,25 +39,35 @@ def forecast(
     ``split_failures`` to tell them apart.
     """
     models = resolve_models(cfg)
+    regressions = {
+        label: form
+        for label, model in models.items()
+        if (form := bound_moment_form(model, df.sparkSession, cfg.source_format))
+    }
+    models |= regressions
     per_series = {k: m for k, m in models.items() if isinstance(m, SeriesModel)}
-    inputs = Inputs(per_series)
+    inputs = Inputs({**per_series, **regressions})
     if per_series:
         # Native models follow, so that all models can read the same shuffle.
         cfg = with_series_partitions(cfg, df.sparkSession)
     rows, cfg = prepared_rows(with_default_floor(df, cfg, inputs), cfg, inputs.columns(cfg))
 
+    future = None
+    if inputs.regressors:
+        if scoring is None:
+            raise ValueError("regressors need scoring data with their future values")
+        future = future_regressors(scoring, cfg, inputs.regressors)
+
     plain = plain_rows(rows, cfg)
     parts = []
     for label, model in models.items():
-        if label not in per_series:
+        if label in regressions:
+            model.bind(model.calendar, model.names, future)
+            parts.append(model.forecast(rows, cfg).withColumn("model_name", F.lit(label)))
+        elif label not in per_series:
             plan = model.forecast_over_steps if len(models) > 1 else model.forecast
             parts.append(plan(plain, cfg).withColumn("model_name", F.lit(label)))
     if per_series:
-        future = None
-        if inputs.regressors:
-            if scoring is None:
-                raise ValueError("regressors need scoring data with their future values")
-            future = future_regressors(scoring, cfg, inputs.regressors)
         design = series_design(rows, cfg, inputs, future)
         design = with_holidays(design, inputs.holidays, cfg.source_format)
         parts.append(forecast_series(design, cfg, per_series))

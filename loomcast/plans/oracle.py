@@ -125,6 +125,34 @@ SELECT group_id, 'logistic' AS model_name, ds,
 FROM grid JOIN caps USING (group_id)"""
 
 
+_EARLY = f"""{_SHIPPED},
+design AS (SELECT group_id, y, CAST(ds - {_FIRST_DAY} AS DOUBLE) AS t,
+  CAST(day(ds) <= 5 AS DOUBLE) AS early FROM series)"""
+
+
+def _entries(columns: list[str], table: str, digits: int) -> str:
+    """Every product of two columns, and of a column with the target, summed."""
+    return " UNION ALL ".join(
+        f"""SELECT group_id, CAST({i} AS INTEGER) AS i, CAST({j} AS INTEGER) AS j,
+  round(sum(({a}) * ({b})), {digits}) AS value FROM {table} GROUP BY group_id"""
+        for i, a in enumerate(columns)
+        for j, b in enumerate([*columns, "y"])
+    )
+
+
+_HINGES = """days AS (
+  SELECT group_id, y, CAST(ds - min(ds) OVER (PARTITION BY group_id) AS DOUBLE) AS t FROM series),
+reach AS (SELECT group_id, max(t) * CAST(0.8 AS DOUBLE) AS reach FROM days GROUP BY group_id),
+knots AS (SELECT DISTINCT group_id, floor(reach * k / {count}) AS s
+          FROM reach, range(1, {count} + 1) AS r(k))"""
+
+_HOURS = f"""{_EVENT_ROWS},
+clock AS (SELECT group_id, y, 2 * pi() * hour(ts) / 24 AS a,
+  CAST((epoch(date_trunc('hour', ts)) - epoch(TIMESTAMP '2024-01-01')) / 86400 AS DOUBLE) AS d
+  FROM events_keyed),
+hours AS (SELECT *, d - min(d) OVER (PARTITION BY group_id) AS t FROM clock)"""
+
+
 # Rolling-origin windows: 7 steps, every 7, over the last 30.
 
 _WINDOWS = """bounds AS (SELECT group_id, max(ds) AS last_ds FROM series GROUP BY group_id),
@@ -279,6 +307,55 @@ FROM spine LEFT JOIN series USING (group_id, ds) GROUP BY ALL""",
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey
 GROUP BY ALL""",
+    "design_moments": f"""WITH {_EARLY}
+{_entries(["1", "t", "early"], "design", 4)}""",
+    "solve_moments": f"""WITH {_EARLY},
+centres AS (SELECT group_id, early, avg(y) AS y, avg(t) AS t FROM design GROUP BY ALL),
+slopes AS (
+  SELECT d.group_id, min(d.t) AS origin,
+    sum((d.t - c.t) * (d.y - c.y)) / sum((d.t - c.t) * (d.t - c.t)) AS slope
+  FROM design d JOIN centres c ON c.group_id = d.group_id AND c.early = d.early
+  GROUP BY d.group_id)
+SELECT s.group_id, round(o.y + slope * (origin - o.t), 6) AS level, round(slope, 6) AS slope,
+  round(e.y - o.y - slope * (e.t - o.t), 6) AS effect, true AS settled
+FROM slopes s JOIN centres o ON o.group_id = s.group_id AND o.early = 0
+JOIN centres e ON e.group_id = s.group_id AND e.early = 1""",
+    "hinge_moments": f"""WITH {_SHIPPED}, {_HINGES.format(count=5)},
+basis AS (
+  SELECT DISTINCT group_id, 0 AS i, CAST(NULL AS DOUBLE) AS s FROM days
+  UNION ALL SELECT DISTINCT group_id, 1, -1 FROM days
+  UNION ALL SELECT group_id, 1 + row_number() OVER (PARTITION BY group_id ORDER BY s), s FROM knots),
+x AS (
+  SELECT group_id, i, t, y, CASE i WHEN 0 THEN 1 WHEN 1 THEN t ELSE greatest(t - s, 0) END AS x
+  FROM days JOIN basis USING (group_id))
+SELECT a.group_id, CAST(a.i AS INTEGER) AS i, CAST(b.i AS INTEGER) AS j,
+  round(sum(a.x * b.x), 4) AS value
+FROM x a JOIN x b ON a.group_id = b.group_id AND a.t = b.t GROUP BY ALL
+UNION ALL
+SELECT group_id, CAST(i AS INTEGER), CAST(2 + n AS INTEGER), round(sum(x * y), 4)
+FROM x JOIN (SELECT group_id, count(*) AS n FROM knots GROUP BY group_id) USING (group_id)
+GROUP BY ALL""",
+    "fourier_moments": f"""WITH {_HOURS}
+{_entries(
+    ["1", "t", *[f"sin({m} * a)" for m in range(1, 5)], *[f"cos({m} * a)" for m in range(1, 5)]],
+    "hours", 6,
+)}""",
+    "forecast_changepoint": f"""WITH {_SHIPPED}, {_HINGES.format(count=1)},
+bent AS (
+  SELECT group_id, y, t, greatest(t - s, 0) AS h, s FROM days JOIN knots USING (group_id)),
+fits AS (
+  SELECT group_id, any_value(s) AS s, avg(y) AS my, avg(t) AS mt, avg(h) AS mh,
+    var_pop(t) AS tt, covar_pop(t, h) AS th, var_pop(h) AS hh, covar_pop(t, y) AS ty,
+    covar_pop(h, y) AS hy, max(t) AS last_t
+  FROM bent GROUP BY group_id),
+lines AS (
+  SELECT *, (ty * hh - hy * th) / (tt * hh - th * th) AS slope,
+    (tt * hy - th * ty) / (tt * hh - th * th) AS bend
+  FROM fits),
+last AS (SELECT group_id, max(ds) AS last_ds FROM series GROUP BY group_id)
+SELECT group_id, CAST(last_ds + CAST(k AS INTEGER) AS DATE) AS ds,
+  round(my + slope * (last_t + k - mt) + bend * (last_t + k - s - mh), 6) AS y_pred
+FROM lines JOIN last USING (group_id), range(1, 8) AS g(k)""",
     "forecast_linear": _line_forecast(_EVENT_SERIES),
     "forecast_linear_with_history": _line_forecast_with_history(_EVENT_SERIES),
     "forecast_linear_monthly": _line_forecast(_ORDERS_MONTHLY, 2, _MONTH_END),
@@ -308,9 +385,6 @@ short AS (SELECT group_id FROM series GROUP BY group_id HAVING count(*) < 2
 SELECT group_id, model_name FROM short, (VALUES ('LinearTrend'), ('plain')) AS m(model_name)""",
     "forecast_job_output": f"""SELECT *, 'fixed-run' AS run_id
 FROM ({_line_forecast(_EVENT_SERIES)})""",
-    "forecast_undated_rows": f"""WITH {_EVENT_SERIES}
-SELECT DISTINCT group_id, 'LinearTrend' AS model_name, 'missing date' AS error
-FROM series WHERE group_id = 'error_3'""",
     "forecast_undated_series": f"""WITH {_EVENT_ROWS}
 SELECT group_id, 'LinearTrend' AS model_name,
   CASE WHEN item_nbr = 3 THEN 'missing date' ELSE 'fewer than two usable dates' END AS error

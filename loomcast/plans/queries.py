@@ -4,12 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomcast.config import ForecastConfig
-from loomcast.functions.steps import add_steps, elapsed
+from loomcast.functions.steps import add_steps, elapsed, step_number
+from loomcast.models.regression import changepoint_trend
 from loomcast.operators.keys import series_rows
+from loomcast.operators.moments import (
+    design_moments,
+    even_knots,
+    fourier_moments,
+    hinge_moments,
+    relative_gradient,
+    with_solution,
+)
 from loomcast.operators.quality import (
     global_last_date,
     kept_rows,
@@ -267,6 +276,67 @@ def series_from_join(spark, sf_dir):
     return _rounded(steps, 2, "sum_y")
 
 
+# Moments.
+
+
+def _entries(moments: DataFrame, keys: list[str], digits: int) -> DataFrame:
+    """One row per entry of the matrix, the right-hand side as its last column."""
+    columns = F.transform(F.arrays_zip("gram", "rhs"), lambda r: F.array_append(r["gram"], r["rhs"]))
+    lines = moments.select(*keys, F.posexplode(columns).alias("i", "line"))
+    entries = lines.select(*keys, "i", F.posexplode("line").alias("j", "value"))
+    return _rounded(entries, digits, "value")
+
+
+def _early_rows(spark, sf_dir, cfg: ForecastConfig) -> tuple[DataFrame, dict]:
+    """Shipped series with the columns 1, days since 1970, and the first days of a month."""
+    rows = series_rows(shipped_series(spark, sf_dir), cfg)
+    early = (F.dayofmonth("ds") <= 5).cast("double")
+    return rows, {"one": F.lit(1.0), "t": F.unix_date("ds"), "early": early}
+
+
+def design_moments_query(spark, sf_dir):
+    cfg = config()
+    rows, columns = _early_rows(spark, sf_dir, cfg)
+    return _entries(design_moments(rows, cfg.keys, columns), cfg.keys, 4)
+
+
+def solve_moments(spark, sf_dir):
+    """Coefficients of every series and whether they solve its equations."""
+    cfg = config()
+    rows, columns = _early_rows(spark, sf_dir, cfg)
+    solved = with_solution(design_moments(rows, cfg.keys, columns, "t"))
+    coefficients = {name: F.get("solution", i) for i, name in enumerate(("level", "slope", "effect"))}
+    return _rounded(
+        solved.withColumns(coefficients).select(
+            *cfg.keys, *coefficients, (relative_gradient() < 1e-9).alias("settled")
+        ),
+        6,
+        *coefficients,
+    )
+
+
+def hinge_moments_query(spark, sf_dir):
+    """Products of five hinges, from sums between their knots."""
+    cfg = config()
+    rows = series_rows(shipped_series(spark, sf_dir), cfg)
+    series = Window.partitionBy(*cfg.keys)
+    days = rows.withColumns(
+        {"first": F.min(F.unix_date("ds")).over(series), "last": F.max(F.unix_date("ds")).over(series)}
+    )
+    knots = even_knots(F.lit(0.0), (F.col("last") - F.col("first")).cast("double"), 5)
+    t = F.unix_date("ds") - F.col("first")
+    return _entries(hinge_moments(days, cfg.keys, t, knots), cfg.keys, 4)
+
+
+def fourier_moments_query(spark, sf_dir):
+    """Four harmonics of the day over hourly series with many rows an hour."""
+    cfg = config(freq="H", few_rows_per_step=False)
+    rows = series_rows(event_rows(spark, sf_dir), cfg)
+    hours = step_number(F.col("ds"), "H") - step_number(F.lit("2024-01-01").cast("date"), "D") * 24
+    moments = fourier_moments(rows, cfg.keys, hours / 24, 1.0, 4)
+    return _entries(moments, cfg.keys, 6)
+
+
 # Forecasts.
 
 
@@ -351,6 +421,14 @@ def forecast_decomposable(spark, sf_dir):
     return _forecast_rows(shipped_series(spark, sf_dir), cfg)
 
 
+def forecast_changepoint(spark, sf_dir):
+    """A line that may bend once, four fifths into the history."""
+    cfg = config()
+    rows = series_rows(shipped_series(spark, sf_dir), cfg)
+    bent = changepoint_trend(rows, cfg, count=1).where(F.col("error").isNull()).drop("error")
+    return _rounded(bent, 6, "y_pred")
+
+
 def forecast_output_stamped(spark, sf_dir):
     return stamp(forecast_linear(spark, sf_dir), "fixed-run").drop("forecast_timestamp")
 
@@ -373,11 +451,6 @@ def forecast_undated_series(spark, sf_dir):
     return failures.select("group_id", "model_name", "error")
 
 
-def forecast_undated_rows(spark, sf_dir):
-    """Of the failures of ``forecast_undated_series`` the one that its SQL names."""
-    return forecast_undated_series(spark, sf_dir).where("group_id = 'error_3'")
-
-
 def forecast_failures(spark, sf_dir):
     series = event_series(spark, sf_dir)
     first = F.min(F.struct("date", "unit_sales")).alias("first")
@@ -550,6 +623,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "future_grid_by_frequency": grid_by_frequency,
     "resample_spine": resample_query,
     "series_from_join": series_from_join,
+    "design_moments": design_moments_query,
+    "solve_moments": solve_moments,
+    "hinge_moments": hinge_moments_query,
+    "fourier_moments": fourier_moments_query,
+    "forecast_changepoint": forecast_changepoint,
     "forecast_linear": forecast_linear,
     "forecast_linear_with_history": forecast_linear_with_history,
     "forecast_linear_monthly": forecast_linear_monthly,
@@ -564,7 +642,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forecast_decomposable": forecast_decomposable,
     "forecast_output_stamped": forecast_output_stamped,
     "forecast_job_output": forecast_job_output,
-    "forecast_undated_rows": forecast_undated_rows,
     "forecast_undated_series": forecast_undated_series,
     "forecast_failures": forecast_failures,
     "backtest_cutoffs": cutoffs_query,
