@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
@@ -240,6 +240,13 @@ class ShardReader:
         return [self.document(int(first[0]) + i) for i in range(int(rows[0]))]
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme that the cluster's default file system gives it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.makeQualified(path).toString()
+
+
 def _filesystem(folder: str) -> tuple[fs.FileSystem, str]:
     if "://" not in folder and not folder.startswith("file:"):
         return fs.LocalFileSystem(), folder
@@ -381,6 +388,7 @@ def token_files(
     folder. An empty table gives no shard and no row.
     """
     scratch = Scratch(documents.sparkSession, "token-files")
-    folder = folder or f"{scratch.path}/shards"
+    # Tasks of other machines must not take a path without a scheme for a local one.
+    folder = qualified(documents.sparkSession, folder or f"{scratch.path}/shards")
     manifest = scratch.save(write_shards(documents, folder, settings), "manifest")
     return read_shards(manifest, folder)
