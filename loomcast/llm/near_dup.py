@@ -21,13 +21,14 @@ signature in two or three vector steps and then stops early.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 from xxhash import xxh64_intdigest
@@ -40,6 +41,9 @@ CHUNK = 4096
 STEPS = np.arange(1, 256, dtype=np.uint64) * GOLDEN
 PIVOTS = 4
 BLOCK_SHINGLES = 100_000
+BLOCK_ROWS = 8
+#: Keys of 16 bytes that are broadcast at most; more are joined by a shuffle.
+MAX_BROADCAST_KEYS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -177,9 +181,8 @@ def near_duplicates(
 
     ``component_id`` is the smallest id that verified links reach; ``kept`` marks
     the row that carries it. Null, empty and blank texts have no shingles and stay
-    alone. Rows without an id are grouped by equal sets only: they never lend
-    their id and carry the class's, or null if no member has one (then they are
-    kept). Rows that repeat an id with the same words are in one group; where an id
+    alone. Rows without an id are linked like any other and carry the smallest id of
+    their component, or null if it has none (then they are kept). Rows that repeat an id with the same words are in one group; where an id
     carries different texts each row follows its own. Other columns are ignored, so
     their names cannot clash.
     """
@@ -284,11 +287,11 @@ def _grouped(
     placed = scratch.save(placed, "grouped")
     names = placed.groupBy("root").agg(F.min("rep").alias("component_id"))
     groups = scratch.save(placed.join(names, "root").select("print", "root", "component_id"), "groups")
-    named = rows.select("doc_id", "k1", "k2", "n_shingles", "print").join(groups, "print", "left")
+    labelled = rows.select("doc_id", "k1", "k2", "n_shingles", "print").join(groups, "print", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(
         F.col("doc_id")
     )
-    return named.select(
+    return labelled.select(
         "doc_id",
         "k1",
         "k2",
@@ -303,8 +306,7 @@ def _links(
     texts: DataFrame, classes: DataFrame, settings: NearDupSettings, scratch: Scratch
 ) -> DataFrame:
     """(v, root) over class ids that verified links join."""
-    named = classes.where("rep is not null")
-    exploded = named.select("cid", "n", F.explode("bands").alias("bucket"))
+    exploded = classes.select("cid", "n", F.explode("bands").alias("bucket"))
     buckets = scratch.save(
         exploded.groupBy("bucket")
         .agg(F.count("*").alias("size"), F.min(F.struct("cid", "n")).alias("pivot"))
@@ -320,8 +322,15 @@ def _links(
         F.col("pivot.cid").alias("b"),
         F.col("pivot.n").alias("m"),
     ).where("a <> b")
-    links = _verified(star, sets, settings, scratch)
-    roots = connected_components(links, scratch)
+    # First with one pivot each, the one that most of its buckets name: what that links
+    # need not be verified against the pivots of its other buckets.
+    star = scratch.save(star.groupBy("a", "n", "b", "m").agg(F.count("*").alias("times")), "star")
+    nearest = star.groupBy("a", "n").agg(F.max_by(F.struct("b", "m"), F.struct("times", "b")).alias("p"))
+    nearest = nearest.select("a", "n", F.col("p.b").alias("b"), F.col("p.m").alias("m"))
+    roots = connected_components(_verified(nearest, sets, settings, scratch), scratch)
+    others = star.drop("times").join(nearest.select("a", "b"), ["a", "b"], "left_anti")
+    others = _between_components(others, roots)
+    roots = _joined(roots, _verified(others, sets, settings, scratch), scratch)
 
     # Against random members of each bucket's largest component.
     placed, main = _placed(members, roots, scratch)
@@ -346,16 +355,27 @@ def _links(
     placed, main = _placed(members, roots, scratch)
     if main.isEmpty():
         return roots
-    bands = named.groupBy("cid").agg(F.min("bands").alias("bands"))
+    bands = classes.groupBy("cid").agg(F.min("bands").alias("bands"))
     apart = placed.join(main, "bucket").join(bands, "cid").join(sets, "cid")
     outside = apart.where("component <> main")
     blocks = _member_blocks(outside, "outside_shingles", "a_").join(
         _member_blocks(apart, "all_shingles", "b_"), "bucket"
     )
-    more = scratch.save(blocks.mapInArrow(_block_links(settings), "a long, b long"), "more")
+    # A row holds two blocks: few of them at a time in a worker's memory.
+    with _records_per_batch(blocks.sparkSession, BLOCK_ROWS):
+        more = scratch.save(blocks.mapInArrow(_block_links(settings), "a long, b long"), "more")
     return _joined(roots, more, scratch)
 
 
+def _between_components(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (a, n, b, m) that known links do not join yet."""
+    for side in ("a", "b"):
+        root = roots.select(F.col("v").alias(side), F.col("root").alias(f"root_{side}"))
+        pairs = pairs.join(root, side, "left")
+    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
+    return pairs.where(apart).select("a", "n", "b", "m")
+
+
 def _joined(roots: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     """Components after further links: known ones count as one edge per member."""
     if links.isEmpty():
@@ -363,6 +383,18 @@ def _joined(roots: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     return connected_components(roots.union(links), scratch)
 
 
+@contextmanager
+def _records_per_batch(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of the jobs run inside hold at most that many rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _member_blocks(rows: DataFrame, weight: str, prefix: str) -> DataFrame:
     """Members of each bucket packed into blocks of about ``BLOCK_SHINGLES`` shingles."""
     parts = F.ceil(F.col(weight) / BLOCK_SHINGLES)
@@ -441,6 +473,9 @@ def _member_sets(texts, classes, members, settings, scratch) -> DataFrame:
         classes.join(wanted, "cid", "left_semi").select("cid", "speaker.k1", "speaker.k2"),
         "speakers",
     )
+    if speakers.count() <= MAX_BROADCAST_KEYS:
+        # Most texts share no bucket: they stay where they are.
+        speakers = F.broadcast(speakers)
     own = (
         texts.join(speakers, ["k1", "k2"])
         .select("cid", "text")
