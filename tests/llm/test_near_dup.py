@@ -113,6 +113,17 @@ def test_odd_rows(spark):
     assert near_duplicates(df.limit(0)).collect() == []
 
 
+def test_near_copies_without_an_id_are_linked(spark):
+    words = [f"w{i}" for i in range(200)]
+    near = " ".join([*words[:199], "other"])
+    rows = [(None, " ".join(words)), (None, near), (7, " ".join([*words[:198], "x", "y"]))]
+    alone = [(None, " ".join(f"v{i}" for i in range(n))) for n in (200, 199)]
+    df = spark.createDataFrame(rows + alone, "doc_id long, text string")
+    found = near_duplicates(df, NearDupSettings(width=2)).collect()
+    assert sorted((r.component_id or 0) for r in found) == [0, 0, 7, 7, 7]
+    assert distinct_documents(df, NearDupSettings(width=2)).count() == 2
+
+
 def test_one_of_each_group_stays(spark):
     df = documents(spark)
     kept = distinct_documents(df)
