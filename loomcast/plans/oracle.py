@@ -243,6 +243,8 @@ _MONTH_END = "last_day(last_ds + to_months(CAST(h AS INTEGER)))"
 ORACLE: dict[str, str] = {
     "table_scan_count": """SELECT source, n_rows FROM (SELECT count(*) AS n_rows FROM events),
   (VALUES ('path'), ('table'), ('sql')) AS s(source)""",
+    "scan_three_part": """SELECT event_type, count(*) AS n_rows, max(event_id) AS last_id
+FROM events GROUP BY event_type""",
     "preview_rows": """SELECT event_id, user_id, event_type, value FROM events
 ORDER BY event_id LIMIT 5""",
     "series_key": """SELECT concat_ws('_', store_nbr, CAST(item_nbr AS VARCHAR)) AS group_id,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -170,6 +171,18 @@ def table_scan_count(spark, sf_dir):
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
+def scan_three_part(spark, sf_dir):
+    """The events read by catalog, schema and name; the entry points at the given files."""
+    path = f"{sf_dir}/events.parquet"
+    name = f"spark_catalog.default.events_{zlib.crc32(path.encode()):08x}"
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path, "parquet")
+    events = read_source(spark, name)
+    return events.groupBy("event_type").agg(
+        F.count("*").alias("n_rows"), F.max("event_id").alias("last_id")
+    )
+
+
 def preview_rows(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     return preview(events, 5, ("event_id",))
@@ -610,6 +623,7 @@ def backtest_decomposable(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_scan_count": table_scan_count,
+    "scan_three_part": scan_three_part,
     "preview_rows": preview_rows,
     "series_key": series_key,
     "series_profile": profile_query,
