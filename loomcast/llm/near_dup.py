@@ -497,9 +497,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, settings: NearDupSettings, scra
         .distinct()
     )
     wanted = scratch.save(wanted, "pairs")
-    with_both = wanted.join(
-        sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa")), "a"
-    ).join(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("sb")), "b")
+
+    def asked(side: str, name: str) -> DataFrame:
+        """The sets of one side of the pairs; the others do not travel."""
+        some = sets.join(wanted.select(F.col(side).alias("cid")).distinct(), "cid", "left_semi")
+        return some.select(F.col("cid").alias(side), F.col("shingles").alias(name))
+
+    with_both = wanted.join(asked("a", "sa"), "a").join(asked("b", "sb"), "b")
     shared = with_both.select("a", "b", "total", shared_shingles("sa", "sb").alias("shared"))
     linked = shared.where(
         F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * settings.percent
