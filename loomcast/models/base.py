@@ -24,6 +24,10 @@ class NativeModel(ABC):
     one row with ``error`` set instead of predictions.
     """
 
+    def inputs(self) -> dict[str, Any]:
+        """Columns to bring besides the target, named as for a ``SeriesModel``."""
+        return {}
+
     @abstractmethod
     def forecast(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame: ...
 

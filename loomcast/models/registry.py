@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from loomcast.config import ForecastConfig
 from loomcast.models.base import NativeModel, SeriesModel
+from loomcast.models.curved import LogisticTrend, MultiplicativeSeason
 from loomcast.models.decomposable import Decomposable
 from loomcast.models.linear import LinearTrend
 from loomcast.models.seasonal import SeasonalNaive, WeekdayProfile
@@ -16,6 +17,8 @@ class UnknownModelError(ImportError):
 _KINDS: dict[str, type] = {
     "Decomposable": Decomposable,
     "LinearTrend": LinearTrend,
+    "LogisticTrend": LogisticTrend,
+    "MultiplicativeSeason": MultiplicativeSeason,
     "SeasonalNaive": SeasonalNaive,
     "WeekdayProfile": WeekdayProfile,
 }

@@ -32,7 +32,7 @@ def backtest(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
     """Evaluations: ``unique_id``, ``model_name``, ``cutoff``, metric, ``status``, ``error``."""
     models = resolve_models(cfg)
     per_series = {k: m for k, m in models.items() if isinstance(m, SeriesModel)}
-    inputs = Inputs(per_series)
+    inputs = Inputs(models)
     if per_series:
         # Native models follow, so that all models can read the same shuffle.
         cfg = with_series_partitions(cfg, df.sparkSession)
@@ -40,7 +40,9 @@ def backtest(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
     plain = plain_rows(rows, cfg)
 
     parts = [
-        model.backtest(plain, cfg).withColumn("model_name", F.lit(label))
+        model.backtest(rows if model.inputs() else plain, cfg).withColumn(
+            "model_name", F.lit(label)
+        )
         for label, model in models.items()
         if label not in per_series
     ]

@@ -46,7 +46,7 @@ def forecast(
     }
     models |= regressions
     per_series = {k: m for k, m in models.items() if isinstance(m, SeriesModel)}
-    inputs = Inputs({**per_series, **regressions})
+    inputs = Inputs(models)
     if per_series:
         # Native models follow, so that all models can read the same shuffle.
         cfg = with_series_partitions(cfg, df.sparkSession)
@@ -66,7 +66,8 @@ def forecast(
             parts.append(model.forecast(rows, cfg).withColumn("model_name", F.lit(label)))
         elif label not in per_series:
             plan = model.forecast_over_steps if len(models) > 1 else model.forecast
-            parts.append(plan(plain, cfg).withColumn("model_name", F.lit(label)))
+            own = rows if model.inputs() else plain
+            parts.append(plan(own, cfg).withColumn("model_name", F.lit(label)))
     if per_series:
         design = series_design(rows, cfg, inputs, future)
         design = with_holidays(design, inputs.holidays, cfg.source_format)

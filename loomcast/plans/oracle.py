@@ -379,6 +379,53 @@ UNION ALL SELECT * FROM (WITH {_EVENT_SERIES}, {_HORIZON} {_WEEKDAY})""",
     "forecast_holiday_effect": _shifted_line("holiday", _HOLIDAY_LEVEL, "'none'", True),
     "forecast_regressor": _shifted_line("regressor", "day(ds) <= 5", "false", False),
     "forecast_weekly_seasonality": _shifted_line("weekly", "dayofweek(ds)", "0", True),
+    "forecast_logistic_shares": f"""WITH RECURSIVE {_SHIPPED},
+caps AS (SELECT group_id, max(y) AS cap, min(ds) AS first_ds, max(ds) AS last_ds
+  FROM series GROUP BY group_id),
+shares AS (
+  SELECT group_id, CASE WHEN day(ds) % 2 = 0 THEN 0 ELSE y / cap END AS z,
+    (ds - first_ds) / (last_ds - first_ds) AS u
+  FROM series JOIN caps USING (group_id)),
+newton AS (
+  SELECT group_id, 0 AS i, CAST(0 AS DOUBLE) AS a, CAST(0 AS DOUBLE) AS b FROM caps
+  UNION ALL
+  SELECT group_id, i + 1, a + (ga * huu - gu * hu) / (h * huu - hu * hu),
+    b + (gu * h - ga * hu) / (h * huu - hu * hu)
+  FROM (
+    SELECT group_id, i, a, b, sum(z - p) AS ga, sum((z - p) * u) AS gu,
+      sum(p * (1 - p)) AS h, sum(p * (1 - p) * u) AS hu, sum(p * (1 - p) * u * u) AS huu
+    FROM (SELECT *, 1 / (1 + exp(-a - b * u)) AS p FROM newton JOIN shares USING (group_id))
+    WHERE i < 25 GROUP BY group_id, i, a, b))
+SELECT group_id, 'LogisticTrend' AS model_name, CAST(last_ds + CAST(k AS INTEGER) AS DATE) AS ds,
+  round(cap / (1 + exp(-a - b * (last_ds - first_ds + k) / (last_ds - first_ds))), 6) AS y_pred
+FROM newton JOIN caps USING (group_id), range(1, 8) AS g(k) WHERE i = 25""",
+    # Trend and week by turns; three harmonics and a level are a free week.
+    "forecast_multiplicative": f"""WITH RECURSIVE {_SHIPPED},
+days AS (
+  SELECT group_id, dayofweek(ds) AS w, y,
+    (ds - min(ds) OVER (PARTITION BY group_id)) / 1000 AS u
+  FROM series),
+turns AS (
+  SELECT DISTINCT group_id, w, 0 AS i, CAST(1 AS DOUBLE) AS g, CAST(0 AS DOUBLE) AS a,
+    CAST(0 AS DOUBLE) AS b
+  FROM days
+  UNION ALL
+  SELECT group_id, w, i + 1, sum((a2 + b2 * u) * y) / sum((a2 + b2 * u) * (a2 + b2 * u)), a2, b2
+  FROM (
+    SELECT *, (gy * uu - uy * gu) / (gg * uu - gu * gu) AS a2,
+      (gg * uy - gu * gy) / (gg * uu - gu * gu) AS b2
+    FROM (
+      SELECT group_id, w, i, u, y, sum(g * g) OVER s AS gg, sum(g * g * u) OVER s AS gu,
+        sum(g * g * u * u) OVER s AS uu, sum(g * y) OVER s AS gy, sum(g * y * u) OVER s AS uy
+      FROM turns JOIN days USING (group_id, w) WHERE i < 60
+      WINDOW s AS (PARTITION BY group_id)))
+  GROUP BY group_id, w, i, a2, b2),
+grid AS (
+  SELECT group_id, CAST(max(ds) + CAST(k AS INTEGER) AS DATE) AS ds,
+    (max(ds) - min(ds) + k) / 1000 AS u
+  FROM series, range(1, 8) AS s(k) GROUP BY group_id, k)
+SELECT group_id, 'MultiplicativeSeason' AS model_name, ds, round((a + b * u) * g, 3) AS y_pred
+FROM grid JOIN turns USING (group_id) WHERE i = 60 AND w = dayofweek(ds)""",
     "forecast_output_stamped": f"""SELECT *, 'fixed-run' AS run_id
 FROM ({_line_forecast(_EVENT_SERIES)})""",
     "forecast_failures": f"""WITH {_EVENT_SERIES},

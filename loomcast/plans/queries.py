@@ -442,6 +442,31 @@ def forecast_changepoint(spark, sf_dir):
     return _rounded(bent, 6, "y_pred")
 
 
+def _shares_of_cap(spark, sf_dir) -> DataFrame:
+    """Shipped series with zeros on even days of the month, capped at their best day."""
+    series = shipped_series(spark, sf_dir)
+    bounds = series.groupBy("store_nbr", "item_nbr").agg(F.max("unit_sales").alias("cap"))
+    zero = F.dayofmonth("date") % 2 == 0
+    return series.join(bounds, ["store_nbr", "item_nbr"]).withColumn(
+        "unit_sales", F.when(zero, F.lit(0.0)).otherwise(F.col("unit_sales"))
+    )
+
+
+def forecast_logistic_shares(spark, sf_dir):
+    """Logistic growth through targets at the floor, fitted by rounds over all series."""
+    cfg = config(active_models=("LogisticTrend",), models={"LogisticTrend": {}})
+    return _forecast_rows(_shares_of_cap(spark, sf_dir), cfg)
+
+
+def forecast_multiplicative(spark, sf_dir):
+    """A trend times a week, fitted by rounds over all series."""
+    cfg = config(
+        active_models=("MultiplicativeSeason",),
+        models={"MultiplicativeSeason": {"period": 7, "order": 3}},
+    )
+    return _forecast_rows(shipped_series(spark, sf_dir), cfg, 3)
+
+
 def forecast_output_stamped(spark, sf_dir):
     return stamp(forecast_linear(spark, sf_dir), "fixed-run").drop("forecast_timestamp")
 
@@ -654,6 +679,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forecast_regressor": forecast_regressor,
     "forecast_weekly_seasonality": forecast_weekly_seasonality,
     "forecast_decomposable": forecast_decomposable,
+    "forecast_logistic_shares": forecast_logistic_shares,
+    "forecast_multiplicative": forecast_multiplicative,
     "forecast_output_stamped": forecast_output_stamped,
     "forecast_job_output": forecast_job_output,
     "forecast_undated_series": forecast_undated_series,
