@@ -62,7 +62,7 @@ def _hashes(word: str) -> tuple[int, int]:
         _words.clear()
     found = _words[word] = (
         xxh64_intdigest(word) >> 1,
-        xxh64_intdigest(shape[:32], 1) >> 1,
+        xxh64_intdigest(shape, 1) >> 1,
     )
     return found
 
