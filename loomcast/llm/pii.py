@@ -186,9 +186,11 @@ def unpack(code: int) -> tuple[int, list[int], list[int]]:
     return code, votes[::-1], flags
 
 
-def label_model(codes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> np.ndarray:
+def label_model(codes: np.ndarray, counts: np.ndarray, rounds: int = 20_000) -> np.ndarray:
     """P(personal data) of each code by expectation-maximisation over the votes.
 
+    Raises if the estimates have not settled after ``rounds`` rounds.
+
     Each labeler has a table P(vote | truth), each kind a prior. The start is the
     share of yes votes; added counts keep every estimate inside (0, 1).
     """
@@ -216,11 +218,17 @@ def label_model(codes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> np.
         if np.abs(new - p).max() < 1e-9:
             return new
         p = new
-    return p
+    raise RuntimeError(f"the label model did not settle in {rounds} rounds")
+
 
+def span_classifier(
+    codes: np.ndarray, counts: np.ndarray, truth: np.ndarray, rounds: int = 200
+) -> np.ndarray:
+    """P(personal data) of each code by logistic regression on the soft labels.
 
-def span_classifier(codes: np.ndarray, counts: np.ndarray, truth: np.ndarray) -> np.ndarray:
-    """P(personal data) of each code by logistic regression on the soft labels."""
+    Every span counts as one row, so evidence grows with the corpus against a fixed
+    ridge. Raises if the fit has not settled after ``rounds`` Newton steps.
+    """
     rows = []
     for code in codes:
         kind, votes, flags = unpack(int(code))
@@ -229,16 +237,24 @@ def span_classifier(codes: np.ndarray, counts: np.ndarray, truth: np.ndarray) ->
         rows.append(row + [float(f) for f in flags])
     x = np.array(rows).reshape(len(codes), 1 + len(KINDS) + 2 * N_VOTES + 3)
     w = np.zeros(x.shape[1])
-    share = counts / max(counts.sum(), 1) * min(counts.sum(), 1000)
-    for _ in range(100):
+
+    def loss(w: np.ndarray) -> float:
+        line = x @ w
+        return float(counts @ (np.logaddexp(0, line) - truth * line) + 0.05 * w @ w)
+
+    present = loss(w)
+    for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
-        gradient = x.T @ (share * (truth - p)) - 0.1 * w
-        hessian = (x * (share * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(len(w))
+        gradient = x.T @ (counts * (truth - p)) - 0.1 * w
+        hessian = (x * (counts * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(len(w))
         step = np.linalg.solve(hessian, gradient)
-        w += step
-        if np.abs(step).max() < 1e-9:
-            break
-    return 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
+        # The loss is convex: a full step that overshoots is halved until it gains.
+        while (new := loss(w + step)) > present + 1e-12 * abs(present):
+            step /= 2
+        w, present = w + step, new
+        if np.abs(step).max() < 1e-6:
+            return 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
+    raise RuntimeError(f"the span classifier did not settle in {rounds} steps")
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,8 +16,8 @@ from loomcast.llm.language_id import (
     ngram_keys,
 )
 from loomcast.llm.language_id import encode as encode_letters
-from loomcast.llm.pii import base_spans, label_model, personal_data, span_code
-from loomcast.llm.quality import good_documents, quality_scores
+from loomcast.llm.pii import base_spans, label_model, personal_data, span_classifier, span_code
+from loomcast.llm.quality import features, good_documents, quality_scores
 from loomcast.llm.queries import QUERIES
 
 
@@ -147,3 +147,23 @@ def test_label_model_trusts_agreeing_labelers():
     bad = span_code("xid 1-2-3-4x", (4, 3, 11))
     p = label_model(np.array([good, bad]), np.array([90.0, 10.0]))
     assert p[0] > 0.9 > 0.2 > p[1]
+
+
+def test_evidence_for_a_rare_form_grows_with_its_spans():
+    plain, spaced = span_code("mail a@b.org now", (5, 0, 12)), span_code("xa(at)b.org", (1, 0, 11))
+    codes, truth = np.array([plain, spaced]), np.array([1.0, 0.0])
+    few = span_classifier(codes, np.array([1e6, 1.0]), truth)
+    many = span_classifier(codes, np.array([1e6, 1e4]), truth)
+    assert few[0] > 0.99 and many[0] > 0.99
+    assert many[1] < 0.01 < few[1]
+
+
+def test_a_label_model_that_does_not_settle_is_an_error():
+    codes = np.array([span_code("mail a@b.org now", (5, 0, 12)), span_code("xa(at)b.org", (1, 0, 11))])
+    with pytest.raises(RuntimeError):
+        label_model(codes, np.array([9.0, 1.0]), rounds=1)
+
+
+def test_long_words_count_to_their_last_letter():
+    shapes = [features(["a1" * 20 + end], 18)[1] for end in ("-", "+")]
+    assert (shapes[0] != shapes[1]).all()
