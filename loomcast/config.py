@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping
 from dataclasses import dataclass, field, fields
+from datetime import datetime
 from typing import Any
 
 _log = logging.getLogger(__name__)
@@ -45,6 +46,9 @@ class ForecastConfig:
     freq: str = "D"
     prediction_length: int
     backtest_length: int | None = None
+    # First cutoff of all series, a date or its text; without it every series starts
+    # ``backtest_length`` steps before its own end.
+    backtest_start: Any = None
     stride: int = 1
     metric: str = "smape"
 
@@ -76,6 +80,8 @@ class ForecastConfig:
         for name in ("prediction_length", "stride"):
             if getattr(self, name) < 1:
                 raise ValueError(f"{name} must be at least 1")
+        if self.backtest_start is not None:
+            datetime.fromisoformat(str(self.backtest_start))
         if self.backtest_length < self.prediction_length:
             raise ValueError("backtest_length must not be shorter than prediction_length")
         if not self.active_models:
@@ -94,7 +100,7 @@ class ForecastConfig:
 
     @property
     def window_count(self) -> int:
-        """Backtest windows per series; it does not depend on the data."""
+        """Backtest windows per series; with ``backtest_start`` they follow its last date."""
         return (self.backtest_length - self.prediction_length) // self.stride + 1
 
     @classmethod

@@ -121,15 +121,15 @@ class _PhaseModel(NativeModel):
         windows = running_windows(tested_steps(rows, cfg), cfg).withColumn(
             "error", F.when(F.col("train_obs") == 0, F.lit(NO_TARGET))
         )
-        by = [*keys, "phase"]
+        by = [*keys, "last_k", "phase"]
         indexed = (
             with_window_index(steps.where(F.col("n_obs") > 0), cfg)
             .withColumn("k", first_training_window(F.col("i"), cfg))
-            .where(F.col("k") < cfg.window_count)
+            .where(F.col("k") <= F.col("last_k"))
             .withColumn("phase", self._phase(F.col("ds"), cfg))
         )
-        values = fill_forward(self._window_values(indexed, by), by, cfg).select(
-            *by, "k", F.col("value").alias("y_pred")
+        values = fill_forward(self._window_values(indexed, by), by).select(
+            *keys, "phase", "k", F.col("value").alias("y_pred")
         )
         dates = scored_dates(windows, cfg).withColumn("phase", self._phase(F.col("ds"), cfg))
         return null_safe_join(dates, values, keys, ["phase", "k"], "left").select(

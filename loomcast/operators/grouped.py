@@ -200,7 +200,7 @@ def backtest_series(
         cfg.keys,
         _unit(cfg),
         cfg.freq,
-        (cfg.prediction_length, cfg.stride, cfg.window_count),
+        (cfg.prediction_length, cfg.stride),
         "targets" in frame.columns,
     )
     with_targets = "targets" in frame.columns
@@ -259,10 +259,10 @@ def make_backtester(
     keys: list[str],
     unit: str,
     freq: str,
-    shape: tuple[int, int, int],
+    shape: tuple[int, int],
     with_targets: bool,
 ) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    length, stride, windows = shape
+    length, stride = shape
     kept = ["targets"] if with_targets else []
     columns = [*keys, "model_name", "k", "last_x", "x", "y_pred", "error", *kept]
 
@@ -270,7 +270,7 @@ def make_backtester(
         pdf = _in_order(pdf, unit)
         i = pdf["i"].to_numpy()
         parts = []
-        for k in range(windows):
+        for k in range(pdf["last_k"].iloc[0] + 1):
             start = k * stride
             train = pdf[i < start]
             actual = pdf[(i >= start) & (i < start + length)]

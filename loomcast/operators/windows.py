@@ -2,7 +2,9 @@
 
 Window ``k`` of a series starts at cutoff ``first + k * stride`` and tests the
 ``prediction_length`` steps from there; it trains on everything before. The
-first cutoff lies ``backtest_length`` steps before the end of the series.
+first cutoff lies ``backtest_length`` steps before the end of the series, or at
+``backtest_start`` for all series; the last window is the last one that its
+series has the dates for.
 """
 
 from __future__ import annotations
@@ -14,14 +16,25 @@ from pyspark.sql import functions as F
 
 from loomcast.config import ForecastConfig
 from loomcast.functions.missing import zero_filled
-from loomcast.functions.steps import add_steps, elapsed, step_index
+from loomcast.functions.steps import add_steps, elapsed, step_index, to_step
 from loomcast.operators.keys import null_safe_join
 
 
 def first_cutoff(last: Column, cfg: ForecastConfig) -> Column:
+    if cfg.backtest_start is not None:
+        given = to_step(F.lit(str(cfg.backtest_start)), cfg.freq)
+        return F.when(last.isNotNull(), given)
     return add_steps(last, 1 - cfg.backtest_length, cfg.freq)
 
 
+def last_window(last: Column, first: Column, cfg: ForecastConfig) -> Column:
+    """Number of the last window; negative where the series ends before the first one does."""
+    if cfg.backtest_start is None:
+        return F.lit(cfg.window_count - 1)
+    room = step_index(last, first, cfg.freq) + 1 - cfg.prediction_length
+    return F.coalesce(F.floor(room / cfg.stride).cast("int"), F.lit(-1))
+
+
 def cutoff_at(first: Column, k: Column, cfg: ForecastConfig) -> Column:
     return add_steps(first, k * cfg.stride, cfg.freq)
 
@@ -29,9 +42,11 @@ def cutoff_at(first: Column, k: Column, cfg: ForecastConfig) -> Column:
 def backtest_cutoffs(rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
     """Every window of every series: keys, ``k``, ``cutoff``, ``test_end``."""
     last = rows.groupBy(*cfg.keys).agg(F.max("ds").alias("last_ds"))
+    first = first_cutoff(F.col("last_ds"), cfg)
+    upto = last_window(F.col("last_ds"), first, cfg)
     windows = last.withColumn(
-        "k", F.explode(F.sequence(F.lit(0), F.lit(cfg.window_count - 1)))
-    ).withColumn("cutoff", cutoff_at(first_cutoff(F.col("last_ds"), cfg), F.col("k"), cfg))
+        "k", F.explode(F.when(upto >= 0, F.sequence(F.lit(0), upto)))
+    ).withColumn("cutoff", cutoff_at(first, F.col("k"), cfg))
     end = add_steps(F.col("cutoff"), cfg.prediction_length, cfg.freq)
     return windows.select(*cfg.keys, "k", "cutoff", end.alias("test_end"))
 
@@ -49,8 +64,11 @@ def actual_windows(steps: DataFrame, cutoffs: DataFrame, cfg: ForecastConfig) ->
 
 
 def with_window_index(steps: DataFrame, cfg: ForecastConfig) -> DataFrame:
-    """Add the first cutoff of the series and ``i``, the whole steps from it to ``ds``."""
+    """Add the first cutoff of the series, its ``last_k``, and ``i``, the whole steps from
+    the cutoff to ``ds``."""
     steps = steps.withColumn("first_cutoff", first_cutoff(F.col("last_ds"), cfg))
+    upto = last_window(F.col("last_ds"), F.col("first_cutoff"), cfg)
+    steps = steps.withColumn("last_k", upto)
     return steps.withColumn("i", step_index(F.col("ds"), F.col("first_cutoff"), cfg.freq))
 
 
@@ -81,7 +99,7 @@ def running_windows(
     sums = {"train_rows": F.col("n_rows"), "train_obs": F.col("n_obs"), **(sums or {})}
     entries = (
         steps.withColumns({f"_sum_{name}": value for name, value in sums.items()})
-        .withColumn("_entry", F.explode(_entries(F.col("i"), cfg)))
+        .withColumn("_entry", F.explode(_entries(F.col("i"), F.col("last_k"), cfg)))
         .withColumns({"k": F.shiftright("_entry", 1), "train": F.col("_entry") % 2 == 1})
     )
     train = F.col("train")
@@ -118,16 +136,15 @@ def running_windows(
     )
 
 
-def _entries(i: Column, cfg: ForecastConfig) -> Column:
+def _entries(i: Column, last_k: Column, cfg: ForecastConfig) -> Column:
     """Codes of the windows a step at index ``i`` enters.
 
     ``2 * k`` is a test of window ``k`` and ``2 * k + 1`` the start of training in
     it. Plain numbers keep the expansion in generated code.
     """
-    last_k = cfg.window_count - 1
     start = first_training_window(i, cfg)
     low = F.greatest(F.lit(0), F.ceil((i - cfg.prediction_length + 1) / cfg.stride)).cast("int")
-    high = F.least(F.lit(last_k), F.floor(i / cfg.stride)).cast("int")
+    high = F.least(last_k, F.floor(i / cfg.stride)).cast("int")
     none = F.array().cast("array<int>")
     return F.concat(
         F.when(start <= last_k, F.array(2 * start + 1)).otherwise(none),
@@ -172,10 +189,13 @@ def prediction_columns(dates: DataFrame, cfg: ForecastConfig) -> list[str]:
     return [*cfg.keys, "cutoff", "ds", "y_pred", "error", *actual]
 
 
-def fill_forward(stats: DataFrame, by: Iterable[str], cfg: ForecastConfig) -> DataFrame:
-    """Repeat each window's running values in the windows up to the next one present."""
+def fill_forward(stats: DataFrame, by: Iterable[str]) -> DataFrame:
+    """Repeat each window's running values in the windows up to the next one present.
+
+    The last ones hold up to ``last_k``.
+    """
     following = F.lead("k").over(Window.partitionBy(*by).orderBy("k"))
-    upto = F.coalesce(F.col("_next") - 1, F.lit(cfg.window_count - 1))
+    upto = F.coalesce(F.col("_next") - 1, F.col("last_k"))
     return (
         stats.withColumn("_next", following)
         .withColumn("k", F.explode(F.sequence(F.col("k"), upto)))

@@ -448,6 +448,15 @@ series AS (SELECT group_id, ds, sum(y) AS y FROM monthly GROUP BY ALL),
         f"""{_EVENT_ROWS}, series AS (SELECT group_id, ds,
   CASE WHEN event_id % 3 = 0 OR event_id % 7 = 0 THEN NULL ELSE y END AS y FROM events_keyed)"""
     ),
+    "backtest_common_start": f"""WITH {_SHIPPED},
+bounds AS (SELECT group_id, max(ds) AS last_ds FROM series GROUP BY group_id),
+cutoffs AS (
+  SELECT group_id, CAST(cutoff AS DATE) AS cutoff, CAST(cutoff AS DATE) + 7 AS test_end
+  FROM bounds, unnest(generate_series(
+    DATE '1995-05-01', last_ds - 6, INTERVAL 28 DAY)) AS w(cutoff)),
+{_split(7)}, {_line_windows("last_train + h", 7)}
+{_scores("LinearTrend", "smape", _SMAPE)} UNION ALL {_failed("LinearTrend", "smape")}
+UNION ALL {_phase_scores("SeasonalNaive", "max_by(t.y, t.ds)")}""",
     "backtest_failed_windows": f"""SELECT *,
   CASE WHEN status = 'error' THEN 'fewer than two usable dates' END AS error
 FROM ({_line_backtest(f"""{_EVENT_SERIES.replace("series AS", "full_series AS")},

@@ -618,6 +618,15 @@ def backtest_missing_targets(spark, sf_dir):
     return _evaluations(rows, config(few_rows_per_step=False))
 
 
+def backtest_common_start(spark, sf_dir):
+    """Windows from one calendar date on; series end years apart."""
+    cfg = config(
+        backtest_start="1995-05-01", stride=28, few_rows_per_step=False,
+        active_models=("LinearTrend", "SeasonalNaive"),
+    )
+    return _evaluations(shipped_series(spark, sf_dir), cfg)
+
+
 def backtest_failed_windows(spark, sf_dir):
     """No target before the last 20 days: early windows have nothing to fit."""
     series = event_series(spark, sf_dir)
@@ -697,6 +706,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backtest_monthly": backtest_monthly,
     "backtest_resampled": backtest_resampled,
     "backtest_missing_targets": backtest_missing_targets,
+    "backtest_common_start": backtest_common_start,
     "backtest_failed_windows": backtest_failed_windows,
     "backtest_job_output": backtest_job_output,
     "backtest_decomposable": backtest_decomposable,

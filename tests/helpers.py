@@ -57,6 +57,9 @@ def looped_backtest(frame, cfg, predict):
     cutoff = last
     for _ in range(cfg.backtest_length - 1):
         cutoff = cutoff - step(1)
+    if cfg.backtest_start is not None:
+        cutoff = pd.Timestamp(cfg.backtest_start)
+        cutoff = cutoff + pd.offsets.MonthEnd(0) if cfg.freq == "M" else cutoff
     out = {}
     while cutoff + step(cfg.prediction_length) <= last + step(1):
         end = cutoff + step(cfg.prediction_length)

@@ -85,6 +85,28 @@ def test_matches_loops(spark, freq, stride, length, few):
         assert got[key] == pytest.approx(value, abs=1e-7), key
 
 
+@pytest.mark.parametrize("few", [False, True])
+@pytest.mark.parametrize("freq,start", [
+    ("D", dt.date(2024, 1, 12)), ("W", "2022-04-06"), ("M", "2020-06-30"),
+    ("H", "2024-01-01 15:00:00"), ("D", "2030-01-01"),
+])
+def test_common_start_matches_loops(spark, freq, start, few):
+    """The number of windows follows the end of each series; a late start has none."""
+    rows = ragged(freq, seed=f"start {freq}")
+    cfg = config(
+        freq=freq, stride=4, prediction_length=3, backtest_start=start, few_rows_per_step=few,
+        active_models=("LinearTrend", "SeasonalNaive", "plain"),
+        models={"LinearTrend": {}, "SeasonalNaive": {}, "plain": PLAIN},
+    )
+    got = evaluations(backtest(sales(spark, rows), cfg))
+    want = expected(
+        rows, cfg,
+        {"LinearTrend": line, "plain": line, "SeasonalNaive": naive(*UNITS[freq])},
+    )
+    assert got == pytest.approx(want, abs=1e-7)
+    assert bool(want) == (start != "2030-01-01")
+
+
 def test_short_window_gives_no_row(spark):
     rows = daily(1, 1, [1.0, 2.0, 3.0, 4.0]) + daily(1, 1, [5.0] * 3, EPOCH + dt.timedelta(days=8))
     cfg = config(backtest_length=7)
