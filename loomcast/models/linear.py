@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from statistics import NormalDist
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,11 +28,30 @@ INFINITE = "infinite target"
 
 
 class LinearTrend(NativeModel):
-    """Ordinary least squares of the target on time."""
+    """Ordinary least squares of the target on time.
+
+    With ``interval_width``, a share between 0 and 1, forecasts carry ``y_lower`` and
+    ``y_upper``: the range of a new target at that date under normal errors, from the
+    spread of the source rows around the line. It is null below three targets.
+    """
 
     def __init__(self, params: Mapping[str, Any]):
-        if params:
-            raise TypeError(f"LinearTrend takes no parameters, got {sorted(params)}")
+        unknown = params.keys() - {"interval_width"}
+        if unknown:
+            raise TypeError(f"LinearTrend takes interval_width only, got {sorted(unknown)}")
+        width = params.get("interval_width")
+        if width is not None and not 0 < width < 1:
+            raise ValueError("interval_width must lie between 0 and 1")
+        self.reach = NormalDist().inv_cdf((1 + width) / 2) if width else None
+
+    def _bounds(self, failed: Column, value: Column, half: Column) -> list[Column]:
+        if self.reach is None:
+            return []
+        half = F.lit(self.reach) * half
+        return [
+            F.when(~failed, value - half).alias("y_lower"),
+            F.when(~failed, value + half).alias("y_upper"),
+        ]
 
     def forecast(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
         if cfg.include_history:
@@ -48,6 +68,15 @@ class LinearTrend(NativeModel):
             F.max(F.col("ds").isNull()).alias("bad_date"),
             F.count("*").alias("n_rows"),
             F.count("y").alias("n_obs"),
+            *(
+                [
+                    F.regr_syy("y", t).alias("syy"),
+                    F.regr_sxx("y", t).alias("sxx"),
+                    F.regr_avgx("y", t).alias("mean_t"),
+                ]
+                if self.reach
+                else []
+            ),
         )
         if cfg.data_quality_check:
             ratio = missing_ratio(F.col("n_rows") - F.col("n_obs"), F.col("n_rows"))
@@ -57,29 +86,41 @@ class LinearTrend(NativeModel):
         # A failed series keeps one row, which carries its error.
         grid = explode_horizon(fits, cfg).where(~failed | (F.col("h") == 1))
         y_pred = F.col("intercept") + F.col("slope") * t
+        rest = F.col("syy") - F.col("slope") * F.col("slope") * F.col("sxx")
+        half = _half(F.col("n_obs"), rest, F.col("sxx"), t - F.col("mean_t"))
         return grid.select(
             *cfg.keys,
             F.when(~failed, F.col("ds")).alias("ds"),
             F.when(~failed, y_pred).alias("y_pred"),
             "error",
+            *self._bounds(failed, y_pred, half),
         )
 
     def forecast_over_steps(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
-        steps = series_steps(rows, cfg)
+        squares = [F.sum(F.col("y") * F.col("y")).alias("sum_yy")] if self.reach else []
+        steps = series_steps(rows, cfg, squares)
         t = elapsed(F.col("ds"), F.col("last_ds"), cfg.freq)
         series = Window.partitionBy(*cfg.keys)
         totals = {name: F.sum(value).over(series) for name, value in _sums(t).items()}
         slope, intercept = _line(**{name: F.col(f"_{name}") for name in totals})
+        if self.reach:
+            totals["syy"] = F.sum("sum_yy").over(series)
         fitted = steps.withColumns({f"_{name}": value for name, value in totals.items()})
         fitted = fitted.withColumns({"_slope": slope, "_intercept": intercept})
         fitted = fitted.withColumn("error", _error(F.col("bad_date"), F.col("_slope")))
         failed = F.col("error").isNotNull()
         grid = with_horizon(fitted, cfg, ()).where(wanted_rows(failed, cfg))
+        y_pred = F.col("_intercept") + F.col("_slope") * t
+        n = F.col("_n")
+        sxx = F.col("_stt") - F.col("_st") * F.col("_st") / n
+        rest = F.col("_syy") - F.col("_sy") * F.col("_sy") / n - F.col("_slope") ** 2 * sxx
+        half = _half(n, rest, sxx, t - F.col("_st") / n)
         return grid.select(
             *cfg.keys,
             F.when(~failed, F.col("ds")).alias("ds"),
-            F.when(~failed, F.col("_intercept") + F.col("_slope") * t).alias("y_pred"),
+            F.when(~failed, y_pred).alias("y_pred"),
             "error",
+            *self._bounds(failed, y_pred, half),
         )
 
     def backtest(self, rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
@@ -117,6 +158,13 @@ def _line(n: Column, st: Column, stt: Column, sy: Column, sty: Column) -> tuple[
     return slope, F.when(spread > 0, (sy - slope * st) / n)
 
 
+def _half(n: Column, rest: Column, sxx: Column, distance: Column) -> Column:
+    """Standard error of a new target ``distance`` from the mean date; ``rest`` is the sum
+    of squared residuals."""
+    variance = F.when(n > 2, F.greatest(rest, F.lit(0.0)) / (n - 2))
+    return F.sqrt(variance * (1 + 1 / n + distance * distance / sxx))
+
+
 def _error(bad_date: Column, slope: Column) -> Column:
     return (
         F.when(bad_date, F.lit(BAD_DATE))

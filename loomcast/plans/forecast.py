@@ -29,14 +29,16 @@ from loomcast.sources.tables import read_source
 
 _log = logging.getLogger(__name__)
 
+BOUNDS = ("y_lower", "y_upper")
+
 
 def forecast(
     df: DataFrame, cfg: ForecastConfig, scoring: DataFrame | None = None
 ) -> DataFrame:
     """Forecasts and failures of all active models, lazily.
 
-    Columns: series keys, ``model_name``, ``ds``, ``y_pred``, ``error``. Use
-    ``split_failures`` to tell them apart.
+    Columns: series keys, ``model_name``, ``ds``, ``y_pred``, ``error``, and ``y_lower``
+    and ``y_upper`` if a model gives them. Use ``split_failures`` to tell them apart.
     """
     models = resolve_models(cfg)
     regressions = {
@@ -74,15 +76,16 @@ def forecast(
         parts.append(forecast_series(design, cfg, per_series))
     fitted = parts[0]
     for part in parts[1:]:
-        fitted = fitted.unionByName(part)
+        fitted = fitted.unionByName(part, allowMissingColumns=True)
     y_pred = coerce_number(F.col("y_pred")).alias("y_pred")
-    return fitted.select(*cfg.keys, "model_name", "ds", y_pred, "error")
+    bounds = [c for c in BOUNDS if c in fitted.columns]
+    return fitted.select(*cfg.keys, "model_name", "ds", y_pred, *bounds, "error")
 
 
 def split_failures(fitted: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Forecast rows, and one row per series and model that could not be fitted."""
     forecasts = fitted.where(F.col("error").isNull()).drop("error")
-    failures = fitted.where(F.col("error").isNotNull()).drop("ds", "y_pred")
+    failures = fitted.where(F.col("error").isNotNull()).drop("ds", "y_pred", *BOUNDS)
     return forecasts, failures
 
 

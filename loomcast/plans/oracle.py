@@ -360,6 +360,23 @@ SELECT group_id, CAST(last_ds + CAST(k AS INTEGER) AS DATE) AS ds,
 FROM lines JOIN last USING (group_id), range(1, 8) AS g(k)""",
     "forecast_linear": _line_forecast(_EVENT_SERIES),
     "forecast_linear_with_history": _line_forecast_with_history(_EVENT_SERIES),
+    "forecast_linear_interval": f"""WITH {_EVENT_SERIES}, {_line_fit()},
+spread AS (
+  SELECT s.group_id, count(y) AS n, avg(ds - {_FIRST_DAY}) FILTER (WHERE y IS NOT NULL) AS mean_t,
+    sum((y - intercept - slope * (ds - {_FIRST_DAY})) ** 2) AS rest
+  FROM series s JOIN fit USING (group_id) GROUP BY ALL),
+wide AS (
+  SELECT s.group_id, sum((ds - {_FIRST_DAY} - mean_t) ** 2) FILTER (WHERE y IS NOT NULL) AS sxx
+  FROM series s JOIN spread USING (group_id) GROUP BY ALL),
+grid AS (SELECT *, CAST(last_ds + CAST(h AS INTEGER) AS DATE) AS ds
+  FROM fit JOIN spread USING (group_id) JOIN wide USING (group_id), range(1, 8) AS g(h)),
+lines AS (
+  SELECT *, intercept + slope * (ds - {_FIRST_DAY}) AS p, CASE WHEN n > 2 THEN
+    1.2815515655446004 * sqrt(rest / (n - 2) * (1 + 1 / n + (ds - {_FIRST_DAY} - mean_t) ** 2 / sxx))
+    END AS half
+  FROM grid)
+SELECT group_id, 'LinearTrend' AS model_name, ds, round(p, 6) AS y_pred,
+  round(p - half, 5) AS y_lower, round(p + half, 5) AS y_upper FROM lines""",
     "forecast_linear_monthly": _line_forecast(_ORDERS_MONTHLY, 2, _MONTH_END),
     "forecast_resampled": f"""WITH {_ORDERS},
 daily AS (SELECT group_id, ds, sum(y) AS y FROM series GROUP BY ALL),

@@ -361,6 +361,12 @@ def forecast_linear_with_history(spark, sf_dir):
     return _forecast_rows(event_series(spark, sf_dir), config(include_history=True))
 
 
+def forecast_linear_interval(spark, sf_dir):
+    """The line with the range that holds four fifths of new targets."""
+    cfg = config(models={"LinearTrend": {"interval_width": 0.8}})
+    return _rounded(_forecast_rows(event_series(spark, sf_dir), cfg), 5, "y_lower", "y_upper")
+
+
 def forecast_linear_monthly(spark, sf_dir):
     return _forecast_rows(order_rows(spark, sf_dir), config(freq="M", few_rows_per_step=False), 2)
 
@@ -678,6 +684,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forecast_changepoint": forecast_changepoint,
     "forecast_linear": forecast_linear,
     "forecast_linear_with_history": forecast_linear_with_history,
+    "forecast_linear_interval": forecast_linear_interval,
     "forecast_linear_monthly": forecast_linear_monthly,
     "forecast_resampled": forecast_resampled,
     "forecast_seasonal_naive": forecast_seasonal_naive,

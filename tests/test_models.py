@@ -1,4 +1,5 @@
 import datetime as dt
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -317,3 +318,28 @@ def test_row_order_and_partitions_do_not_matter(spark):
         cfg = config(active_models=("Decomposable",), series_partitions=partitions)
         results.append(forecast(frame_, cfg).orderBy("group_id", "ds").toPandas()["y_pred"])
     assert np.allclose(*results, rtol=1e-9)
+
+
+def test_interval_of_a_line(spark):
+    """Both plans, rows that share a date, too few targets, and a model without bounds."""
+    draw = np.random.default_rng(8)
+    values = (draw.normal(size=30) + np.arange(30)).tolist()
+    rows = daily(1, 1, values) + [(1, 1, EPOCH, 4.0)] + daily(1, 2, [1.0, 2.0])
+    params = {"LinearTrend": {"interval_width": 0.8}, "SeasonalNaive": {}}
+    cfg = config(models=params, include_history=False)
+    t, y = np.append(np.arange(30), 0), np.append(values, 4.0)
+    slope, level = np.polyfit(t, y, 1)
+    spread = np.sqrt(((y - level - slope * t) ** 2).sum() / 29)
+    ahead = np.arange(30, 37)
+    sxx = ((t - t.mean()) ** 2).sum()
+    half = 1.2815515655446 * spread * np.sqrt(1 + 1 / 31 + (ahead - t.mean()) ** 2 / sxx)
+    for models in (("LinearTrend",), ("LinearTrend", "SeasonalNaive")):
+        out = forecast(sales(spark, rows), replace(cfg, active_models=models)).collect()
+        lines = [r for r in out if r.group_id == "1_1" and r.model_name == "LinearTrend"]
+        lines.sort(key=lambda r: r.ds)
+        assert np.allclose([r.y_upper - r.y_pred for r in lines], half)
+        assert np.allclose([r.y_pred - r.y_lower for r in lines], half)
+        others = [r for r in out if r not in lines]
+        assert others and all(r.y_lower is None and r.y_upper is None for r in others)
+    with pytest.raises(ValueError):
+        forecast(sales(spark, rows), config(models={"LinearTrend": {"interval_width": 1.5}}))
