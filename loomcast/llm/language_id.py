@@ -1,271 +1,394 @@
 """Language identification by interpolated Kneser-Ney character models.
 
 Kneser and Ney, "Improved Backing-off for M-gram Language Modeling" (1995), in
-the interpolated form of Chen and Goodman (1999), over four-grams of character
-classes. Counting is a map with local sums and one small shuffle; it covers every
-training text. The model of each order is one sorted array of n-gram keys with a
-row of log probabilities, a column per language. A text goes to the language with
-the lowest cross-entropy per character; its margin gives a calibrated score, and
-texts that no model explains are marked as rejected.
+the interpolated form of Chen and Goodman (1999), over four-grams of code points.
+Counts, continuation counts, discounts and probabilities are joins and sums over
+tables of n-grams; they cover every training text and nothing of them passes through
+the driver. The result holds, for every four-gram of the collection, a 64-bit hash and
+its log probability in each language. Texts look their four-grams up in the arrays of
+that table, sorted by hash, where its measured size allows to send it to the tasks, and
+are joined with it where not. A text goes to the language with the lowest cross-entropy
+per character; its margin gives a calibrated score, and texts that no model explains are
+marked as rejected.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import unicodedata
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructType
 
-from loomcast.llm.common import held_out, slices
+from loomcast.llm.common import GOLDEN, Scratch, held_out, mix64
 
 ORDER = 4
-BITS = 6
-N_CLASSES = 1 << BITS
-#: Class 0 is everything but letters, 1 to 26 are a to z, the rest share 37 classes.
-_OTHERS = N_CLASSES - 27
+#: Bits of a code point; three of them fit into one integer.
+BITS = 21
+_UNKNOWN = 255
 
 
 @dataclass(frozen=True)
 class LanguageSettings:
-    """``calibration_rows`` bounds the texts that fit the score's two numbers.
+    """``calibration_rows`` bounds the texts that fit the score's three numbers.
 
-    A language's n-gram table has at most 64 ** 4 keys, as characters fall into
-    64 classes; real alphabets fill about 1 % of it. ``accept`` is the share of
-    calibration texts whose cross-entropy must stay below the rejection limit.
+    The table of four-grams is sent to the tasks if it takes at most
+    ``broadcast_bytes`` there; a larger one is joined by a shuffle, with equal results.
+    ``accept`` is the share of calibration texts whose cross-entropy must stay below
+    the rejection limit.
     """
 
     calibration_rows: int = 2000
     accept: float = 0.995
+    broadcast_bytes: int = 96 << 20
 
 
-def _class_table() -> np.ndarray:
-    """Class of each code point; 255 marks those not looked at yet."""
-    return np.full(0x110000, 255, dtype=np.uint8)
+#: 2 for letters, 1 for marks that belong to letters, 0 for the rest.
+_kinds = np.full(0x110000, _UNKNOWN, dtype=np.uint8)
 
 
-_classes = _class_table()
+def _kind(char: str) -> int:
+    return 2 if char.isalpha() else int(unicodedata.category(char).startswith("M"))
 
 
 def encode(text: str | None) -> np.ndarray:
-    """Character classes of the lower-cased text, one 0 between runs of letters."""
+    """Code points of the lower-cased text, one 0 between runs of letters and at the ends.
+
+    A text without a letter gives none.
+    """
     if not text:
-        return np.zeros(0, dtype=np.uint8)
+        return np.zeros(0, dtype=np.int64)
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    found = _classes[points]
-    if (found == 255).any():
-        for point in np.unique(points[found == 255]).tolist():
-            char = chr(point)
-            if "a" <= char <= "z":
-                _classes[point] = point - 96
-            else:
-                _classes[point] = 27 + point % _OTHERS if char.isalpha() else 0
-        found = _classes[points]
-    if not found.any():
-        return np.zeros(0, dtype=np.uint8)
-    padded = np.concatenate([np.zeros(1, np.uint8), found, np.zeros(1, np.uint8)])
+    kinds = _kinds[points]
+    if (kinds == _UNKNOWN).any():
+        for point in np.unique(points[kinds == _UNKNOWN]).tolist():
+            _kinds[point] = _kind(chr(point))
+        kinds = _kinds[points]
+    if not (kinds == 2).any():
+        return np.zeros(0, dtype=np.int64)
+    found = np.where(kinds > 0, points, 0).astype(np.int64)
+    padded = np.concatenate([np.zeros(1, np.int64), found, np.zeros(1, np.int64)])
     return padded[np.concatenate([[True], (padded[1:] | padded[:-1]) > 0])]
 
 
-def ngram_keys(codes: np.ndarray) -> np.ndarray:
-    """Packed four-grams; one per character after the first three."""
+def ngrams(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Four-grams as their first three code points in one integer, and their last."""
     if len(codes) < ORDER:
-        codes = np.concatenate([np.zeros(ORDER - len(codes), np.uint8), codes])
-    wide = codes.astype(np.uint32)
-    key = np.zeros(len(wide) - ORDER + 1, dtype=np.uint32)
-    for i in range(ORDER):
-        key = (key << BITS) | wide[i : len(wide) - ORDER + 1 + i]
-    return key
+        codes = np.concatenate([np.zeros(ORDER - len(codes), np.int64), codes])
+    head = codes[:-3] << 2 * BITS | codes[1:-2] << BITS | codes[2:-1]
+    return head, codes[3:]
+
+
+def ngram_hash(head: np.ndarray, last: np.ndarray) -> np.ndarray:
+    mixed = mix64(head.view(np.uint64) + GOLDEN) ^ last.view(np.uint64)
+    return mix64(mixed + GOLDEN).view(np.int64)
 
 
-def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, inverse = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    counts = np.bincount(inverse, weights=np.concatenate([n for _, n in parts]))
-    return keys, counts.astype(np.int64)
+def _merge(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    key, head, last, n = (np.concatenate(columns) for columns in zip(*parts, strict=True))
+    key, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+    return key, head[first], last[first], np.bincount(inverse, weights=n).astype(np.int64)
+
+
+def _counted(head: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, ...]:
+    key, first, n = np.unique(ngram_hash(head, last), return_index=True, return_counts=True)
+    return key, head[first], last[first], n
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of four-grams of one partition by language and fold.
 
-    Sums are handed on when they reach a few million keys, so memory does not
+    Sums are handed on when they reach a few million n-grams, so memory does not
     grow with the number of languages; the shuffle adds them up.
     """
-    totals: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]] = {}
+    totals: dict[tuple[str | None, int], tuple[np.ndarray, ...]] = {}
 
     def flush():
-        for (lang, fold), (keys, counts) in totals.items():
+        for (lang, fold), (key, head, last, n) in totals.items():
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([lang] * len(keys), pa.string()),
-                    pa.array(np.full(len(keys), fold, np.int32)),
-                    pa.array(keys.astype(np.int32)),
-                    pa.array(counts),
+                    pa.array([lang] * len(key), pa.string()),
+                    pa.array(np.full(len(key), fold, np.int32)),
+                    pa.array(key), pa.array(head), pa.array(last), pa.array(n),
                 ],
-                names=["lang", "fold", "gram", "n"],
+                names=["lang", "fold", "key", "head", "last", "n"],
             )
         totals.clear()
 
+    fresh: dict[tuple[str | None, int], list[tuple[np.ndarray, ...]]] = {}
+    held = 0
+
+    def settle():
+        for group, parts in fresh.items():
+            new = _counted(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+            totals[group] = _merge([totals[group], new]) if group in totals else new
+        fresh.clear()
+
     for batch in batches:
-        texts, langs, folds = (batch.column(i).to_pylist() for i in range(3))
-        for start, end in slices(texts):
-            grouped: dict[tuple[str, int], list[np.ndarray]] = {}
-            for i in range(start, end):
-                codes = encode(texts[i])
-                if len(codes):
-                    grouped.setdefault((langs[i], folds[i]), []).append(ngram_keys(codes))
-            for group, parts in grouped.items():
-                new = np.unique(np.concatenate(parts), return_counts=True)
-                totals[group] = _merge([totals[group], new]) if group in totals else new
-            if sum(len(keys) for keys, _ in totals.values()) > 2_000_000:
-                yield from flush()
+        # One text at a time becomes a Python object, however long the others are.
+        for row in zip(*(batch.column(i) for i in range(3)), strict=True):
+            text, lang, fold = (value.as_py() for value in row)
+            codes = encode(text)
+            if len(codes):
+                fresh.setdefault((lang, fold), []).append(ngrams(codes))
+                held += len(codes)
+            if held > 1 << 20:
+                settle()
+                held = 0
+                if sum(len(x[0]) for x in totals.values()) > 2_000_000:
+                    yield from flush()
+    settle()
     yield from flush()
 
 
-def kneser_ney(keys: np.ndarray, counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, dict]]:
-    """Per order: sorted keys, their interpolated probabilities, context weights.
+def count_ngrams(rows: DataFrame) -> DataFrame:
+    """Counts of four-grams by ``lang`` and ``fold`` over ``text``, ``lang``, ``fold``."""
+    sums = rows.select("text", "lang", "fold").mapInArrow(
+        _count, "lang string, fold int, key long, head long, last long, n long"
+    )
+    return sums.groupBy("lang", "fold", "head", "last", "key").agg(F.sum("n").alias("n"))
+
+
+def _tail(gram: str, order: int) -> Column:
+    """The n-gram of ``order`` without its first character, or the last ``order`` of it."""
+    return F.col(gram).bitwiseAND(F.lit((1 << BITS * order) - 1))
 
-    Lower orders count the distinct characters before an n-gram. The context
-    weight is the mass a context leaves to the next lower order.
+
+def kneser_ney(counts: DataFrame, asked: DataFrame) -> DataFrame:
+    """Interpolated probabilities ``p`` of the ``asked`` four-grams in every model.
+
+    ``counts``: ``model``, ``head``, ``last``, ``n``. ``asked``: ``model``, ``head``,
+    ``last``. Lower orders count the distinct characters before an n-gram. A context
+    leaves the mass that discounts free to the next lower order, an unseen context all.
+    The lowest order leaves it to equal shares of all characters seen in any model and
+    one for all others.
     """
-    levels = []
-    for order in range(ORDER, 0, -1):
-        levels.append((keys, counts))
+    third = (_tail("head", 2) * F.lit(1 << BITS) + F.col("last")).alias("gram")
+    levels = [counts.select("model", F.col("head").alias("context"), "last", "n")]
+    below = counts.select("model", third)
+    grams = [asked.select("model", F.col("head").alias("context"), "last"),
+             asked.select("model", third).distinct()]
+    for order in (3, 2, 1):
+        own = below.groupBy("model", "gram").agg(F.count("*").alias("n"))
+        levels.append(own)
+        below = own.select("model", _tail("gram", order - 1).alias("gram"))
         if order > 1:
-            shorter = keys & np.uint32((1 << BITS * (order - 1)) - 1)
-            keys, counts = np.unique(shorter, return_counts=True)
-    out = []
-    lower_keys, lower_p = None, None
-    for level, (keys, counts) in enumerate(reversed(levels)):
-        order = level + 1
-        n1, n2 = int((counts == 1).sum()), int((counts == 2).sum())
-        discount = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
-        context, inverse = np.unique(keys >> np.uint32(BITS), return_inverse=True)
-        total = np.bincount(inverse, weights=counts)
-        spare = discount * np.bincount(inverse) / total
-        own = (counts - discount) / total[inverse]
+            shorter = _tail("gram", order - 1).alias("gram")
+            grams.append(grams[-1].select("model", shorter).distinct())
+    alphabet = levels[3].agg(F.count_distinct("gram") + 1).scalar()
+
+    p = None
+    for order in (1, 2, 3, 4):
+        own, wanted = levels[4 - order], grams[4 - order]
+        if order < 4:
+            split = [F.shiftright("gram", BITS).alias("context"),
+                     F.col("gram").bitwiseAND(F.lit((1 << BITS) - 1)).alias("last")]
+            own = own.select("model", *split, "n")
+            wanted = wanted.select("model", *split)
+        once, twice = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+        discounts = own.groupBy("model").agg(
+            F.when((once > 0) & (twice > 0), once / (once + 2 * twice)).otherwise(0.5).alias("d")
+        )
+        contexts = (
+            own.groupBy("model", "context")
+            .agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+            .join(discounts, "model")
+        )
+        # One key, the context, serves the mass that is left and the share of its own.
+        rated = (
+            wanted.join(contexts, ["model", "context"], "left")
+            .join(own, ["model", "context", "last"], "left")
+            .select(
+                "model", "context", "last",
+                F.coalesce((F.col("n") - F.col("d")) / F.col("total"), F.lit(0.0)).alias("seen"),
+                F.coalesce(F.col("d") * F.col("kinds") / F.col("total"), F.lit(1.0)).alias("spare"),
+            )
+        )
+        gram = F.col("context") * F.lit(1 << BITS) + F.col("last")
         if order == 1:
-            p = own + spare[inverse] / N_CLASSES
+            lower = rated.withColumn("lower", F.lit(1.0) / alphabet)
+        else:
+            shorter = gram if order < 4 else _tail("context", 2) * F.lit(1 << BITS) + F.col("last")
+            lower = rated.withColumn("gram", shorter).withColumn("gram", _tail("gram", order - 1))
+            lower = lower.join(p, ["model", "gram"])
+        value = (F.col("seen") + F.col("spare") * F.col("lower")).alias("p")
+        if order < 4:
+            p = lower.select("model", gram.alias("gram"), value.alias("lower"))
         else:
-            shorter = keys & np.uint32((1 << BITS * (order - 1)) - 1)
-            p = own + spare[inverse] * lower_p[np.searchsorted(lower_keys, shorter)]
-        out.append((keys, p, {"context": context, "spare": spare}))
-        lower_keys, lower_p = keys, p
-    return out
+            p = lower.select("model", F.col("context").alias("head"), "last", value)
+    return p
 
 
+@dataclass
 class LanguageModel:
-    """The models of all languages over shared sorted key arrays."""
-
-    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]]):
-        self.langs = sorted(counts)
-        own = {lang: kneser_ney(*counts[lang]) for lang in self.langs}
-        self.keys, self.logp = [], []
-        self.base = np.array([own[x][0][2]["spare"][0] / N_CLASSES for x in self.langs])
-        for level in range(ORDER):
-            keys = np.unique(np.concatenate([own[x][level][0] for x in self.langs]))
-            p = np.empty((len(keys), len(self.langs)))
-            for j, lang in enumerate(self.langs):
-                p[:, j] = self._lower(own[lang], level, keys, j)
-                known, values, _ = own[lang][level]
-                p[np.searchsorted(keys, known), j] = values
-            self.keys.append(keys)
-            self.logp.append(p)
-        self.spare = [
-            [own[x][level][2] for x in self.langs] for level in range(ORDER)
-        ]
-        self.logp[-1] = np.log2(self.logp[-1]).astype(np.float32)
-        self.slope, self.offset, self.limit = 1.0, 0.0, np.inf
-
-    def _lower(self, own, level: int, keys: np.ndarray, j: int) -> np.ndarray:
-        """Probability of n-grams that the language has not seen at this order."""
-        if level == 0:
-            return np.full(len(keys), self.base[j])
-        shorter = keys & np.uint32((1 << BITS * level) - 1)
-        at = np.searchsorted(self.keys[level - 1], shorter)
-        at = np.minimum(at, len(self.keys[level - 1]) - 1)
-        below = self.logp[level - 1][at, j]
-        missing = self.keys[level - 1][at] != shorter
-        if missing.any():
-            below[missing] = self._lower(own, level - 1, shorter[missing], j)
-        return below * _spare(own[level][2], keys)
-
-    def entropies(self, codes: np.ndarray) -> np.ndarray:
-        """Bits per character under each language."""
-        keys = ngram_keys(codes)
-        top = self.keys[-1]
-        at = np.minimum(np.searchsorted(top, keys), len(top) - 1)
-        seen = top[at] == keys
-        total = self.logp[-1][at[seen]].sum(axis=0, dtype=np.float64)
-        if not seen.all():
-            rest = keys[~seen]
-            for j in range(len(self.langs)):
-                own = [(None, None, self.spare[level][j]) for level in range(ORDER)]
-                below = self._lower(own, ORDER - 1, rest, j)
-                total[j] += np.log2(below).sum()
-        return -total / len(keys)
-
-    def predict(self, text: str | None) -> tuple[str, float, float, bool]:
-        """Language, score, bits per character, rejected."""
-        codes = encode(text)
-        if not len(codes) or not self.langs:
-            return "und", 0.0, float("nan"), True
-        bits = self.entropies(codes)
-        best = int(np.argmin(bits))
-        return (
-            self.langs[best],
-            float(1 / (1 + np.exp(-(self.slope * self._margin(bits, len(codes)) + self.offset)))),
-            float(bits[best]),
-            bool(bits[best] > self.limit),
-        )
+    """Log probabilities of the collection's four-grams and the numbers of the score.
 
-    @staticmethod
-    def _margin(bits: np.ndarray, length: int) -> float:
-        """Gap between the two best languages, growing with the text's length."""
-        if len(bits) < 2:
-            return 0.0
-        best, second = np.sort(bits)[:2]
-        return float(np.log2(1 + (second - best) * length))
-
-    def calibrate(self, rows: list[tuple[str | None, str]], accept: float) -> None:
-        """Logistic fit of "is right" on the margin; rejection limit from right texts."""
-        margins, right, bits_of_right = [], [], []
-        for text, lang in rows:
-            codes = encode(text)
-            if not len(codes):
-                continue
-            bits = self.entropies(codes)
-            hit = self.langs[int(np.argmin(bits))] == lang
-            margins.append(self._margin(bits, len(codes)))
-            right.append(float(hit))
-            if hit:
-                bits_of_right.append(float(bits.min()))
-        if bits_of_right:
-            self.limit = float(np.quantile(bits_of_right, accept)) * 1.05
-        if margins:
-            x, y = np.array(margins), np.array(right)
-            # One row of each kind at margin 0 keeps the fit finite when all are right.
-            x, y = np.append(x, [0.0, 0.0]), np.append(y, [0.0, 1.0])
-            w = np.zeros(2)
-            design = np.column_stack([x, np.ones_like(x)])
-            for _ in range(50):
-                p = 1 / (1 + np.exp(-design @ w))
-                hessian = (design * (p * (1 - p))[:, None]).T @ design + 1e-2 * np.eye(2)
-                step = np.linalg.solve(hessian, design.T @ (y - p) - 1e-2 * w)
-                w += step
-                if np.abs(step).max() < 1e-9:
-                    break
-            self.slope, self.offset = max(float(w[0]), 1e-3), float(w[1])
-
-
-def _spare(weights: dict, keys: np.ndarray) -> np.ndarray:
-    """What the contexts of these keys leave to the lower order; unseen ones leave all."""
-    context = keys >> np.uint32(BITS)
-    known = weights["context"]
-    at = np.minimum(np.searchsorted(known, context), len(known) - 1)
-    return np.where(known[at] == context, weights["spare"][at], 1.0)
+    ``grams`` holds ``key`` and ``logs``, an array with one entry per language for the
+    models of all training texts, then one per language for those of fold 2 alone.
+    """
+
+    langs: list[str]
+    grams: DataFrame | None
+    slope: float = 1.0
+    offset: float = 0.0
+    limit: float = float("inf")
+
+
+def fit_tables(rows: DataFrame, scratch: Scratch) -> LanguageModel:
+    """The n-gram tables of ``rows`` (``text``, ``lang``, ``fold``).
+
+    Rows without a language only name four-grams that texts will ask for. The
+    languages themselves go to the driver: one short text each.
+    """
+    counts = scratch.save(count_ngrams(rows), "counts")
+    known = counts.where("lang is not null")
+    langs = [r.lang for r in known.select("lang").distinct().orderBy("lang").collect()]
+    if not langs:
+        return LanguageModel([], None)
+    index = F.array_position(F.lit(langs), F.col("lang")).cast("int") - 1
+    models = F.when(F.col("fold") == 2, F.array(index, index + len(langs))).otherwise(
+        F.array(index)
+    )
+    trained = (
+        known.select(F.explode(models).alias("model"), "head", "last", "n")
+        .groupBy("model", "head", "last").agg(F.sum("n").alias("n"))
+    )
+    trained = scratch.save(trained, "trained")
+    asked = scratch.save(counts.select("head", "last", "key").distinct(), "asked")
+    each = asked.select(
+        F.explode(F.sequence(F.lit(0), F.lit(2 * len(langs) - 1))).alias("model"), "head", "last"
+    )
+    p = kneser_ney(trained, each)
+    by_model = F.array_sort(F.collect_list(F.struct("model", F.log2("p").alias("log"))))
+    logs = p.groupBy("head", "last").agg(by_model["log"].alias("logs"))
+    grams = asked.join(logs, ["head", "last"]).select("key", "logs")
+    return LanguageModel(langs, scratch.save(grams, "grams"))
+
+
+def gram_logs(
+    rows: DataFrame, model: LanguageModel, half: bool, settings: LanguageSettings
+) -> DataFrame:
+    """``rows`` with ``n_grams`` of ``text`` and ``logs``, their summed logs by language.
+
+    Texts without a letter have 0 and no sums. ``text`` is dropped.
+    """
+    n_langs = len(model.langs)
+    size = model.grams.count() * (8 + 4 * n_langs)
+    if size <= settings.broadcast_bytes:
+        return _looked_up(rows, model, half)
+    return _joined(rows, model, half)
+
+
+def _looked_up(rows: DataFrame, model: LanguageModel, half: bool) -> DataFrame:
+    n_langs = len(model.langs)
+    logs = F.slice("logs", n_langs + 1 if half else 1, n_langs).cast("array<float>")
+    # Bounded by broadcast_bytes.
+    table = model.grams.select("key", logs.alias("logs")).toArrow()
+    key = table.column("key").to_numpy()
+    values = table.column("logs").combine_chunks().flatten().to_numpy().reshape(-1, n_langs)
+    order = np.argsort(key)
+    state = rows.sparkSession.sparkContext.broadcast((key[order], values[order]))
+
+    def of(codes: np.ndarray) -> tuple[int, list[float] | None]:
+        keys, values = state.value
+        if not len(codes):
+            return 0, None
+        found = np.searchsorted(keys, ngram_hash(*ngrams(codes)))
+        return len(found), values[found].sum(axis=0, dtype=np.float64).tolist()
+
+    made = StructType().add("n_grams", "long").add("logs", ArrayType(DoubleType()))
+    return _mapped(rows, of, made)
+
+
+def _joined(rows: DataFrame, model: LanguageModel, half: bool) -> DataFrame:
+    n_langs = len(model.langs)
+
+    def of(codes: np.ndarray) -> tuple[int, list[int] | None, list[int] | None]:
+        if not len(codes):
+            return 0, None, None
+        keys, counts = np.unique(ngram_hash(*ngrams(codes)), return_counts=True)
+        return int(counts.sum()), keys.tolist(), counts.tolist()
+
+    scratch = Scratch(rows.sparkSession, "language-join")
+    made = StructType().add("n_grams", "long").add("keys", ArrayType(LongType()))
+    numbered = rows.withColumn("_row", F.monotonically_increasing_id())
+    # Written once, so that a task that runs again cannot number its rows anew.
+    made = made.add("counts", ArrayType(LongType()))
+    texts = scratch.save(_mapped(numbered, of, made), "texts")
+    pairs = texts.select("_row", F.explode(F.arrays_zip("keys", "counts")).alias("g"))
+    shift = n_langs if half else 0
+    sums = (
+        pairs.select("_row", F.col("g.keys").alias("key"), F.col("g.counts").alias("n"))
+        .join(model.grams, "key")
+        .groupBy("_row")
+        .agg(*[
+            F.sum(F.col("n") * F.get("logs", F.lit(shift + i))).alias(f"_{i}")
+            for i in range(n_langs)
+        ])
+        .select("_row", F.array(*[f"_{i}" for i in range(n_langs)]).alias("logs"))
+    )
+    return texts.drop("keys", "counts").join(sums, "_row", "left").drop("_row")
+
+
+def _mapped(rows: DataFrame, of: Callable, made: StructType) -> DataFrame:
+    """Replace ``text`` by the columns ``of`` makes of its code points."""
+    kept = [c for c in rows.columns if c != "text"]
+    types = [to_arrow_type(field.dataType) for field in made]
+    schema = StructType([rows.schema[c] for c in kept] + made.fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [of(encode(text.as_py())) for text in batch.column("text")]
+            columns = zip(*found, strict=True) if found else [[] for _ in types]
+            new = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in kept] + new, names=schema.names
+            )
+
+    return rows.mapInArrow(run, schema)
+
+
+def _margin(bits: np.ndarray, length: int) -> float:
+    """Gap between the two best languages, growing with the text's length."""
+    if len(bits) < 2:
+        return 0.0
+    best, second = np.sort(bits)[:2]
+    return float(np.log2(1 + (second - best) * length))
+
+
+def calibrate(model: LanguageModel, rows: list[tuple], accept: float) -> None:
+    """Logistic fit of "is right" on the margin; rejection limit from right texts.
+
+    ``rows`` are (language, four-grams, summed logs by language).
+    """
+    margins, right, bits_of_right = [], [], []
+    for lang, n_grams, logs in rows:
+        bits = -np.array(logs) / n_grams
+        hit = model.langs[int(np.argmin(bits))] == lang
+        margins.append(_margin(bits, n_grams))
+        right.append(float(hit))
+        if hit:
+            bits_of_right.append(float(bits.min()))
+    if bits_of_right:
+        model.limit = float(np.quantile(bits_of_right, accept)) * 1.05
+    if margins:
+        # One row of each kind at margin 0 keeps the fit finite when all are right.
+        x, y = np.append(margins, [0.0, 0.0]), np.append(right, [0.0, 1.0])
+        w = np.zeros(2)
+        design = np.column_stack([x, np.ones_like(x)])
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-design @ w))
+            hessian = (design * (p * (1 - p))[:, None]).T @ design + 1e-2 * np.eye(2)
+            step = np.linalg.solve(hessian, design.T @ (y - p) - 1e-2 * w)
+            w += step
+            if np.abs(step).max() < 1e-9:
+                break
+        model.slope, model.offset = max(float(w[0]), 1e-3), float(w[1])
 
 
 def fit_languages(
@@ -277,55 +400,28 @@ def fit_languages(
     final models count both folds.
     """
     digest = F.crc32(F.col("doc_id").cast("string").cast("binary"))
-    rows = documents.select(
-        "text",
-        F.col("lang").cast("string").alias("lang"),
-        F.coalesce(F.pmod(digest, F.lit(3)), F.lit(0)).cast("int").alias("fold"),
-        "doc_id",
-    ).where("lang is not null and text is not null and fold <> 1")
-    counts = (
-        rows.select("text", "lang", "fold")
-        .mapInArrow(_count, "lang string, fold int, gram int, n long")
-        .groupBy("lang", "fold", "gram")
-        .agg(F.sum("n").alias("n"))
-        .toArrow()
+    fold = F.coalesce(F.pmod(digest, F.lit(3)), F.lit(0)).cast("int")
+    lang = F.when(F.col("fold") != 1, F.col("lang").cast("string")).alias("lang")
+    rows = (
+        documents.select("text", "lang", fold.alias("fold"), "doc_id")
+        .where("text is not null").select("text", lang, "fold", "doc_id")
     )
-    table = {
-        name: counts.column(name).to_numpy(zero_copy_only=False)
-        for name in ("lang", "fold", "gram", "n")
-    }
-
-    def model(folds: tuple[int, ...]) -> LanguageModel:
-        own = {}
-        chosen = np.isin(table["fold"], folds)
-        for lang in sorted(set(table["lang"][chosen])):
-            at = chosen & (table["lang"] == lang)
-            keys, inverse = np.unique(table["gram"][at].astype(np.uint32), return_inverse=True)
-            own[lang] = keys, np.bincount(inverse, weights=table["n"][at]).astype(np.int64)
-        return LanguageModel(own) if own else _NoModel()
-
-    full, half = model((0, 2)), model((2,))
-    if half.langs:
+    model = fit_tables(rows, Scratch(documents.sparkSession, "language"))
+    if model.langs:
         # The ids are chosen first, so that only the chosen texts move.
+        known = rows.where("fold = 0 and lang is not null")
         rank, limit = F.xxhash64("doc_id"), settings.calibration_rows
         chosen = (
-            rows.where("fold = 0 and doc_id is not null").select("doc_id").distinct()
+            known.where("doc_id is not null").select("doc_id").distinct()
             .orderBy(rank, "doc_id").limit(limit)
         )
         sample = (
-            rows.where("fold = 0").join(F.broadcast(chosen), "doc_id")
+            known.join(F.broadcast(chosen), "doc_id")
             .orderBy(rank, "doc_id").limit(limit).select("text", "lang")
         )
-        half.calibrate([tuple(r) for r in sample.toLocalIterator()], settings.accept)
-        full.slope, full.offset, full.limit = half.slope, half.offset, half.limit
-    return full
-
-
-class _NoModel(LanguageModel):
-    """Nothing was learned: every text is undetermined."""
-
-    def __init__(self):
-        self.langs, self.slope, self.offset, self.limit = [], 1.0, 0.0, np.inf
+        seen = gram_logs(sample, model, True, settings).where("n_grams > 0")
+        calibrate(model, [tuple(r) for r in seen.collect()], settings.accept)
+    return model
 
 
 def identify_languages(
@@ -336,21 +432,28 @@ def identify_languages(
     ``lang_pred`` is ``und`` with score 0 for null texts, texts without letters
     and when nothing could be learned. Other columns are ignored.
     """
-    state = documents.sparkSession.sparkContext.broadcast(fit_languages(documents, settings))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = state.value
-        for batch in batches:
-            found = [model.predict(text) for text in batch["text"].tolist()]
-            out = pd.DataFrame(found, columns=["lang_pred", "score", "bits", "rejected"])
-            out.insert(0, "held_out", batch["held_out"].to_numpy())
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield out
-
-    return documents.select(
-        "doc_id", held_out("doc_id", 3, 1).alias("held_out"), "text"
-    ).mapInPandas(
-        run,
-        "doc_id long, held_out boolean, lang_pred string, score double, bits double, "
-        "rejected boolean",
+    model = fit_languages(documents, settings)
+    base = documents.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "text")
+    if not model.langs:
+        return base.select(
+            "doc_id", "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"),
+            F.lit(float("nan")).alias("bits"), F.lit(True).alias("rejected"),
+        )
+    bits = F.transform("logs", lambda x: -x / F.col("n_grams"))
+    found = gram_logs(base, model, False, settings).withColumn("all_bits", bits)
+    ranked = F.array_sort("all_bits")
+    best = F.get(ranked, F.lit(0))
+    # With one language there is no second and the margin is 0.
+    gap = F.coalesce(F.get(ranked, F.lit(1)) - best, F.lit(0.0))
+    margin = F.log2(1 + gap * F.col("n_grams"))
+    score = 1 / (1 + F.exp(-(F.lit(model.slope) * margin + F.lit(model.offset))))
+    lang = F.get(F.lit(model.langs), (F.array_position("all_bits", best) - 1).cast("int"))
+    none = F.col("n_grams") == 0
+    return found.select(
+        "doc_id",
+        "held_out",
+        F.when(none, "und").otherwise(lang).alias("lang_pred"),
+        F.when(none, 0.0).otherwise(score).alias("score"),
+        F.when(none, float("nan")).otherwise(best).alias("bits"),
+        (none | (best > F.lit(model.limit))).alias("rejected"),
     )

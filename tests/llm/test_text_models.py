@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from loomcast.llm.language_id import (
     BITS,
-    N_CLASSES,
-    LanguageModel,
+    LanguageSettings,
     identify_languages,
     kneser_ney,
-    ngram_keys,
+    ngrams,
 )
 from loomcast.llm.language_id import encode as encode_letters
 from loomcast.llm.pii import base_spans, label_model, personal_data, span_classifier, span_code
@@ -60,18 +59,93 @@ def test_languages_of_odd_rows(spark):
     assert identify_languages(df.limit(0)).collect() == []
 
 
-def test_kneser_ney_probabilities_sum_to_one():
-    codes = encode_letters("the cat sat on the mat and the dog sat on the log " * 3)
-    keys, counts = np.unique(ngram_keys(codes), return_counts=True)
-    model = LanguageModel({"x": (keys, counts)})
-    own = kneser_ney(keys, counts)
-    for context in np.unique(keys >> np.uint32(BITS))[:5].tolist() + [12345]:
-        following = (np.uint32(context) << np.uint32(BITS)) + np.arange(N_CLASSES, dtype=np.uint32)
-        levels = [(None, None, own[i][2]) for i in range(4)]
-        p = model._lower(levels, 3, following, 0)
-        known = np.isin(own[3][0], following)
-        p[np.searchsorted(following, own[3][0][known])] = own[3][1][known]
-        assert p.sum() == pytest.approx(1, abs=1e-6)
+WORDS = {
+    "uk": "і він ївши їжу від ліс місто яких були після її дівчина вітер сніг рік",
+    "ru": "и он ещё был лес город которые было после её девушка ветер снег год мы",
+    "ja": "これは とても ながい みち です やま かわ そら うみ ひと カタカナ",
+    "ko": "나는 오늘 학교에 갔다 바람이 분다 우리 나라 사람 하늘 바다 산",
+    "zh": "我们 今天 学校 天空 大海 山水 人民 国家 城市 森林 春风",
+}
+
+
+def scripts(spark):
+    """Short texts, 40 a language; the language of every third is held out by its id."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for k, (lang, words) in enumerate(WORDS.items()):
+        for i in range(40):
+            rows.append((100 * k + i, " ".join(rng.choice(words.split(), 3)), lang, "a"))
+    return documents(spark, rows, clashes=False)
+
+
+def test_languages_of_other_scripts(spark):
+    df = scripts(spark)
+    rows = identify_languages(df).join(df.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in rows if r.held_out]
+    assert len(held) > 40 and all(r.lang_pred == r.lang for r in held)
+
+
+def test_joined_and_broadcast_tables_give_the_same(spark):
+    df = scripts(spark).unionByName(documents(spark, clashes=False))
+    one = identify_languages(df).collect()
+    two = identify_languages(df, LanguageSettings(broadcast_bytes=0)).collect()
+    assert len(one) == len(two) == df.count()
+    key = lambda r: (r.doc_id is None, r.doc_id, r.bits if r.bits == r.bits else -1)
+    for a, b in zip(sorted(one, key=key), sorted(two, key=key)):
+        assert (a.doc_id, a.lang_pred, a.rejected) == (b.doc_id, b.lang_pred, b.rejected)
+        assert a.score == pytest.approx(b.score, abs=1e-4)
+
+
+def plain_kneser_ney(text):
+    """Probabilities by dictionaries over tuples of characters."""
+    from collections import Counter, defaultdict
+
+    head, last = ngrams(encode_letters(text))
+    mask = (1 << BITS) - 1
+    grams = [(h >> 2 * BITS, h >> BITS & mask, h & mask, z)
+             for h, z in zip(head.tolist(), last.tolist())]
+    levels = {4: Counter(grams)}
+    for order in (3, 2, 1):
+        levels[order] = Counter(g[1:] for g in levels[order + 1])
+    alphabet = len(levels[1]) + 1
+
+    def rate(gram):
+        if not gram:
+            return 1 / alphabet
+        counts = levels[len(gram)]
+        ones, twos = (sum(n == k for n in counts.values()) for k in (1, 2))
+        d = ones / (ones + 2 * twos) if ones and twos else 0.5
+        mine = {g[-1]: n for g, n in counts.items() if g[:-1] == gram[:-1]}
+        if not mine:
+            return rate(gram[1:])
+        total = sum(mine.values())
+        own = (mine[gram[-1]] - d) / total if gram[-1] in mine else 0.0
+        return own + d * len(mine) / total * rate(gram[1:])
+
+    return grams, sorted(levels[1]), rate
+
+
+def test_kneser_ney_equals_dictionaries_and_sums_to_one(spark):
+    text = "the cat sat on the mat, та пес і кіт the dog sat on the log"
+    grams, letters, rate = plain_kneser_ney(text)
+    letters = [x[0] for x in letters] + [0x3042]  # the last one for all that are unseen
+    contexts = {g[:3] for g in grams[::7]} | {(1, 2, 3), grams[5][1:], (7, *grams[9][2:])}
+    pack = lambda c: c[0] << 2 * BITS | c[1] << BITS | c[2]
+    counted = {}
+    for g in grams:
+        counted[g] = counted.get(g, 0) + 1
+    counts = spark.createDataFrame(
+        [(0, pack(g), g[3], n) for g, n in counted.items()],
+        "model int, head long, last long, n long",
+    )
+    asked = [(0, pack(c), z) for c in contexts for z in letters]
+    found = kneser_ney(counts, spark.createDataFrame(asked, "model int, head long, last long"))
+    found = {(r["head"], r["last"]): r["p"] for r in found.collect()}
+    assert len(found) == len(asked)
+    for c in contexts:
+        for z in letters:
+            assert found[pack(c), z] == pytest.approx(rate((*c, z)), abs=1e-12)
+        assert sum(found[pack(c), z] for z in letters) == pytest.approx(1, abs=1e-9)
 
 
 SPANS = [
