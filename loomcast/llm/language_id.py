@@ -85,8 +85,7 @@ def ngrams(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def ngram_hash(head: np.ndarray, last: np.ndarray) -> np.ndarray:
-    mixed = mix64(head.view(np.uint64) + GOLDEN) ^ last.view(np.uint64)
-    return mix64(mixed + GOLDEN).view(np.int64)
+    return mix64(head.view(np.uint64) ^ (last.view(np.uint64) + np.uint64(1)) * GOLDEN).view(np.int64)
 
 
 def _merge(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
@@ -95,9 +94,31 @@ def _merge(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     return key, head[first], last[first], np.bincount(inverse, weights=n).astype(np.int64)
 
 
-def _counted(head: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, ...]:
-    key, first, n = np.unique(ngram_hash(head, last), return_index=True, return_counts=True)
-    return key, head[first], last[first], n
+def _counted(texts: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """Hash, head, last and count of the distinct four-grams of encoded texts."""
+    codes = np.concatenate([np.pad(x, (max(ORDER - len(x), 0), 0)) for x in texts])
+    letters = np.unique(codes)
+    if len(letters) > 1 << 16:
+        span = (1 << 16) - ORDER + 1
+        starts = ((x, i) for x in texts for i in range(0, max(len(x) - ORDER + 1, 1), span))
+        pieces = (x[i : i + (1 << 16)] for x, i in starts)
+        return _merge([_counted([x]) for x in pieces])
+    # Four places among the letters fit into one integer that sorts fast.
+    places = np.searchsorted(letters, codes).astype(np.uint64)
+    packed = np.zeros(len(codes) - ORDER + 1, np.uint64)
+    for i in range(ORDER):
+        packed = packed << np.uint64(16) | places[i : len(codes) - ORDER + 1 + i]
+    within = np.ones(len(packed), bool)
+    ends = np.cumsum([max(len(x), ORDER) for x in texts])[:-1]
+    for i in range(1, ORDER):
+        within[ends - i] = False
+    packed, n = np.unique(packed[within], return_counts=True)
+    first, second, third, last = (
+        letters[(packed >> np.uint64(16 * i) & np.uint64(0xFFFF)).astype(np.int64)]
+        for i in (3, 2, 1, 0)
+    )
+    head = first << 2 * BITS | second << BITS | third
+    return ngram_hash(head, last), head, last, n
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,12 +141,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
         totals.clear()
 
-    fresh: dict[tuple[str | None, int], list[tuple[np.ndarray, ...]]] = {}
+    fresh: dict[tuple[str | None, int], list[np.ndarray]] = {}
     held = 0
 
     def settle():
         for group, parts in fresh.items():
-            new = _counted(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+            new = _counted(parts)
             totals[group] = _merge([totals[group], new]) if group in totals else new
         fresh.clear()
 
@@ -135,7 +156,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text, lang, fold = (value.as_py() for value in row)
             codes = encode(text)
             if len(codes):
-                fresh.setdefault((lang, fold), []).append(ngrams(codes))
+                fresh.setdefault((lang, fold), []).append(codes)
                 held += len(codes)
             if held > 1 << 20:
                 settle()
@@ -298,8 +319,8 @@ def _looked_up(rows: DataFrame, model: LanguageModel, half: bool) -> DataFrame:
         keys, values = state.value
         if not len(codes):
             return 0, None
-        found = np.searchsorted(keys, ngram_hash(*ngrams(codes)))
-        return len(found), values[found].sum(axis=0, dtype=np.float64).tolist()
+        found, n = np.unique(ngram_hash(*ngrams(codes)), return_counts=True)
+        return int(n.sum()), (n @ values[np.searchsorted(keys, found)]).tolist()
 
     made = StructType().add("n_grams", "long").add("logs", ArrayType(DoubleType()))
     return _mapped(rows, of, made)

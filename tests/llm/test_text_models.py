@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from loomcast.llm.language_id import (
     BITS,
     LanguageSettings,
+    _counted,
     identify_languages,
     kneser_ney,
+    ngram_hash,
     ngrams,
 )
 from loomcast.llm.language_id import encode as encode_letters
@@ -96,6 +98,18 @@ def test_joined_and_broadcast_tables_give_the_same(spark):
         assert a.score == pytest.approx(b.score, abs=1e-4)
 
 
+def test_counts_of_many_letters_and_short_texts():
+    rng = np.random.default_rng(3)
+    texts = [np.r_[0, rng.permutation(100_000) + 1, 0], np.array([0, 97, 0]), np.array([0, 98, 97, 0])]
+    key, head, last, n = _counted(texts * 2)
+    want = {}
+    for text in texts:
+        for gram in zip(*(x.tolist() for x in ngrams(text))):
+            want[gram] = want.get(gram, 0) + 2
+    assert dict(zip(zip(head.tolist(), last.tolist()), n.tolist())) == want
+    assert (key == ngram_hash(head, last)).all()
+
+
 def plain_kneser_ney(text):
     """Probabilities by dictionaries over tuples of characters."""
     from collections import Counter, defaultdict
