@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import decimal
+import numbers
 from collections.abc import Callable, Mapping
 from dataclasses import replace
 from typing import Any
@@ -320,9 +323,9 @@ def attempt(
         if dates.empty:
             return pd.DataFrame({"x": [], "y_pred": []}), None
         result = fresh.forecast(dates)
-        absent = {"ds", "y_pred"} - set(result.columns)
-        if absent:
-            return None, f"forecast lacks columns {sorted(absent)}"
+        broken = broken_contract(result)
+        if broken:
+            return None, broken
         ds = pd.to_datetime(result["ds"]).to_numpy("datetime64[us]")
         x = (ds - np.datetime64(0, "us")) // np.timedelta64(1, unit)
         y_pred = pd.to_numeric(result["y_pred"], errors="coerce").to_numpy(float)
@@ -335,6 +338,32 @@ def attempt(
         return None, str(problem) if kind == "FitError" else f"{kind}: {problem}"
 
 
+def broken_contract(result: object) -> str | None:
+    """What keeps a model's forecast from being one: said before any value is cast."""
+    if not isinstance(result, pd.DataFrame):
+        return f"forecast gave {type(result).__name__}, not a frame"
+    absent = {"ds", "y_pred"} - set(result.columns)
+    if absent:
+        return f"forecast lacks columns {sorted(absent)}"
+    if not result.columns.is_unique:
+        return "forecast repeats columns"
+    kinds = {"ds": (dt.date, np.datetime64), "y_pred": (numbers.Number, decimal.Decimal)}
+    typed = {
+        "ds": pd.api.types.is_datetime64_any_dtype(result["ds"]),
+        "y_pred": pd.api.types.is_numeric_dtype(result["y_pred"]),
+    }
+    for name, kind in kinds.items():
+        values = () if typed[name] else result[name].dropna()
+        odd = {type(v).__name__ for v in values if not isinstance(v, kind)}
+        if odd:
+            return f"forecast holds {sorted(odd)} in {name}"
+    if result["ds"].isna().any():
+        return "forecast lacks dates"
+    if result["ds"].duplicated().any():
+        return "forecast repeats dates"
+    return None
+
+
 def _in_order(pdf: pd.DataFrame, unit: str) -> pd.DataFrame:
     pdf = pdf.sort_values("x", ignore_index=True)
     ds = pdf["x"].to_numpy(float)

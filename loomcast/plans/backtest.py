@@ -22,7 +22,7 @@ from loomcast.operators.grouped import (
 from loomcast.operators.scoring import score_windows
 from loomcast.plans.prepare import check_quality, plain_rows, prepared_rows
 from loomcast.session import ensure_checkpoint_dir
-from loomcast.sources.sinks import stamp, write_frame
+from loomcast.sources.sinks import stamp, write_together
 from loomcast.sources.tables import read_source
 
 _log = logging.getLogger(__name__)
@@ -66,7 +66,7 @@ def run_backtest(spark: SparkSession, cfg: ForecastConfig, run_id: str | None =
         check_quality(source, cfg, cfg.evaluation_output)
     ensure_checkpoint_dir(spark)
     evaluations = backtest(source, cfg).checkpoint()
-    write_frame(stamp(evaluations, run_id), cfg.evaluation_output, cfg.sink_format)
+    write_together([(stamp(evaluations, run_id), cfg.evaluation_output)], cfg.sink_format)
     failed = evaluations.where("status = 'error'").count()
     if failed:
         _log.warning("%d windows failed; see %s", failed, cfg.evaluation_output)

@@ -22,9 +22,9 @@ from loomcast.operators.grouped import (
     with_holidays,
     with_series_partitions,
 )
-from loomcast.plans.prepare import beside, check_quality, plain_rows, prepared_rows
+from loomcast.plans.prepare import check_quality, plain_rows, prepared_rows
 from loomcast.session import ensure_checkpoint_dir
-from loomcast.sources.sinks import stamp, write_frame
+from loomcast.sources.sinks import beside, stamp, write_together
 from loomcast.sources.tables import read_source
 
 _log = logging.getLogger(__name__)
@@ -93,7 +93,8 @@ def run_forecast(spark: SparkSession, cfg: ForecastConfig, run_id: str | None =
     """Run the whole job and return its run id.
 
     Failures and removed series are always written: to their configured targets,
-    or beside the forecasts under the same name with a suffix.
+    or beside the forecasts under the same name with a suffix. Forecasts and failures
+    replace those of the last run together, or neither does.
     """
     run_id = run_id or str(uuid.uuid4())
     resolve_models(cfg)
@@ -106,10 +107,10 @@ def run_forecast(spark: SparkSession, cfg: ForecastConfig, run_id: str | None =
     # Two outputs from one expensive frame: fit once.
     ensure_checkpoint_dir(spark)
     forecasts, failures = split_failures(forecast(source, cfg, scoring).checkpoint())
-    write_frame(stamp(forecasts, run_id), cfg.scoring_output, cfg.sink_format)
     failed = failures.count()
     target = cfg.failures_output or beside(cfg.scoring_output, "failures")
-    write_frame(stamp(failures, run_id), target, cfg.sink_format)
+    outputs = [(stamp(forecasts, run_id), cfg.scoring_output), (stamp(failures, run_id), target)]
+    write_together(outputs, cfg.sink_format)
     if failed:
         _log.warning("%d series could not be fitted by a model; see %s", failed, target)
     _log.info("forecast run %s written to %s", run_id, cfg.scoring_output)

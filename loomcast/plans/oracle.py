@@ -449,6 +449,14 @@ FROM ({_line_forecast(_EVENT_SERIES)})""",
 short AS (SELECT group_id FROM series GROUP BY group_id HAVING count(*) < 2
           UNION ALL SELECT 'single_0')
 SELECT group_id, model_name FROM short, (VALUES ('LinearTrend'), ('plain')) AS m(model_name)""",
+    "failures_shapeless": f"""WITH {_EVENT_SERIES},
+ways AS (SELECT group_id, count(*) % 5 AS way FROM series GROUP BY group_id)
+SELECT group_id, 'OftenShapeless' AS model_name,
+  CASE way WHEN 1 THEN 'forecast lacks columns [''y_pred'']'
+    WHEN 2 THEN 'forecast holds [''str''] in y_pred'
+    WHEN 3 THEN 'forecast repeats dates'
+    ELSE 'forecast gave Series, not a frame' END AS error
+FROM ways WHERE way > 0""",
     "forecast_job_output": f"""SELECT *, 'fixed-run' AS run_id
 FROM ({_line_forecast(_EVENT_SERIES)})""",
     "forecast_undated_series": f"""WITH {_EVENT_ROWS}

@@ -18,7 +18,7 @@ from loomcast.operators.quality import (
 )
 from loomcast.operators.steps import SOURCED, resample_spine
 from loomcast.session import ensure_checkpoint_dir
-from loomcast.sources.sinks import write_frame
+from loomcast.sources.sinks import beside, write_together
 
 _log = logging.getLogger(__name__)
 
@@ -49,11 +49,6 @@ def plain_rows(rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
     return rows.select(*cfg.keys, "ds", "y", *sourced)
 
 
-def beside(target: str, what: str) -> str:
-    """Table or path next to ``target``: its name with a suffix."""
-    return f"{target.rstrip('/')}_{what}"
-
-
 def check_quality(df: DataFrame, cfg: ForecastConfig, output: str) -> None:
     """Write and count the removed series; fail when no series is left.
 
@@ -64,7 +59,7 @@ def check_quality(df: DataFrame, cfg: ForecastConfig, output: str) -> None:
     profile = series_profile(rows, cfg.keys).checkpoint()
     removed = removed_series(profile, cfg.keys, cfg.missing_threshold)
     target = cfg.removed_output or beside(output, "removed")
-    write_frame(removed, target, cfg.sink_format)
+    write_together([(removed, target)], cfg.sink_format)
     gone = removed.count()
     if gone:
         _log.warning("%d series have too many missing targets; see %s", gone, target)

@@ -5,11 +5,14 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomcast.config import ForecastConfig
 from loomcast.functions.steps import add_steps, elapsed, step_number
+from loomcast.models.base import SeriesModel
+from loomcast.models.registry import register_model
 from loomcast.models.regression import changepoint_trend
 from loomcast.operators.keys import series_rows
 from loomcast.operators.moments import (
@@ -511,6 +514,33 @@ def forecast_failures(spark, sf_dir):
     return failures.select("group_id", "model_name")
 
 
+class OftenShapeless(SeriesModel):
+    """Breaks the contract of a forecast in a way that depends on the series' dates."""
+
+    def fit(self, history: pd.DataFrame) -> OftenShapeless:
+        self.way = len(history) % 5
+        return self
+
+    def forecast(self, dates: pd.DataFrame) -> pd.DataFrame:
+        good = pd.DataFrame({"ds": dates["ds"], "y_pred": 1.0})
+        return [
+            good,
+            good[["ds"]],
+            good.assign(y_pred="1"),
+            pd.concat([good, good]),
+            good["y_pred"],
+        ][self.way]
+
+
+def failures_shapeless(spark, sf_dir):
+    """Models that give no proper forecast fail with what is wrong about it."""
+    register_model("OftenShapeless", OftenShapeless)
+    models = {"OftenShapeless": {}, "LinearTrend": {}}
+    cfg = config(active_models=("OftenShapeless",), models=models)
+    _, failures = split_failures(forecast(event_series(spark, sf_dir), cfg))
+    return failures.select("group_id", "model_name", "error")
+
+
 # Backtests.
 
 
@@ -701,6 +731,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forecast_job_output": forecast_job_output,
     "forecast_undated_series": forecast_undated_series,
     "forecast_failures": forecast_failures,
+    "failures_shapeless": failures_shapeless,
     "backtest_cutoffs": cutoffs_query,
     "backtest_train_stats": backtest_train_stats,
     "backtest_actuals": backtest_actuals,

@@ -1,7 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 from helpers import config, daily, sales
 
 from loomcast import ForecastConfig, backtest, forecast, run_backtest, run_forecast
+from loomcast.sources import sinks
 
 
 def _data(spark):
@@ -27,6 +29,52 @@ def test_forecast_job_writes_all_outputs(spark, tmp_path):
     assert again.count() == 47 and again.first().run_id != "run-1"
 
 
+@pytest.mark.parametrize("kind", ["path", "table"])
+def test_a_broken_write_leaves_the_old_state(spark, tmp_path, monkeypatch, kind):
+    name = f"{tmp_path}/out" if kind == "path" else "default.whole_out"
+    load = spark.read.parquet if kind == "path" else spark.read.table
+    cfg = config(train_data=_data(spark), scoring_output=name)
+    run_forecast(spark, cfg, "first")
+    state = lambda: [{r.run_id for r in load(n).collect()} for n in (name, f"{name}_failures")]
+    assert state() == [{"first"}, {"first"}]
+
+    whole, calls = sinks.write_frame, []
+
+    def breaks(df, target, fmt="parquet", mode="overwrite"):
+        calls.append(target)
+        if len(calls) == 2:
+            df = df.select(F.raise_error(F.lit("disk lost")).alias("x"))
+        whole(df, target, fmt, mode)
+
+    monkeypatch.setattr(sinks, "write_frame", breaks)
+    with pytest.raises(Exception, match="disk lost"):
+        run_forecast(spark, cfg, "second")
+    monkeypatch.undo()
+    assert state() == [{"first"}, {"first"}]
+
+    move, moved = sinks.rename, []
+
+    def stops(spark, source, target):
+        moved.append(source)
+        if len(moved) == 4:
+            raise OSError("rename lost")
+        move(spark, source, target)
+
+    monkeypatch.setattr(sinks, "rename", stops)
+    with pytest.raises(OSError, match="rename lost"):
+        run_forecast(spark, cfg, "third")
+    monkeypatch.undo()
+    assert state() == [{"first"}, {"first"}]
+
+    run_forecast(spark, cfg, "fourth")
+    assert state() == [{"fourth"}, {"fourth"}]
+    left = (
+        [p.name for p in tmp_path.iterdir()]
+        if kind == "path" else [t.name for t in spark.catalog.listTables("default")]
+    )
+    assert not [n for n in left if "staged" in n or "old" in n]
+
+
 def test_jobs_read_and_write_tables(spark):
     _data(spark).write.mode("overwrite").saveAsTable("sales_history")
     cfg = config(
