@@ -328,11 +328,12 @@ def personal_data(documents: DataFrame, threshold: float = 0.5) -> DataFrame:
             ",",
         )
 
+    def counted_as(kind: int):
+        # One parameter only: a second one would be the position in the array.
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
     added = F.transform(chosen, lambda s: s["loose"])
-    count = [
-        F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{name}")
-        for i, name in enumerate(KINDS)
-    ]
+    count = [counted_as(i).alias(f"n_{name}") for i, name in enumerate(KINDS)]
     return found.withColumn("added", added).select(
         "doc_id",
         *count,

@@ -1,5 +1,6 @@
 """Operators that learn: held-out accuracy and defined results for odd rows."""
 
+import hashlib
 import zlib
 
 import numpy as np
@@ -230,6 +231,27 @@ def test_personal_data_of_odd_rows(spark):
     assert personal_data(df.limit(0)).collect() == []
 
 
+def test_spans_are_counted_by_their_own_kind(spark):
+    texts = [
+        "a@b.com",
+        "10.0.0.1 and 10.0.0.2, not 300.1.1.1",
+        "card 4111 1111 1111 1111",
+        "+1 (385) 555-1563 or +1 (385) 555-1564",
+        "10.0.0.3 c@d.org +1 (385) 555-1565 e@f.org 4111-1111-1111-1111 g@h.org 10.0.0.4",
+        "nothing",
+        None,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in personal_data(df).collect()}
+    for i, text in enumerate(texts):
+        base = plain_base(text or "")
+        kinds = [s.split(":")[0] for s in base]
+        counts = (rows[i].n_email, rows[i].n_ip, rows[i].n_card, rows[i].n_phone)
+        assert counts == tuple(kinds.count(k) for k in ("email", "ip", "card", "phone"))
+        assert rows[i].base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+    assert (rows[4].n_email, rows[4].n_ip, rows[4].n_card, rows[4].n_phone) == (3, 2, 1, 1)
+
+
 def test_label_model_trusts_agreeing_labelers():
     good = span_code("mail a@b.com now", (5, 0, 12))
     bad = span_code("xid 1-2-3-4x", (4, 3, 11))
