@@ -42,6 +42,8 @@ STEPS = np.arange(1, 256, dtype=np.uint64) * GOLDEN
 PIVOTS = 4
 BLOCK_SHINGLES = 100_000
 BLOCK_ROWS = 8
+#: Texts, or pairs of shingle sets, that a task and its worker hold at a time.
+TEXT_ROWS = 256
 #: Keys of 16 bytes that are broadcast at most; more are joined by a shuffle.
 MAX_BROADCAST_KEYS = 1 << 20
 
@@ -238,13 +240,14 @@ def _grouped(
         k1.alias("k1"),
         k2.alias("k2"),
     )
-    rows = scratch.save(
-        texts.mapInArrow(
-            _signatures(settings),
-            "doc_id long, k1 long, k2 long, n_shingles long, print binary, bands array<long>",
-        ),
-        "signatures",
-    )
+    with _records_per_batch(documents.sparkSession, TEXT_ROWS):
+        rows = scratch.save(
+            texts.mapInArrow(
+                _signatures(settings),
+                "doc_id long, k1 long, k2 long, n_shingles long, print binary, bands array<long>",
+            ),
+            "signatures",
+        )
     classes = scratch.save(
         rows.where("n_shingles > 0")
         .groupBy("print")
@@ -482,7 +485,8 @@ def _member_sets(texts, classes, members, settings, scratch) -> DataFrame:
         .mapInArrow(_sets(settings.width), "cid long, shingles binary")
         .dropDuplicates(["cid"])
     )
-    return scratch.save(own, "sets")
+    with _records_per_batch(texts.sparkSession, TEXT_ROWS):
+        return scratch.save(own, "sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, settings: NearDupSettings, scratch) -> DataFrame:
@@ -508,7 +512,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, settings: NearDupSettings, scra
     linked = shared.where(
         F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * settings.percent
     )
-    return scratch.save(linked.select("a", "b"), "links")
+    with _records_per_batch(sets.sparkSession, TEXT_ROWS):
+        return scratch.save(linked.select("a", "b"), "links")
 
 
 def _placed(members: DataFrame, roots: DataFrame, scratch) -> tuple[DataFrame, DataFrame]:

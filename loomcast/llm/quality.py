@@ -44,7 +44,10 @@ class QualitySettings:
     threshold: float = 0.3
 
 
-_CACHE_LIMIT = 500_000
+#: Workers are used again and keep their words: some 25 MB each beside what runs next.
+_CACHE_LIMIT = 1 << 16
+#: Characters whose n-grams are in memory at a time.
+_SLICE = 1 << 18
 _words: dict[str, tuple[int, int]] = {}
 _SHAPES = (
     (regex.compile(r"\p{Lu}+"), "A"),
@@ -99,7 +102,7 @@ def fit_ftrl(
 ) -> tuple[float, np.ndarray]:
     """Bias and weights after ``epochs`` passes in the given order."""
     rows = []
-    for start, end in slices(texts):
+    for start, end in slices(texts, _SLICE):
         owner, bucket, value = features(texts[start:end], settings.buckets_log2)
         order = np.argsort(owner, kind="stable")
         cuts = np.searchsorted(owner[order], np.arange(end - start + 1))
@@ -107,7 +110,7 @@ def fit_ftrl(
             own = order[cuts[i] : cuts[i + 1]]
             ids, inverse = np.unique(bucket[own], return_inverse=True)
             sums = np.bincount(inverse, weights=value[own], minlength=len(ids))
-            rows.append((ids, sums * settings.scale))
+            rows.append((ids.astype(np.int32), sums * settings.scale))
     size = 1 << settings.buckets_log2
     z, n = np.zeros(size), np.zeros(size)
     bias_z = bias_n = 0.0
@@ -140,7 +143,7 @@ def _sigmoid(x):
 def score_texts(texts: list[str | None], bias: float, weights: np.ndarray, scale: float):
     log2 = int(len(weights)).bit_length() - 1
     out = np.full(len(texts), bias)
-    for start, end in slices(texts):
+    for start, end in slices(texts, _SLICE):
         owner, bucket, value = features(texts[start:end], log2)
         out[start:end] += np.bincount(
             owner, weights=weights[bucket] * value * scale, minlength=end - start

@@ -141,3 +141,34 @@ def test_signature_estimates_similarity():
     whole = super_minhash(one, 64)
     parts = np.minimum(super_minhash(one[:300], 64), super_minhash(one[300:], 64))
     assert (whole == parts).all()  # early stopping loses nothing
+
+
+def test_workers_hold_few_texts_and_sets_at_a_time(spark, monkeypatch):
+    def watched(function):
+        def outer(*given):
+            run = function(*given)
+
+            def checked(batches):
+                def small():
+                    for batch in batches:
+                        assert batch.num_rows <= 256
+                        yield batch
+
+                yield from run(small())
+
+            return checked
+
+        return outer
+
+    for name in ("_signatures", "_sets"):
+        monkeypatch.setattr(near_dup, name, watched(getattr(near_dup, name)))
+    rng = random.Random(3)
+    words = [f"b{i}" for i in range(60)]
+    rows = [(i, edited(rng, words, 0.004)) for i in range(700)]
+    rows += [(1000 + i, f"alone c{i} d{i} e{i}") for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    rows_per_batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    found = {r.doc_id: r for r in near_duplicates(docs, NearDupSettings(width=2)).collect()}
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == rows_per_batch
+    assert sum(r.kept for i, r in found.items() if i >= 1000) == 700
+    assert sum(r.kept for i, r in found.items() if i < 1000) < 20

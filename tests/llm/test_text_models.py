@@ -8,6 +8,7 @@ import pytest
 from odd_rows import documents, labels
 from pyspark.sql import functions as F
 
+from loomcast.llm import quality
 from loomcast.llm.language_id import (
     BITS,
     LanguageSettings,
@@ -274,6 +275,14 @@ def test_a_label_model_that_does_not_settle_is_an_error():
         label_model(codes, np.array([9.0, 1.0]), rounds=1)
 
 
+def test_words_kept_between_texts_are_few():
+    words = [f"w{i}" for i in range(80_000)]
+    first = features([" ".join(words)], 18)
+    assert len(quality._words) <= 1 << 16
+    again = features([" ".join(words)], 18)
+    assert all((a == b).all() for a, b in zip(first, again, strict=True))
+
+
 def test_long_words_count_to_their_last_letter():
     shapes = [features(["a1" * 20 + end], 18)[1] for end in ("-", "+")]
     assert (shapes[0] != shapes[1]).all()
