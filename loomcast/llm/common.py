@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from loomcast.session import ensure_checkpoint_dir
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+#: Tasks that short steps get at least, and the rows for each task of longer ones.
+LEAST_TASKS = 36
+ROWS_PER_TASK = 5000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +55,15 @@ class Scratch:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def few_tasks(df: DataFrame, rows: int, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """The frame in tasks that suit work on so many rows; never more than it has.
+
+    A short step over many shuffle partitions spends its time on starting tasks and
+    on small files, where adaptive execution does not merge the partitions.
+    """
+    return df.coalesce(max(LEAST_TASKS, -(-rows // rows_per_task)))
+
+
 def set_aside(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """The frame under neutral column names, and the new name of each column.
 

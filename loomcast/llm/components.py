@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.llm.common import Scratch
+from loomcast.llm.common import Scratch, few_tasks
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -51,46 +51,53 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """
     left, right = edges.columns
     current = scratch.save(
-        edges.select(F.col(left).alias("v"), F.col(right).alias("root"))
-        .mapInArrow(_forest, "v long, root long")
-        .distinct(),
+        edges.select(F.col(left).alias("v"), F.col(right).alias("root")).mapInArrow(
+            _forest, "v long, root long"
+        ),
         "forest",
     )
-    seen = _state(current)
+    rows = current.count()
+    # Roots are smaller than their vertices in every step, so a vertex has parents
+    # below it and children above it.
     while True:
-        both = current.union(current.select("root", "v"))
-        least = scratch.save(
-            both.groupBy("v").agg(F.least(F.min("root"), F.col("v")).alias("m")), "least"
+        down = current.select(F.col("root").alias("v"), F.col("v").alias("child"))
+        both = current.select("v", F.col("root").alias("parent"), F.lit(None).alias("child")).union(
+            down.select("v", F.lit(None), "child")
+        )
+        near = scratch.save(
+            few_tasks(
+                both.groupBy("v").agg(
+                    F.min("parent").alias("parent"),
+                    F.max("parent").alias("last"),
+                    (F.count("child") > 0).alias("inner"),
+                ),
+                rows,
+            ),
+            "near",
         )
+        # Done as soon as each vertex hangs on one root and nothing hangs on it.
+        if near.where("parent <> last or (parent is not null and inner)").isEmpty():
+            return near.where("parent is not null").select("v", F.col("parent").alias("root"))
         large = scratch.save(
-            both.where(F.col("root") > F.col("v"))
-            .join(least, "v")
-            .select(F.col("root").alias("v"), F.col("m").alias("root"))
-            .distinct(),
+            few_tasks(
+                down.join(near, "v").select(
+                    F.col("child").alias("v"), F.coalesce("parent", "v").alias("root")
+                ),
+                rows,
+            ),
             "large",
         )
-        small_least = large.groupBy("v").agg(F.min("root").alias("m"))
+        least = scratch.save(
+            few_tasks(large.groupBy("v").agg(F.min("root").alias("m")), rows), "least"
+        )
         small = (
-            large.join(small_least, "v")
+            large.join(least, "v")
             .where(F.col("root") != F.col("m"))
             .select(F.col("root").alias("v"), F.col("m").alias("root"))
-            .union(small_least)
+            .union(least)
             .distinct()
         )
-        after = scratch.save(small, "small")
-        state = _state(after)
-        for old in (current, least, large):
+        after = scratch.save(few_tasks(small, rows), "small")
+        for old in (current, near, large, least):
             scratch.drop(old)
-        if state == seen:
-            return after
-        current, seen = after, state
-
-
-def _state(edges: DataFrame) -> tuple:
-    """Count and two order-free sums: equal for equal edge sets."""
-    row = edges.agg(
-        F.count("*"),
-        F.sum(F.shiftright(F.xxhash64("v", "root"), 32)),
-        F.sum(F.shiftright(F.xxhash64("root", "v"), 32)),
-    ).first()
-    return tuple(row)
+        current = after

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 from xxhash import xxh64_intdigest
 
-from loomcast.llm.common import GOLDEN, Scratch, mix64, put_back, row_keys, set_aside
+from loomcast.llm.common import GOLDEN, Scratch, few_tasks, mix64, put_back, row_keys, set_aside
 from loomcast.llm.components import connected_components
 
 EMPTY = np.empty(0, dtype=np.uint64)
@@ -44,6 +44,9 @@ BLOCK_SHINGLES = 100_000
 BLOCK_ROWS = 8
 #: Texts, or pairs of shingle sets, that a task and its worker hold at a time.
 TEXT_ROWS = 256
+#: Pairs of shingle sets, and shingles in pairs of blocks, for each task that verifies them.
+PAIRS_PER_TASK = 1000
+SHINGLES_PER_TASK = 20 * BLOCK_SHINGLES
 #: Keys of 16 bytes that are broadcast at most; more are joined by a shuffle.
 MAX_BROADCAST_KEYS = 1 << 20
 
@@ -248,7 +251,8 @@ def _grouped(
             ),
             "signatures",
         )
-    classes = scratch.save(
+    n_rows = rows.count()
+    classes = (
         rows.where("n_shingles > 0")
         .groupBy("print")
         .agg(
@@ -257,28 +261,26 @@ def _grouped(
             F.count("*").alias("n_rows"),
             F.first("n_shingles").alias("n"),
             F.first("bands").alias("bands"),
-        ),
-        "classes",
+        )
     )
+    classes = scratch.save(few_tasks(classes, n_rows), "classes")
     # A class goes by its smallest document id, or by its fingerprint where it has
     # none or shares it with another class.
-    shared_ids = scratch.save(
+    shared_ids = (
         classes.where("rep is not null")
         .groupBy("rep")
         .agg(F.count("*").alias("n_classes"))
-        .where("n_classes > 1"),
-        "shared-ids",
+        .where("n_classes > 1")
     )
+    shared_ids = scratch.save(few_tasks(shared_ids, n_rows), "shared-ids")
     own = F.coalesce("rep", F.xxhash64("print"))
     if shared_ids.isEmpty():
         classes = classes.withColumn("cid", own)
     else:
         several = F.when(F.col("n_classes").isNotNull(), F.xxhash64("print")).otherwise(own)
-        classes = scratch.save(
-            classes.join(shared_ids, "rep", "left").withColumn("cid", several).drop("n_classes"),
-            "own-classes",
-        )
-    roots = _links(texts, classes, settings, scratch)
+        classes = classes.join(shared_ids, "rep", "left").withColumn("cid", several)
+        classes = scratch.save(few_tasks(classes.drop("n_classes"), n_rows), "own-classes")
+    roots = _links(texts, classes, n_rows, settings, scratch)
     # Roots are class ids; a component takes its name from all its classes.
     linked = roots.union(roots.select("root", "root").distinct())
     placed = (
@@ -287,14 +289,15 @@ def _grouped(
         .where("n_rows > 1 or root is not null")
         .select("print", "rep", F.coalesce("root", "cid").alias("root"))
     )
-    placed = scratch.save(placed, "grouped")
+    placed = scratch.save(few_tasks(placed, n_rows), "grouped")
     names = placed.groupBy("root").agg(F.min("rep").alias("component_id"))
-    groups = scratch.save(placed.join(names, "root").select("print", "root", "component_id"), "groups")
+    groups = placed.join(names, "root").select("print", "root", "component_id")
+    groups = scratch.save(few_tasks(groups, n_rows), "groups")
     labelled = rows.select("doc_id", "k1", "k2", "n_shingles", "print").join(groups, "print", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(
         F.col("doc_id")
     )
-    return labelled.select(
+    return few_tasks(labelled, n_rows).select(
         "doc_id",
         "k1",
         "k2",
@@ -306,19 +309,19 @@ def _grouped(
 
 
 def _links(
-    texts: DataFrame, classes: DataFrame, settings: NearDupSettings, scratch: Scratch
+    texts: DataFrame, classes: DataFrame, n_rows: int, settings: NearDupSettings, scratch: Scratch
 ) -> DataFrame:
     """(v, root) over class ids that verified links join."""
     exploded = classes.select("cid", "n", F.explode("bands").alias("bucket"))
-    buckets = scratch.save(
+    buckets = (
         exploded.groupBy("bucket")
         .agg(F.count("*").alias("size"), F.min(F.struct("cid", "n")).alias("pivot"))
         .where("size > 1")
-        .select("bucket", "pivot"),
-        "buckets",
+        .select("bucket", "pivot")
     )
-    members = scratch.save(exploded.join(buckets, "bucket"), "members")
-    sets = _member_sets(texts, classes, members, settings, scratch)
+    buckets = scratch.save(few_tasks(buckets, n_rows), "buckets")
+    members = scratch.save(few_tasks(exploded.join(buckets, "bucket"), n_rows), "members")
+    sets = _member_sets(texts, classes, members, n_rows, settings, scratch)
     star = members.select(
         F.col("cid").alias("a"),
         "n",
@@ -327,16 +330,17 @@ def _links(
     ).where("a <> b")
     # First with one pivot each, the one that most of its buckets name: what that links
     # need not be verified against the pivots of its other buckets.
-    star = scratch.save(star.groupBy("a", "n", "b", "m").agg(F.count("*").alias("times")), "star")
+    star = star.groupBy("a", "n", "b", "m").agg(F.count("*").alias("times"))
+    star = scratch.save(few_tasks(star, n_rows), "star")
     nearest = star.groupBy("a", "n").agg(F.max_by(F.struct("b", "m"), F.struct("times", "b")).alias("p"))
     nearest = nearest.select("a", "n", F.col("p.b").alias("b"), F.col("p.m").alias("m"))
-    roots = connected_components(_verified(nearest, sets, settings, scratch), scratch)
+    roots = connected_components(_verified(nearest, sets, n_rows, settings, scratch), scratch)
     others = star.drop("times").join(nearest.select("a", "b"), ["a", "b"], "left_anti")
     others = _between_components(others, roots)
-    roots = _joined(roots, _verified(others, sets, settings, scratch), scratch)
+    roots = _joined(roots, _verified(others, sets, n_rows, settings, scratch), scratch)
 
     # Against random members of each bucket's largest component.
-    placed, main = _placed(members, roots, scratch)
+    placed, main = _placed(members, roots, n_rows, scratch)
     if main.isEmpty():
         return roots
     seeds = [
@@ -352,13 +356,17 @@ def _links(
         .select("cid", "n", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p"))
         .select(F.col("cid").alias("a"), "n", F.col("p.cid").alias("b"), F.col("p.n").alias("m"))
     )
-    roots = _joined(roots, _verified(tries, sets, settings, scratch), scratch)
+    roots = _joined(roots, _verified(tries, sets, n_rows, settings, scratch), scratch)
 
     # What is still apart, once for each pair of bucket mates: block against block.
-    placed, main = _placed(members, roots, scratch)
+    placed, main = _placed(members, roots, n_rows, scratch)
     if main.isEmpty():
         return roots
     bands = classes.groupBy("cid").agg(F.min("bands").alias("bands"))
+    # Each block travels once for every block on the other side.
+    outer, whole = F.col("outside_shingles"), F.col("all_shingles")
+    carried = outer * F.ceil(whole / BLOCK_SHINGLES) + whole * F.ceil(outer / BLOCK_SHINGLES)
+    n_shingles = main.agg(F.sum(carried)).first()[0]
     apart = placed.join(main, "bucket").join(bands, "cid").join(sets, "cid")
     outside = apart.where("component <> main")
     blocks = _member_blocks(outside, "outside_shingles", "a_").join(
@@ -366,6 +374,7 @@ def _links(
     )
     # A row holds two blocks: few of them at a time in a worker's memory.
     with _records_per_batch(blocks.sparkSession, BLOCK_ROWS):
+        blocks = few_tasks(blocks, n_shingles, SHINGLES_PER_TASK)
         more = scratch.save(blocks.mapInArrow(_block_links(settings), "a long, b long"), "more")
     return _joined(roots, more, scratch)
 
@@ -466,17 +475,20 @@ def _block_links(settings: NearDupSettings):
     return run
 
 
-def _member_sets(texts, classes, members, settings, scratch) -> DataFrame:
+def _member_sets(texts, classes, members, n_rows, settings, scratch) -> DataFrame:
     """Shingle sets of the classes that share a bucket with another class.
 
     One row of each class speaks for it.
     """
     wanted = members.select("cid").distinct()
     speakers = scratch.save(
-        classes.join(wanted, "cid", "left_semi").select("cid", "speaker.k1", "speaker.k2"),
+        few_tasks(classes.join(wanted, "cid", "left_semi"), n_rows).select(
+            "cid", "speaker.k1", "speaker.k2"
+        ),
         "speakers",
     )
-    if speakers.count() <= MAX_BROADCAST_KEYS:
+    n_sets = speakers.count()
+    if n_sets <= MAX_BROADCAST_KEYS:
         # Most texts share no bucket: they stay where they are.
         speakers = F.broadcast(speakers)
     own = (
@@ -486,10 +498,12 @@ def _member_sets(texts, classes, members, settings, scratch) -> DataFrame:
         .dropDuplicates(["cid"])
     )
     with _records_per_batch(texts.sparkSession, TEXT_ROWS):
-        return scratch.save(own, "sets")
+        return scratch.save(few_tasks(own, n_sets, PAIRS_PER_TASK), "sets")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, settings: NearDupSettings, scratch) -> DataFrame:
+def _verified(
+    pairs: DataFrame, sets: DataFrame, n_rows: int, settings: NearDupSettings, scratch: Scratch
+) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     wanted = (
         pairs.where(_close_sizes("n", "m", settings.percent))
@@ -500,7 +514,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, settings: NearDupSettings, scra
         )
         .distinct()
     )
-    wanted = scratch.save(wanted, "pairs")
+    wanted = scratch.save(few_tasks(wanted, n_rows), "pairs")
+    n_pairs = wanted.count()
 
     def asked(side: str, name: str) -> DataFrame:
         """The sets of one side of the pairs; the others do not travel."""
@@ -513,22 +528,25 @@ def _verified(pairs: DataFrame, sets: DataFrame, settings: NearDupSettings, scra
         F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * settings.percent
     )
     with _records_per_batch(sets.sparkSession, TEXT_ROWS):
-        return scratch.save(linked.select("a", "b"), "links")
+        linked = few_tasks(linked.select("a", "b"), n_pairs, PAIRS_PER_TASK)
+        return scratch.save(linked, "links")
 
 
-def _placed(members: DataFrame, roots: DataFrame, scratch) -> tuple[DataFrame, DataFrame]:
+def _placed(
+    members: DataFrame, roots: DataFrame, n_rows: int, scratch: Scratch
+) -> tuple[DataFrame, DataFrame]:
     """Members of buckets with several components, and each such bucket's largest one."""
-    placed = scratch.save(
+    placed = (
         members.select("bucket", "cid", "n")
         .join(roots.withColumnRenamed("v", "cid"), "cid", "left")
-        .select("bucket", "cid", "n", F.coalesce("root", "cid").alias("component")),
-        "placed",
+        .select("bucket", "cid", "n", F.coalesce("root", "cid").alias("component"))
     )
+    placed = scratch.save(few_tasks(placed, n_rows), "placed")
     sizes = placed.groupBy("bucket", "component").agg(
         F.count("*").alias("size"), F.sum("n").alias("shingles")
     )
     largest = F.max_by(F.struct("component", "shingles"), F.struct("size", "component"))
-    main = scratch.save(
+    main = (
         sizes.groupBy("bucket")
         .agg(
             largest.alias("largest"),
@@ -541,7 +559,6 @@ def _placed(members: DataFrame, roots: DataFrame, scratch) -> tuple[DataFrame, D
             F.col("largest.component").alias("main"),
             "all_shingles",
             (F.col("all_shingles") - F.col("largest.shingles")).alias("outside_shingles"),
-        ),
-        "main",
+        )
     )
-    return placed, main
+    return placed, scratch.save(few_tasks(main, n_rows), "main")

@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 from odd_rows import documents
 
-from loomcast.llm import near_dup
+from loomcast.llm import common, near_dup
 from loomcast.llm.common import Scratch, row_keys
+from loomcast.llm.components import connected_components
 from loomcast.llm.near_dup import (
     NearDupSettings,
     distinct_documents,
@@ -172,3 +173,52 @@ def test_workers_hold_few_texts_and_sets_at_a_time(spark, monkeypatch):
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == rows_per_batch
     assert sum(r.kept for i, r in found.items() if i >= 1000) == 700
     assert sum(r.kept for i, r in found.items() if i < 1000) < 20
+
+
+def test_small_tables_of_many_partitions_get_few_tasks(spark, monkeypatch):
+    names = []
+
+    def save(self, df, name="step", partition_by=""):
+        saved = plain(self, df, name, partition_by)
+        names.append((name, saved.select("_metadata.file_path").distinct().count()))
+        return saved
+
+    plain = Scratch.save
+    monkeypatch.setattr(Scratch, "save", save)
+    monkeypatch.setattr(common, "LEAST_TASKS", 3)
+    rng = random.Random(11)
+    words = [f"b{rng.randrange(400)}" for _ in range(90)]
+    rows = [(i, edited(rng, words, rng.choice([0.0, 0.01, 0.06]))) for i in range(60)]
+    held = {
+        "spark.sql.shuffle.partitions": "23",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        out = near_duplicates(documents(spark, [(i, t, "en", "a") for i, t in rows], clashes=False))
+        found = {r.doc_id: (r.n_shingles, r.component_id) for r in out.collect()}
+        assert out.rdd.getNumPartitions() <= 3
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found == brute(rows, width=5)
+    # The first table has the partitions of the input; the forest those of its links.
+    assert max(files for name, files in names if name != "signatures") <= 6
+    # Links to one pivot need no round, and no later round confirms the last one.
+    ends = [i for i, (name, _) in enumerate(names) if name == "forest"]
+    assert names[ends[0] + 1][0] == "near" and names[ends[0] + 2][0] not in ("large", "near")
+
+
+def test_components_of_a_chain_that_no_batch_holds(spark):
+    rng = random.Random(2)
+    ids = rng.sample(range(-500, 500), 120)
+    edges = list(zip(ids, ids[1:], strict=False))
+    edges = [e for k, e in enumerate(edges) if k != 70] * 2 + [(9000, 9000)]
+    rng.shuffle(edges)
+    df = spark.createDataFrame(edges, "a long, b long").repartition(4)
+    with near_dup._records_per_batch(spark, 10):
+        found = connected_components(df, Scratch(spark, "chain")).collect()
+    parts = [set(ids[:71]), set(ids[71:])]
+    assert sorted(found) == sorted((v, min(p)) for p in parts for v in p if v != min(p))
